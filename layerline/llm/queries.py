@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..session import read_table
-from . import lookalike, spans
+from . import lookalike, mixing, packing, spans
 
 
 def p5_found(spark, base):
@@ -18,6 +18,11 @@ def p5_consistent(spark, base):
 QUERIES = {
     "p5_found": p5_found,
     "p5_consistent": p5_consistent,
+    "p6_assignments": packing.p6_assignments,
+    "p6_containers": packing.p6_containers,
+    "p6_fill": packing.p6_fill,
+    "p7_draws": mixing.p7_draws,
+    "p7_shares": mixing.p7_shares,
     "p8_found": spans.p8_found,
     "p8_shared": spans.p8_shared,
 }

@@ -160,26 +160,31 @@ def copies(docs: DataFrame) -> DataFrame:
     return ids.join(reps, "text_id").select("doc_id", "rep").distinct()
 
 
-def shared_blocks(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
-    """h, n, doc_id, pos, block: the blocks of every anchor that more than one document has, of representatives only.
+def shared_anchors(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
+    """h, n, doc_id, pos: anchors of representatives whose hash occurs more than once.
 
     ``n`` is the number of anchors with that hash, copies included.
     """
     found = docs.mapInArrow(_anchor_rows(span, gram), _ANCHORS)
-    several = found.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("n")).where("lo <> hi").select("h", "n")
-    shared = found.join(several, "h")
+    several = found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
     reps = copies(docs).select(F.col("rep").alias("doc_id")).distinct()
-    per_doc = shared.join(reps, "doc_id", "left_semi").groupBy("doc_id").agg(F.collect_list(F.struct("h", "n", "pos")).alias("found"))
+    return found.join(several, "h").join(reps, "doc_id", "left_semi")
+
+
+def cut_blocks(docs: DataFrame, shared: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
+    """h, n, doc_id, pos, block: what surrounds each of the anchors in ``shared``."""
+    per_doc = shared.groupBy("doc_id").agg(F.collect_list(F.struct("h", "n", "pos")).alias("found"))
     return docs.join(per_doc, "doc_id").select("doc_id", "text", "found").mapInArrow(_block_rows(span, gram), _BLOCKS)
 
 
 def factors(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """doc_a, doc_b, start_a, start_b, length: factors of at least ``span`` between representatives, cut at the
     edges of blocks. ``docs`` is what ``usable`` gives."""
-    blocks = shared_blocks(docs, span, gram)
-    groups = blocks.where(F.col("n") <= hot).groupBy("h").agg(F.collect_list(F.struct("doc_id", "pos", "block")).alias("members")).where("size(members) > 1")
+    shared = shared_anchors(docs, span, gram)
+    few, many = (cut_blocks(docs, shared.where(c), span, gram) for c in (F.col("n") <= hot, F.col("n") > hot))
+    groups = few.groupBy("h").agg(F.collect_list(F.struct("doc_id", "pos", "block")).alias("members")).where("size(members) > 1")
     small = groups.select("members").mapInArrow(_factor_rows(span, gram), "doc_a long, doc_b long, start_a int, start_b int, length int")
-    stretches = blocks.where(F.col("n") > hot).mapInArrow(_stretch_rows(span, gram), "h long, offset int, key long, ahead long, doc_id long, pos int")
+    stretches = many.mapInArrow(_stretch_rows(span, gram), "h long, offset int, key long, ahead long, doc_id long, pos int")
     a, b = stretches.alias("a"), stretches.alias("b")
     on = F.expr("a.h = b.h and a.offset = b.offset and a.key = b.key and a.doc_id < b.doc_id and a.ahead <> b.ahead")
     begin = lambda s: (F.col(f"{s}.pos") + F.col("a.offset") - (span - gram)).cast("int")

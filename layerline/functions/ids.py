@@ -96,33 +96,32 @@ def synthetic_oscal(c: Column) -> Column:
     return F.regexp_replace(F.lower(c), r"\((\d+)\)", ".$1")
 
 
-def reference_parts(c: Column) -> Column:
-    """A reference in any spelling -> array(family, base, enhancement or empty); else null.
+def loose_id(c: Column) -> Column:
+    """An id without white space and in upper case; ids that are canonical already take a short way."""
+    return F.when(c.rlike(CANON_ANY_RE), c).otherwise(F.upper(drop_ws(c)))
 
-    White space of any kind is ignored, letters are upper case, and a dot and a bracket both
-    introduce the enhancement.
-    """
-    s = F.upper(drop_ws(c))
-    return F.when(s.rlike(LOOSE_RE), F.split(F.regexp_replace(s, LOOSE_RE, "$1,$2,$3$4"), ","))
 
+def integer_key(c: Column) -> Column:
+    """An id in any spelling as an integer; what does not read as an id -> null.
 
-def id_of_parts(parts: Column) -> Column:
-    """Canonical id of ``reference_parts``: numbers have at least two digits."""
-    return _render(parts[0], parts[1], parts[2])
+    White space of any kind is ignored, letters are upper case, and a dot and a bracket both introduce
+    the enhancement. The order of keys is family, base, enhancement; enhancements of a base are consecutive.
+    """
+    s = loose_id(c)
+    pieces = F.split(F.translate(s, "-(.)", ",,,"), ",")
+    fam = (F.ascii(s) - 65) * 26 + F.ascii(F.substring(s, 2, 1)) - 65
+    slot = F.coalesce(F.get(pieces, F.lit(2)).try_cast("int"), F.lit(-1)) + 1
+    return F.when(s.rlike(LOOSE_RE), F.shiftleft((fam * 1000 + F.get(pieces, F.lit(1)).try_cast("int")).cast("long"), SLOT_BITS) + slot)
 
 
-def key_of_parts(parts: Column) -> Column:
-    """``reference_parts`` as an integer whose order is family, base, enhancement; the enhancements of
-    a base are consecutive."""
-    fam = (F.ascii(parts[0]) - 65) * 26 + F.ascii(F.substring(parts[0], 2, 1)) - 65
-    slot = F.coalesce(parts[2].try_cast("long") + 1, F.lit(0).cast("long"))
-    return F.shiftleft(fam.cast("long") * 1000 + parts[1].try_cast("long"), SLOT_BITS) + slot
+def id_of_key(key: Column) -> Column:
+    """The canonical id of an integer key: numbers have at least two digits."""
+    stem, slot = F.shiftright(key, SLOT_BITS), F.pmod(key, F.lit(1 << SLOT_BITS))
+    fam = F.floor(stem / 1000)
+    letters = F.concat(F.char(F.floor(fam / 26) + 65), F.char(fam % 26 + 65))
+    return _render(letters, (stem % 1000).cast("string"), F.when(slot > 0, slot - 1).cast("string"))
 
 
 def canonical_reference(c: Column) -> Column:
     """A reference in any spelling -> canonical id; what does not read as an id -> null."""
-    return id_of_parts(reference_parts(c))
-
-
-def integer_key(c: Column) -> Column:
-    return key_of_parts(reference_parts(c))
+    return id_of_key(integer_key(c))

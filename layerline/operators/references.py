@@ -20,12 +20,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.ids import SLOT_BITS, id_of_parts, integer_key, key_of_parts, reference_parts
+from ..functions.ids import SLOT_BITS, id_of_key, integer_key
 from ..session import read_table
 
 
 def parent_runs(parents: DataFrame) -> DataFrame:
-    """``parents``: scope, key, since, dead -> scope, bucket, start, stop, since.
+    """``parents``: scope, key, since (a number of months), dead -> scope, bucket, start, stop, since.
 
     A key counts from its earliest ``since``; a key with any dead row is no parent.
     """
@@ -34,7 +34,7 @@ def parent_runs(parents: DataFrame) -> DataFrame:
         .groupBy("scope", "key")
         .agg(F.min("since").alias("since"), F.max("dead").alias("dead"))
         .where(~F.coalesce("dead", F.lit(False)))
-        .select("scope", F.shiftright("key", SLOT_BITS).alias("bucket"), "key", F.coalesce("since", F.lit("")).alias("since"))
+        .select("scope", F.shiftright("key", SLOT_BITS).alias("bucket"), "key", F.coalesce("since", F.lit(0)).alias("since"))
     )
     in_order = Window.partitionBy("scope", "bucket").orderBy("key")
     breaks = (F.col("key") != F.lag("key").over(in_order) + 1) | (F.col("since") != F.lag("since").over(in_order))
@@ -60,9 +60,9 @@ def orphan_references(references: DataFrame, parents: DataFrame) -> DataFrame:
     )
     nothing = F.lit(None)
     both = runs.select(
-        "scope", "bucket", F.col("start").alias("key"), nothing.cast("string").alias("period"), F.struct("stop", "since").alias("run"), F.lit(0).alias("kind")
+        "scope", "bucket", F.col("start").alias("key"), nothing.cast("int").alias("period"), F.struct("stop", "since").alias("run"), F.lit(0).alias("kind")
     ).unionByName(
-        probes.select("scope", "bucket", "key", "period", nothing.cast("struct<stop:bigint,since:string>").alias("run"), F.lit(1).alias("kind"))
+        probes.select("scope", "bucket", "key", "period", nothing.cast("struct<stop:bigint,since:int>").alias("run"), F.lit(1).alias("kind"))
     )
     before = Window.partitionBy("scope", "bucket").orderBy("key", "kind").rowsBetween(Window.unboundedPreceding, 0)
     found = F.last("run", ignorenulls=True).over(before)
@@ -77,11 +77,17 @@ def orphan_references(references: DataFrame, parents: DataFrame) -> DataFrame:
         & (references["key"] == orphans["__key"])
         & references["period"].eqNullSafe(orphans["__period"])
     )
-    return references.join(orphans, same, "left_semi")
+    # Orphans are distinct, so this is a semi join; written as an inner one it stays above the shuffle that both sides share.
+    return references.join(orphans, same).select(references["*"])
 
 
 def month(c: Column) -> Column:
-    return F.date_format(c, "yyyy-MM")
+    """A timestamp's month as one number; ``month_text`` renders it."""
+    return F.year(c) * 12 + F.month(c) - 1
+
+
+def month_text(c: Column) -> Column:
+    return F.concat(F.lpad(F.floor(c / 12).cast("string"), 4, "0"), F.lit("-"), F.lpad((c % 12 + 1).cast("string"), 2, "0"))
 
 
 def with_first_period(rows: DataFrame, key: str, content: list[str], loaded: str, deleted: str | None) -> DataFrame:
@@ -106,7 +112,7 @@ def catalogue_orphans(catalogue: DataFrame, profile: DataFrame, baseline: DataFr
     pro = with_first_period(profile, "profile_key", ["build_id", "control_id"], "loaded_at", None)
 
     entries = F.concat(
-        F.transform(F.coalesce("related", F.array().cast("array<string>")), lambda x: F.struct(F.lit("related").alias("field"), x.alias("raw"))),
+        F.transform(F.array_distinct(F.coalesce("related", F.array().cast("array<string>"))), lambda x: F.struct(F.lit("related").alias("field"), x.alias("raw"))),
         F.array(F.struct(F.lit("nist_oscal_id").alias("field"), F.col("nist_oscal_id").alias("raw"))),
     )
     from_catalogue = cat.select(
@@ -116,20 +122,14 @@ def catalogue_orphans(catalogue: DataFrame, profile: DataFrame, baseline: DataFr
         F.lit("profile_records").alias("src_table"), F.col("profile_key").alias("src_key"), "build_id", "period",
         F.lit("control_id").alias("field"), F.col("control_id").alias("raw"),
     )
-    columns = ["src_table", "field", "src_key", "target_id", "period", "scope", "key"]
-
-    def resolved(df: DataFrame) -> DataFrame:
-        return (
-            df.withColumn("parts", reference_parts(F.col("raw")))
-            .where("parts is not null")
-            .withColumn("target_id", id_of_parts(F.col("parts")))
-            .withColumn("key", key_of_parts(F.col("parts")))
-            .withColumn("scope", F.when(F.col("field") == "nist_oscal_id", upstream).otherwise(in_build(F.col("build_id"))))
-            .select(*columns)
-            .distinct()
-        )
+    columns = ["src_table", "field", "src_key", "scope", "key", "period"]
 
-    references = resolved(from_catalogue).unionByName(resolved(from_profile))
+    def keyed(df: DataFrame) -> DataFrame:
+        scope = F.when(F.col("field") == "nist_oscal_id", upstream).otherwise(in_build(F.col("build_id")))
+        return df.select("src_table", "field", "src_key", scope.alias("scope"), integer_key(F.col("raw")).alias("key"), "period").where("key is not null")
+
+    # Partitioned by all its columns: one shuffle that both the probes and the final join read.
+    references = keyed(from_catalogue).unionByName(keyed(from_profile)).repartition(*columns).distinct()
     parents = catalogue.select(
         in_build(F.col("build_id")).alias("scope"), integer_key(F.col("id")).alias("key"),
         month(F.col("loaded_at")).alias("since"), F.col("deleted_at").isNotNull().alias("dead"),
@@ -139,7 +139,9 @@ def catalogue_orphans(catalogue: DataFrame, profile: DataFrame, baseline: DataFr
             month(F.col("imported_at")).alias("since"), F.col("deleted_at").isNotNull().alias("dead"),
         )
     )
-    return orphan_references(references, parents).select(*columns[:-2])
+    return orphan_references(references, parents).select(
+        "src_table", "field", "src_key", id_of_key(F.col("key")).alias("target_id"), month_text(F.col("period")).alias("period")
+    )
 
 
 def orphan_report(orphans: DataFrame) -> DataFrame:

@@ -29,6 +29,7 @@ from ..session import read_table
 from .tokens import VOCABULARY, token_sizes
 
 BLOCK = 4096
+MOST_TASKS = 10_000
 
 
 @dataclass(frozen=True)
@@ -120,6 +121,9 @@ def pack_sizes(sizes: DataFrame, rows: int, caps: list[Capacity], score: str = "
     blocks = max(1, math.ceil(rows / block_items))
     items = items.withColumn("block", F.pmod(F.xxhash64("doc_id", "copy"), F.lit(blocks)))
 
+    # A block is little data and much work: the number of tasks follows the blocks, not the bytes.
+    items = items.repartition(min(blocks, MOST_TASKS), "block")
+
     def pack(table: pa.Table) -> pa.Table:
         t = {n: table.column(n).to_numpy() for n in ("block", "doc_id", "copy", "n_tokens")}
         return pack_block(int(t["block"][0]), t["doc_id"], t["copy"], t["n_tokens"], caps, score)

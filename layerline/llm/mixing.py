@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import read_table
+from ..session import checkpointed, read_table
 from .tokens import VOCABULARY, token_sizes
 
 BLOCK_DOCS = 1000
@@ -173,7 +173,7 @@ def mix_shares(drawn: DataFrame, plan: DataFrame) -> DataFrame:
 
 def _mixed(spark, base: str) -> tuple[DataFrame, DataFrame]:
     docs = read_table(spark, base, "documents")
-    sized = sized_documents(docs)
+    sized = checkpointed(sized_documents(docs))  # three numbers a document, read four times: tokenised once
     plan = plan_mixes(read_table(spark, base, "mix_targets"), sized)
     return draw(sized, plan, docs.count()), plan
 

@@ -44,7 +44,7 @@ def compare_normalize(c: Column) -> Column:
 def related_ids(c: Column) -> Column:
     """Every canonical id mentioned in a text, in order and with repeats; ``None.`` names none."""
     found = F.regexp_extract_all(c, F.lit(RELATED_RE), F.lit(0))
-    return F.when(c.isNull() | (strip_ws(c) == "None."), F.array().cast("array<string>")).otherwise(found)
+    return F.when(c.isNull() | strip_ws(c).rlike(r"(?i)^none\.?$"), F.array().cast("array<string>")).otherwise(found)
 
 
 def brackets_balanced(c: Column) -> Column:

@@ -55,10 +55,9 @@ def _members(node: Column, member: str, kind: str) -> Column:
     return F.filter(rows, lambda r: r.isNotNull())
 
 
-def _children(node: Column) -> Column:
-    none = F.array().cast(f"array<{_NODE}>")
-    out = none
-    for kind, members in FOLLOWED.items():
+def _children(node: Column, followed: dict[str, dict[str, str]]) -> Column:
+    out = F.array().cast(f"array<{_NODE}>")
+    for kind, members in followed.items():
         if members:
             out = F.when(node["node_kind"] == kind, F.concat(*[_members(node, m, k) for m, k in members.items()])).otherwise(out)
     return out
@@ -89,18 +88,22 @@ def latest_documents(raw: DataFrame, key: str, text: str, received: str) -> Data
     )
 
 
-def explode_nodes(docs: DataFrame, key: str, depth: int) -> DataFrame:
-    """Every node of the documents (key, v): key, node_kind, node_path, parent_path, v."""
+def explode_tree(docs: DataFrame, key: str, depth: int, followed: dict[str, dict[str, str]] = FOLLOWED, root_kind: str = "control") -> DataFrame:
+    """Every node of the documents (key, v): key, node_kind, node_path, parent_path, v.
+
+    ``depth`` is at least the depth of any node; ``followed`` says which members of which kind of node
+    hold children of what kind.
+    """
     root = F.when(
         _is_object(F.col("v")),
-        F.array(F.struct(F.lit("control").alias("node_kind"), F.lit("$").alias("node_path"), F.lit("").alias("parent_path"), F.col("v").alias("v"))),
+        F.array(F.struct(F.lit(root_kind).alias("node_kind"), F.lit("$").alias("node_path"), F.lit("").alias("parent_path"), F.col("v").alias("v"))),
     ).otherwise(F.array().cast(f"array<{_NODE}>"))
     level = docs.select(key, root.alias("level0"))
     done = []
     while True:
         count = min(depth, LEVELS_PER_PASS)
         for n in range(count):
-            level = level.withColumn(f"level{n + 1}", F.flatten(F.transform(F.col(f"level{n}"), _children)))
+            level = level.withColumn(f"level{n + 1}", F.flatten(F.transform(F.col(f"level{n}"), lambda x: _children(x, followed))))
         names = [f"level{n}" for n in range(count + 1)]
         if depth <= LEVELS_PER_PASS:
             done.append(level.select(key, F.inline(F.flatten(F.array(*names)))))
@@ -116,7 +119,7 @@ def explode_nodes(docs: DataFrame, key: str, depth: int) -> DataFrame:
 
 
 def flat_nodes(raw: DataFrame, key: str = "raw_id", text: str = "raw_json", received: str = "received_at") -> DataFrame:
-    return explode_nodes(latest_documents(raw, key, text, received), key, nesting_depth(raw, text))
+    return explode_tree(latest_documents(raw, key, text, received), key, nesting_depth(raw, text))
 
 
 def _text(member: str) -> Column:

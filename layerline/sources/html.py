@@ -13,6 +13,7 @@ from html.parser import HTMLParser
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 # Element names of HTML.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -145,10 +146,7 @@ def element_rows(page: str) -> list[tuple]:
 
 def page_nodes(pages: DataFrame, keys: list[str], html: str = "html") -> DataFrame:
     """The element rows of every page, with the page's keys. A null page has none; a broken one what can be read."""
-    schema = pages.select(*keys).schema
-    for column in NODES.split(", "):
-        name, kind = column.split(" ")
-        schema = schema.add(name, kind)
+    schema = StructType([*pages.select(*keys).schema.fields, *StructType.fromDDL(NODES).fields])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -57,7 +57,7 @@ def blocks_of(nodes: DataFrame) -> DataFrame:
         .withColumn("key", F.coalesce(F.last("starts", ignorenulls=True).over(record.rowsBetween(Window.unboundedPreceding, 0)), F.lit("")))
         .withColumn("kind", F.last(F.when(F.col("starts").isin(*KINDS), F.col("starts")), ignorenulls=True).over(record.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
         .withColumn("content", ~F.col("withdrawn") & (F.col("starts").isNull() | (F.col("labelled") & (F.col("rest") != ""))))
-        .withColumn("body", F.when("labelled", F.col("rest")).otherwise(F.col("text")))
+        .withColumn("body", F.when(F.col("labelled"), F.col("rest")).otherwise(F.col("text")))
     )
 
 
@@ -161,14 +161,14 @@ def overlay_records(pages: DataFrame, publication: str = "ITSP.10.033", detect_w
     ``detect_withdrawn`` leaves out enhancements whose text says that they are withdrawn; by default they stay.
     """
     pages = pages.withColumn("page", F.col("ord").cast("long"))
-    nodes = page_nodes(pages, ["page"]).where("pos >= 0")
+    nodes = page_nodes(pages, ["page"])
     blocks = blocks_of(nodes)
     in_statement = F.col("content") & (F.col("key") == F.col("kind"))
     lists = blocks.where(in_statement & F.col("tag").isin("ol", "ul"))
     roots = lists.select("page", "rec", F.col("rec_id").alias("id"), F.col("pos").alias("root"), F.col("depth").alias("root_depth"), F.lit(0).alias("skip"))
     items = _list_items(nodes, roots).select("page", "rec", "id", "pos", "outline", F.col("own").alias("text"))
     plain = blocks.where(in_statement & ~F.col("tag").isin("ol", "ul") & (F.col("body") != "")).select(
-        "page", "rec", F.col("rec_id").alias("id"), "pos", F.array(F.lit(0)).alias("outline"), F.when("labelled", F.col("rest")).otherwise(F.col("own")).alias("text")
+        "page", "rec", F.col("rec_id").alias("id"), "pos", F.array(F.lit(0)).alias("outline"), F.when(F.col("labelled"), F.col("rest")).otherwise(F.col("own")).alias("text")
     )
     plain = plain.where("text <> ''")
     statements = _gathered(items.unionByName(plain).withColumn("path", outline_path(F.col("outline"))), ["page", "rec", "id"]).drop("id")
@@ -176,7 +176,7 @@ def overlay_records(pages: DataFrame, publication: str = "ITSP.10.033", detect_w
     body = F.col("body")
     section = lambda key: F.col("content") & (F.col("key") == key)
     info = blocks.groupBy("page", "rec", "rec_id", "rec_text").agg(
-        F.max("kind").alias("kind"), F.max("withdrawn").alias("is_withdrawn"), F.max_by("text", F.when("withdrawn", F.col("pos"))).alias("note"),
+        F.max("kind").alias("kind"), F.max("withdrawn").alias("is_withdrawn"), F.max_by("text", F.when(F.col("withdrawn"), F.col("pos"))).alias("note"),
         _joined(_when_text(section("discussion"), body), "\n\n").alias("discussion"), _joined(_when_text(section("gc discussion"), body), "\n\n").alias("gc_discussion"),
         _joined(_when_text(section("related controls and activities"), body), "\n\n").alias("related_text"),
     )
@@ -195,7 +195,7 @@ def overlay_records(pages: DataFrame, publication: str = "ITSP.10.033", detect_w
         .join(pages.select("page", *PAGE[:5]), "page")
         .select(
             F.col("rec_id").alias("id"), "family_id", "family_name", p["base"].alias("number"), name.alias("name"), kind.alias("requirement_kind"), p["is_specific"].alias("is_canadian_specific"),
-            "is_withdrawn", F.when("is_withdrawn", F.col("note")).alias("withdrawal_note"), _list_or_empty("statements", STATEMENT), F.coalesce("statement_text", F.lit("")).alias("statement_text"),
+            "is_withdrawn", F.when(F.col("is_withdrawn"), F.col("note")).alias("withdrawal_note"), _list_or_empty("statements", STATEMENT), F.coalesce("statement_text", F.lit("")).alias("statement_text"),
             "discussion", "gc_discussion", related_ids(F.col("related_text")).alias("related"), _list_or_empty("references", REFERENCE), _list_or_empty("odps", ODP),
             _list_or_empty("enhancements", ENHANCEMENT),
             F.struct(F.lit(publication).alias("publication"), "url", F.concat("family_name", F.lit(" > "), "rec_id", F.lit(" "), name).alias("section"), "retrieved_at", "source_sha256").alias("source"),

@@ -26,7 +26,7 @@ def _text(*parts) -> Column:
     return F.concat(*[F.coalesce(p.cast("string"), F.lit("null")) if isinstance(p, Column) else F.lit(p) for p in parts])
 
 
-def _rows(df: DataFrame, rules: list[Column]) -> DataFrame:
+def row_findings(df: DataFrame, rules: list[Column]) -> DataFrame:
     return df.select(F.inline(F.array_compact(F.array(*rules))))
 
 
@@ -95,7 +95,7 @@ def validate_catalogue(catalogue: DataFrame, expected: list[str]) -> DataFrame:
     orphans = orphans.select(F.inline(F.array(_finding("VAL-8", "error", F.col("id"), _text("parent ", F.col("parent_id"), " is missing")))))
     named = good.where("record_kind = 'base'").select("id", F.explode("enhancement_ids").alias("e")).join(ids, F.col("e") == F.col("__id"), "left_anti")
     named = named.select(F.inline(F.array(_finding("VAL-9", "error", F.col("id"), _text("enhancement ", F.col("e"), " is missing")))))
-    parts = [_rows(catalogue, catalogue_row_rules()), doubled, orphans, named, family_gaps(good, expected, "VAL-19", "strict", "catalogue")]
+    parts = [row_findings(catalogue, catalogue_row_rules()), doubled, orphans, named, family_gaps(good, expected, "VAL-19", "strict", "catalogue")]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..operators import copies, nested, references, snapshots
-from . import oracle_problems
+from . import oracle_problems, reference_queries
 
 QUERIES = {
     "p1_found": references.p1_found,
@@ -16,5 +16,5 @@ QUERIES = {
     "p3_summary": copies.p3_summary,
     "p4_found": snapshots.p4_found,
     "p4_summary": snapshots.p4_summary,
-}
-ORACLE = dict(oracle_problems.ORACLE)
+} | reference_queries.QUERIES
+ORACLE = oracle_problems.ORACLE | reference_queries.ORACLE

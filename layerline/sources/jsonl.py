@@ -56,8 +56,3 @@ def partitioned_views(df: DataFrame, path: str) -> None:
     """Rendered views, a folder for each, so that one does not replace another."""
     df.write.mode("overwrite").option("ignoreNullFields", "false").partitionBy("view").json(path)
 
-
-def with_order(df: DataFrame, *by: str) -> DataFrame:
-    from pyspark.sql import Window
-
-    return df.withColumn("ord", F.row_number().over(Window.orderBy(*by)).cast("long"))

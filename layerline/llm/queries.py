@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from ..session import read_table
 from . import lookalike, mixing, packing, spans
+from .oracle import ORACLE
 
 
 def p5_found(spark, base):
@@ -26,4 +27,5 @@ QUERIES = {
     "p8_found": spans.p8_found,
     "p8_shared": spans.p8_shared,
 }
-ORACLE: dict[str, str] = {}
+
+__all__ = ["ORACLE", "QUERIES"]

@@ -38,7 +38,8 @@ GRAM = 50
 HOT = 256
 _PAIRS_AT_ONCE = 20_000
 _ANCHORS = "h long, doc_id long, pos int"
-_BLOCKS = "h long, n long, doc_id long, pos int, block string"
+_BLOCKS = "h long, n long, doc_id long, at array<int>, block string"
+_FACTORS = "doc_a long, doc_b long, starts_a array<int>, starts_b array<int>, length int"
 
 
 def _anchor_rows(span: int, gram: int):
@@ -57,20 +58,21 @@ def _anchor_rows(span: int, gram: int):
 def _block_rows(span: int, gram: int):
     before = span - gram
 
+    schema = pa.schema([("h", pa.int64()), ("n", pa.int64()), ("doc_id", pa.int64()), ("at", pa.list_(pa.int32())), ("block", pa.string())])
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = {"h": [], "n": [], "doc_id": [], "pos": [], "block": []}
+            out = []
             for doc, text, found in zip(*(b.column(i).to_pylist() for i in range(3))):
+                blocks: dict[tuple, list[int]] = {}
                 for x in found:
                     p = x["pos"]
                     left = text[max(0, p - before) : p]
                     right = text[p : p + span]
-                    out["h"].append(x["h"])
-                    out["n"].append(x["n"])
-                    out["doc_id"].append(doc)
-                    out["pos"].append(p)
-                    out["block"].append("\0" * (before - len(left)) + left + right + "\0" * (span - len(right)))
-            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("h", pa.int64()), ("n", pa.int64()), ("doc_id", pa.int64()), ("pos", pa.int32()), ("block", pa.string())]))
+                    block = "\0" * (before - len(left)) + left + right + "\0" * (span - len(right))
+                    blocks.setdefault((x["h"], x["n"], block), []).append(p)
+                out += [(h, n, doc, at, block) for (h, n, block), at in blocks.items()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [()] * 5, schema)], schema=schema)
 
     return rows
 
@@ -82,19 +84,19 @@ def _matrix(blocks: list[str], width: int) -> np.ndarray:
 def _factor_rows(span: int, gram: int):
     before = span - gram
     width = before + span
-    schema = pa.schema([("doc_a", pa.int64()), ("doc_b", pa.int64()), ("start_a", pa.int32()), ("start_b", pa.int32()), ("length", pa.int32())])
+    schema = pa.schema([("doc_a", pa.int64()), ("doc_b", pa.int64()), ("starts_a", pa.list_(pa.int32())), ("starts_b", pa.list_(pa.int32())), ("length", pa.int32())])
 
-    def compared(docs, pos, codes, i, j):
+    def compared(docs, places, codes, i, j):
         swap = docs[i] > docs[j]
         i, j = np.where(swap, j, i), np.where(swap, i, j)
-        same = (codes[i] == codes[j]) & (codes[i] != 0)
-        differs = ~same
-        left = np.where(differs[:, :before].any(axis=1), differs[:, before - 1 :: -1].argmax(axis=1) if before else 0, before)
+        differs = (codes[i] != codes[j]) | (codes[i] == 0)
+        left = np.where(differs[:, :before].any(axis=1), differs[:, :before][:, ::-1].argmax(axis=1), before)
         right = np.where(differs[:, before:].any(axis=1), differs[:, before:].argmax(axis=1), span)
         ok = (left + right >= span) & (docs[i] != docs[j])
-        i, j, left, right = i[ok], j[ok], left[ok], right[ok]
+        i, j, left, length = i[ok], j[ok], left[ok].tolist(), (left + right)[ok]
+        starts = lambda side: [[p - n for p in places[k]] for k, n in zip(side.tolist(), left)]
         return pa.RecordBatch.from_arrays(
-            [pa.array(docs[i]), pa.array(docs[j]), *(pa.array(x.astype(np.int32)) for x in (pos[i] - left, pos[j] - left, left + right))], schema=schema
+            [pa.array(docs[i]), pa.array(docs[j]), pa.array(starts(i), schema.field(2).type), pa.array(starts(j), schema.field(3).type), pa.array(length.astype(np.int32))], schema=schema
         )
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,7 +104,7 @@ def _factor_rows(span: int, gram: int):
             lists = b.column(0)
             flat = lists.flatten()
             docs = flat.field("doc_id").to_numpy(zero_copy_only=False)
-            pos = flat.field("pos").to_numpy(zero_copy_only=False)
+            places = flat.field("at").to_pylist()
             codes = _matrix(flat.field("block").to_pylist(), width)
             sizes = np.asarray(lists.value_lengths())
             first = np.concatenate(([0], np.cumsum(sizes)[:-1])) if len(sizes) else np.empty(0, np.int64)
@@ -117,22 +119,21 @@ def _factor_rows(span: int, gram: int):
                     held_j.append((block + j).ravel())
                     held += len(held_i[-1])
                     if held >= _PAIRS_AT_ONCE:
-                        yield compared(docs, pos, codes, np.concatenate(held_i), np.concatenate(held_j))
+                        yield compared(docs, places, codes, np.concatenate(held_i), np.concatenate(held_j))
                         held_i, held_j, held = [], [], 0
             if held:
-                yield compared(docs, pos, codes, np.concatenate(held_i), np.concatenate(held_j))
+                yield compared(docs, places, codes, np.concatenate(held_i), np.concatenate(held_j))
 
     return rows
 
 
 def _stretch_rows(span: int, gram: int):
     before = span - gram
-    schema = pa.schema([("h", pa.int64()), ("offset", pa.int32()), ("key", pa.int64()), ("ahead", pa.int64()), ("doc_id", pa.int64()), ("pos", pa.int32())])
+    schema = pa.schema([("h", pa.int64()), ("offset", pa.int32()), ("key", pa.int64()), ("ahead", pa.int64()), ("doc_id", pa.int64()), ("starts", pa.list_(pa.int32()))])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            h, docs, pos = (b.column(i).to_pylist() for i in (0, 2, 3))
-            for h0, d, p, text in zip(h, docs, pos, b.column(4).to_pylist()):
+            for h, d, places, text in zip(*(b.column(i).to_pylist() for i in (0, 2, 3, 4))):
                 codes = _matrix([text], before + span)[0]
                 keys = gram_hashes(codes, span).view(np.int64)
                 filled = np.concatenate(([0], np.cumsum(codes != 0)))
@@ -141,9 +142,9 @@ def _stretch_rows(span: int, gram: int):
                 # the start of a text, nothing is ahead, which differs from everything, itself included.
                 ahead = np.where((at > 0) & (codes[at - 1] != 0), codes[at - 1].astype(np.int64), -1 - d)
                 n = len(at)
+                starts = [[p - before + o for p in places] for o in at.tolist()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, h0)), pa.array(at.astype(np.int32)), pa.array(keys[at]), pa.array(ahead), pa.array(np.full(n, d)), pa.array(np.full(n, p, np.int32))],
-                    schema=schema,
+                    [pa.array(np.full(n, h)), pa.array(at.astype(np.int32)), pa.array(keys[at]), pa.array(ahead), pa.array(np.full(n, d)), pa.array(starts, schema.field(5).type)], schema=schema
                 )
 
     return rows
@@ -172,24 +173,24 @@ def shared_anchors(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataF
 
 
 def cut_blocks(docs: DataFrame, shared: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
-    """h, n, doc_id, pos, block: what surrounds each of the anchors in ``shared``."""
+    """h, n, doc_id, at, block: what surrounds each of the anchors in ``shared``; places of a document with the same
+    block are one row, so a text that repeats itself costs what it says once."""
     per_doc = shared.groupBy("doc_id").agg(F.collect_list(F.struct("h", "n", "pos")).alias("found"))
     return docs.join(per_doc, "doc_id").select("doc_id", "text", "found").mapInArrow(_block_rows(span, gram), _BLOCKS)
 
 
 def factors(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    """doc_a, doc_b, start_a, start_b, length: factors of at least ``span`` between representatives, cut at the
+    """doc_a, doc_b, starts_a, starts_b, length: factors of at least ``span`` between representatives, cut at the
     edges of blocks. ``docs`` is what ``usable`` gives."""
     shared = shared_anchors(docs, span, gram)
     few, many = (cut_blocks(docs, shared.where(c), span, gram) for c in (F.col("n") <= hot, F.col("n") > hot))
-    groups = few.groupBy("h").agg(F.collect_list(F.struct("doc_id", "pos", "block")).alias("members")).where("size(members) > 1")
-    small = groups.select("members").mapInArrow(_factor_rows(span, gram), "doc_a long, doc_b long, start_a int, start_b int, length int")
-    stretches = many.mapInArrow(_stretch_rows(span, gram), "h long, offset int, key long, ahead long, doc_id long, pos int")
+    groups = few.groupBy("h").agg(F.collect_list(F.struct("doc_id", "at", "block")).alias("members")).where("size(members) > 1")
+    small = groups.select("members").mapInArrow(_factor_rows(span, gram), _FACTORS)
+    stretches = many.mapInArrow(_stretch_rows(span, gram), "h long, offset int, key long, ahead long, doc_id long, starts array<int>")
     a, b = stretches.alias("a"), stretches.alias("b")
     on = F.expr("a.h = b.h and a.offset = b.offset and a.key = b.key and a.doc_id < b.doc_id and a.ahead <> b.ahead")
-    begin = lambda s: (F.col(f"{s}.pos") + F.col("a.offset") - (span - gram)).cast("int")
     large = a.join(b, on).select(
-        F.col("a.doc_id").alias("doc_a"), F.col("b.doc_id").alias("doc_b"), begin("a").alias("start_a"), begin("b").alias("start_b"), F.lit(span).alias("length")
+        F.col("a.doc_id").alias("doc_a"), F.col("b.doc_id").alias("doc_b"), F.col("a.starts").alias("starts_a"), F.col("b.starts").alias("starts_b"), F.lit(span).alias("length")
     )
     return small.unionByName(large)
 
@@ -214,9 +215,8 @@ def shared_share(documents: DataFrame, span: int = SPAN, gram: int = GRAM, hot:
     """
     docs = usable(documents, span)
     f = factors(docs, span, gram, hot)
-    sides = f.select(F.col("doc_a").alias("rep"), F.col("start_a").alias("start"), (F.col("start_a") + F.col("length")).alias("stop")).unionByName(
-        f.select(F.col("doc_b").alias("rep"), F.col("start_b").alias("start"), (F.col("start_b") + F.col("length")).alias("stop"))
-    )
+    side = lambda d: f.select(F.col(f"doc_{d}").alias("rep"), F.explode(f"starts_{d}").alias("start"), "length")
+    sides = side("a").unionByName(side("b")).withColumn("stop", F.col("start") + F.col("length"))
     spans = sides.groupBy("rep", "start").agg(F.max("stop").alias("stop"))
     so_far = F.max("stop").over(Window.partitionBy("rep").orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
     reach = F.coalesce(so_far, F.lit(0))

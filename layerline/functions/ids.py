@@ -88,7 +88,8 @@ def render_enhancement(base_id: Column, number: Column) -> Column:
 
 def is_specific(c: Column) -> Column:
     """True from number 400 on, by the enhancement if there is one, else by the base."""
-    return F.coalesce(parse_canonical(c)["is_specific"], F.lit(False))
+    number = F.coalesce(F.nullif(F.regexp_extract(c, CANON_ANY_RE, 3), F.lit("")), F.regexp_extract(c, CANON_ANY_RE, 2))
+    return F.coalesce(number.try_cast("int") >= SPECIFIC_FROM, F.lit(False))
 
 
 def synthetic_oscal(c: Column) -> Column:

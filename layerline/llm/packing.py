@@ -22,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import read_table
@@ -35,7 +35,7 @@ MOST_TASKS = 10_000
 @dataclass(frozen=True)
 class Capacity:
     """One kind of container. ``documents`` and ``attention`` default to what a container of many short
-    texts needs: a document for every 16 tokens, and the cost of one text that fills it."""
+    texts needs: a document for every 4 tokens, and the cost of one text that fills it."""
 
     kind: str
     tokens: int
@@ -44,7 +44,7 @@ class Capacity:
 
     @property
     def vector(self) -> np.ndarray:
-        return np.array([self.tokens, self.documents or max(1, self.tokens // 16), self.attention or float(self.tokens) ** 2])
+        return np.array([self.tokens, self.documents or max(1, self.tokens // 4), self.attention or float(self.tokens) ** 2])
 
 
 def best_fit(sizes: np.ndarray, cap: Capacity, score: str = "norm", weights: tuple[float, float, float] = (1.0, 0.05, 0.05)) -> np.ndarray:
@@ -117,7 +117,9 @@ _OUT = "container_kind string, container_id string, doc_id long, copy int, piece
 def pack_sizes(sizes: DataFrame, rows: int, caps: list[Capacity], score: str = "norm", block_items: int = BLOCK) -> DataFrame:
     """``sizes``: doc_id, n_tokens, about ``rows`` rows. One row per text or piece of a text and kind of container."""
     once = sizes.where("doc_id is not null and n_tokens is not null").groupBy("doc_id", "n_tokens").agg(F.count("*").alias("copies"))
-    items = once.select("doc_id", "n_tokens", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
+    # Rows of one document are numbered through its sizes, of which it has one unless it occurs with several texts.
+    last = F.sum("copies").over(Window.partitionBy("doc_id").orderBy("n_tokens").rowsBetween(Window.unboundedPreceding, 0)).cast("int")
+    items = once.withColumn("last", last).select("doc_id", "n_tokens", F.explode(F.sequence(F.col("last") - F.col("copies").cast("int") + 1, F.col("last"))).alias("copy"))
     blocks = max(1, math.ceil(rows / block_items))
     items = items.withColumn("block", F.pmod(F.xxhash64("doc_id", "copy"), F.lit(blocks)))
 

@@ -179,26 +179,42 @@ def cut_blocks(docs: DataFrame, shared: DataFrame, span: int = SPAN, gram: int =
     return docs.join(per_doc, "doc_id").select("doc_id", "text", "found").mapInArrow(_block_rows(span, gram), _BLOCKS)
 
 
-def factors(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    """doc_a, doc_b, starts_a, starts_b, length: factors of at least ``span`` between representatives, cut at the
-    edges of blocks. ``docs`` is what ``usable`` gives."""
+_STRETCHES = "h long, offset int, key long, ahead long, doc_id long, starts array<int>"
+
+
+def candidates(docs: DataFrame, span: int, gram: int, hot: int) -> tuple[DataFrame, DataFrame]:
+    """(factors between the blocks of anchors with up to ``hot`` places, stretches of the blocks of the others)."""
     shared = shared_anchors(docs, span, gram)
     few, many = (cut_blocks(docs, shared.where(c), span, gram) for c in (F.col("n") <= hot, F.col("n") > hot))
     groups = few.groupBy("h").agg(F.collect_list(F.struct("doc_id", "at", "block")).alias("members")).where("size(members) > 1")
-    small = groups.select("members").mapInArrow(_factor_rows(span, gram), _FACTORS)
-    stretches = many.mapInArrow(_stretch_rows(span, gram), "h long, offset int, key long, ahead long, doc_id long, starts array<int>")
+    return groups.select("members").mapInArrow(_factor_rows(span, gram), _FACTORS), many.mapInArrow(_stretch_rows(span, gram), _STRETCHES)
+
+
+def representative_pairs(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int = HOT) -> DataFrame:
+    """doc_a, doc_b: representatives with a common factor of at least ``span``. ``docs`` is what ``usable`` gives."""
+    factors, stretches = candidates(docs, span, gram, hot)
     a, b = stretches.alias("a"), stretches.alias("b")
+    # Only the first of a run of common stretches counts: where what lies ahead differs.
     on = F.expr("a.h = b.h and a.offset = b.offset and a.key = b.key and a.doc_id < b.doc_id and a.ahead <> b.ahead")
-    large = a.join(b, on).select(
-        F.col("a.doc_id").alias("doc_a"), F.col("b.doc_id").alias("doc_b"), F.col("a.starts").alias("starts_a"), F.col("b.starts").alias("starts_b"), F.lit(span).alias("length")
-    )
-    return small.unionByName(large)
+    hot_pairs = a.join(b, on).select(F.col("a.doc_id").alias("doc_a"), F.col("b.doc_id").alias("doc_b"))
+    return factors.select("doc_a", "doc_b").unionByName(hot_pairs).distinct()
+
+
+def shared_intervals(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int = HOT) -> DataFrame:
+    """rep, start, stop: intervals of representatives that occur in other representatives; no pair is formed of hot blocks."""
+    factors, stretches = candidates(docs, span, gram, hot)
+    side = lambda d: factors.select(F.col(f"doc_{d}").alias("rep"), F.explode(f"starts_{d}").alias("start"), "length")
+    key = ["h", "offset", "key"]
+    several = stretches.groupBy(*key).agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi").select(*key)
+    common = stretches.join(several, key, "left_semi").select(F.col("doc_id").alias("rep"), F.explode("starts").alias("start"), F.lit(span).alias("length"))
+    rows = side("a").unionByName(side("b")).unionByName(common)
+    return rows.groupBy("rep", "start").agg((F.col("start") + F.max("length")).alias("stop"))
 
 
 def sharing_pairs(documents: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """doc_id_a, doc_id_b: all pairs of documents with a common stretch of at least ``span`` code points."""
     docs = usable(documents, span)
-    pairs = factors(docs, span, gram, hot).select("doc_a", "doc_b").distinct()
+    pairs = representative_pairs(docs, span, gram, hot)
     members = copies(docs)
     a = members.select(F.col("doc_id").alias("doc_id_a"), F.col("rep").alias("doc_a"))
     b = members.select(F.col("doc_id").alias("doc_id_b"), F.col("rep").alias("doc_b"))
@@ -214,10 +230,7 @@ def shared_share(documents: DataFrame, span: int = SPAN, gram: int = GRAM, hot:
     One row per document with a non-null id and text; overlapping spans count once.
     """
     docs = usable(documents, span)
-    f = factors(docs, span, gram, hot)
-    side = lambda d: f.select(F.col(f"doc_{d}").alias("rep"), F.explode(f"starts_{d}").alias("start"), "length")
-    sides = side("a").unionByName(side("b")).withColumn("stop", F.col("start") + F.col("length"))
-    spans = sides.groupBy("rep", "start").agg(F.max("stop").alias("stop"))
+    spans = shared_intervals(docs, span, gram, hot)
     so_far = F.max("stop").over(Window.partitionBy("rep").orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
     reach = F.coalesce(so_far, F.lit(0))
     fresh = F.greatest(F.lit(0), F.col("stop") - F.greatest("start", reach))

@@ -25,11 +25,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..errors import EngineError
 from ..session import checkpointed, read_table
 from .tokens import VOCABULARY, token_sizes
 
 BLOCK_DOCS = 1000
 MOST_BLOCKS = 1 << 20
+MOST_TARGETS = 10_000
 
 
 def normalised(weights: dict[str, float]) -> dict[str, float]:
@@ -86,9 +88,14 @@ class Share:
     rest: int
 
 
-def plan_mix(mix_id: str, targets: dict[str, tuple[float, int]], tokens: dict[str, int], budget: int | None = None, target_entropy: float | None = None) -> list[Share]:
-    """The plan of one mix; ``targets``: source -> (share, most repetitions), ``tokens``: source -> tokens there."""
+def plan_mix(mix_id: str, targets: dict[str, tuple[float, int]], tokens: dict[str, int], budget: int | None = None, target_entropy: float | None = None, epochs: float | None = None) -> list[Share]:
+    """The plan of one mix; ``targets``: source -> (share, most repetitions), ``tokens``: source -> tokens there.
+
+    ``budget`` is a number of tokens, ``epochs`` the same as a multiple of all tokens of the mix's sources.
+    """
     there = {s: t for s, (t, r) in targets.items() if t > 0 and r > 0 and tokens.get(s, 0) > 0}
+    if epochs is not None:
+        budget = int(epochs * sum(tokens[s] for s in there))
     weights: dict[str, float] = {}
     x, size = 1.0, 0.0
     if there:
@@ -120,18 +127,25 @@ def sized_documents(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
 _PLAN = "mix_id string, source string, target_share double, max_repeats int, planned_share double, exponent double, budget long, passes long, rest long"
 
 
-def plan_mixes(targets: DataFrame, sized: DataFrame, budget: int | None = None, target_entropy: float | None = None) -> DataFrame:
-    """One row per mix and source. Targets are a fixed list of settings and are read to the driver, with one
-    total for each of the sources they name."""
+def plan_mixes(targets: DataFrame, sized: DataFrame, **how) -> DataFrame:
+    """One row per mix and source; ``how`` goes to ``plan_mix``.
+
+    Targets are settings: they are read to the driver, up to ``MOST_TARGETS`` of them (more are refused, not cut), with one
+    total for each source they name.
+    """
+    spark = targets.sparkSession
     wanted = targets.where("mix_id is not null and source is not null and target_share > 0 and max_repeats > 0")
     wanted = wanted.groupBy("mix_id", "source").agg(F.max("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
-    named = F.broadcast(wanted.select("source").distinct())
-    totals = {r["source"]: r["tokens"] for r in sized.join(named, "source").groupBy("source").agg(F.sum("n_tokens").alias("tokens")).collect()}
+    rows = wanted.limit(MOST_TARGETS + 1).collect()
+    if len(rows) > MOST_TARGETS:
+        raise EngineError(f"more than {MOST_TARGETS} targets")
+    named = spark.createDataFrame(sorted({(r["source"],) for r in rows}), "source string")
+    totals = {r["source"]: r["tokens"] for r in sized.join(F.broadcast(named), "source").groupBy("source").agg(F.sum("n_tokens").alias("tokens")).collect()}
     mixes: dict[str, dict[str, tuple[float, int]]] = {}
-    for r in wanted.collect():
+    for r in rows:
         mixes.setdefault(r["mix_id"], {})[r["source"]] = (r["target_share"], r["max_repeats"])
-    rows = [s.__dict__ for m, t in sorted(mixes.items()) for s in plan_mix(m, t, totals, budget, target_entropy)]
-    return targets.sparkSession.createDataFrame([tuple(r.values()) for r in rows], _PLAN)
+    plans = [s.__dict__ for m, t in sorted(mixes.items()) for s in plan_mix(m, t, totals, **how)]
+    return spark.createDataFrame([tuple(r.values()) for r in plans], _PLAN)
 
 
 def draw(sized: DataFrame, plan: DataFrame, rows: int, seed: int = 0) -> DataFrame:
@@ -171,10 +185,10 @@ def mix_shares(drawn: DataFrame, plan: DataFrame) -> DataFrame:
     return rows.withColumn("actual_share", F.when(total > 0, F.col("tokens") / total).otherwise(0.0))
 
 
-def _mixed(spark, base: str) -> tuple[DataFrame, DataFrame]:
+def _mixed(spark, base: str, **how) -> tuple[DataFrame, DataFrame]:
     docs = read_table(spark, base, "documents")
     sized = checkpointed(sized_documents(docs))  # three numbers a document, read four times: tokenised once
-    plan = plan_mixes(read_table(spark, base, "mix_targets"), sized)
+    plan = plan_mixes(read_table(spark, base, "mix_targets"), sized, **how)
     return draw(sized, plan, docs.count()), plan
 
 
@@ -184,3 +198,8 @@ def p7_draws(spark, base: str) -> DataFrame:
 
 def p7_shares(spark, base: str) -> DataFrame:
     return mix_shares(*_mixed(spark, base))
+
+
+def p7_tempered_shares(spark, base: str) -> DataFrame:
+    """Each mix as large as all its sources' tokens: the exponent falls until no source repeats too often."""
+    return mix_shares(*_mixed(spark, base, epochs=1.0))

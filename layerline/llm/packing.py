@@ -25,11 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..errors import EngineError
 from ..session import read_table
 from .tokens import VOCABULARY, token_sizes
 
 BLOCK = 4096
 MOST_TASKS = 10_000
+MOST_KINDS = 1_000
 
 
 @dataclass(frozen=True)
@@ -134,9 +136,11 @@ def pack_sizes(sizes: DataFrame, rows: int, caps: list[Capacity], score: str = "
 
 
 def capacities(containers: DataFrame) -> list[Capacity]:
-    """The kinds of a containers table: a fixed list of settings, read to the driver."""
-    rows = containers.where("container_kind is not null and capacity_tokens > 0").select("container_kind", "capacity_tokens").distinct()
-    return [Capacity(k, n) for k, n in sorted(tuple(r) for r in rows.collect())]
+    """The kinds of a containers table: settings, read to the driver up to ``MOST_KINDS`` (more are refused)."""
+    rows = containers.where("container_kind is not null and capacity_tokens > 0").select("container_kind", "capacity_tokens").distinct().limit(MOST_KINDS + 1).collect()
+    if len(rows) > MOST_KINDS:
+        raise EngineError(f"more than {MOST_KINDS} kinds of containers")
+    return [Capacity(k, n) for k, n in sorted(tuple(r) for r in rows)]
 
 
 def pack_documents(docs: DataFrame, caps: list[Capacity], vocabulary: str = VOCABULARY, score: str = "norm", block_items: int = BLOCK) -> DataFrame:

@@ -24,6 +24,7 @@ QUERIES = {
     "p6_fill": packing.p6_fill,
     "p7_draws": mixing.p7_draws,
     "p7_shares": mixing.p7_shares,
+    "p7_tempered_shares": mixing.p7_tempered_shares,
     "p8_found": spans.p8_found,
     "p8_shared": spans.p8_shared,
 }

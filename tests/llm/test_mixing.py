@@ -36,6 +36,7 @@ def test_plan():
     assert plan["c"].budget == 200 and plan["c"].passes == 2 and plan["c"].rest == 0 and plan["a"].budget == 1000 and plan["b"].budget == 600
     big = {p.source: p for p in M.plan_mix("m", targets, tokens, budget=10_000)}
     assert all(p.budget <= 2 * tokens.get(p.source, 0) for p in big.values()) and sum(p.budget for p in big.values()) == pytest.approx(10_000, abs=3) and big["a"].exponent < 1
+    assert M.plan_mix("m", targets, tokens, epochs=1.0) == list(big.values())
     flat = M.plan_mix("m", targets, tokens, target_entropy=0.5)
     assert M.entropy({p.source: p.planned_share for p in flat}) == pytest.approx(0.5)
     assert [p.budget for p in M.plan_mix("m", {"gone": (1.0, 2)}, tokens)] == [0]

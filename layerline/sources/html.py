@@ -18,6 +18,8 @@ from pyspark.sql.types import StructType
 # Element names of HTML.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 SILENT = {"script", "style", "template"}
+#: Elements that enclose a page or most of it: their rows carry no text, or each page would be stored once more for each.
+WHOLE = {"html", "body", "main"}
 ENDS_P = {"address", "article", "aside", "blockquote", "details", "div", "dl", "fieldset", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6",
           "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul"}
 #: An opening tag ends these open elements, unless one of the second set lies between.
@@ -123,10 +125,10 @@ def element_rows(page: str) -> list[tuple]:
         e.pos = len(out)
         kids = e.elements()
         lead = next((c for c in kids if c.tag == "strong"), None)
-        text = joined(strings(e))
-        own = joined(s for c in e.children for s in ([c] if isinstance(c, str) else () if c.tag in ("ol", "ul") else strings(c)))
+        text = None if e.tag in WHOLE else joined(strings(e))
+        own = None if e.tag in WHOLE else joined(s for c in e.children for s in ([c] if isinstance(c, str) else () if c.tag in ("ol", "ul") else strings(c)))
         strong = rest = None
-        if lead is not None:
+        if lead is not None and text is not None:
             strong = joined(strings(lead))
             rest = text[len(strong) :].strip() if text.startswith(strong) else text
         out.append((e.pos, ancestors[-1] if ancestors else -1, len(ancestors), e.tag, e.attrs.get("id"), e.attrs.get("href"), ancestors, outline if e.tag == "li" else None, text, own, strong, rest))

@@ -15,6 +15,7 @@ from ..errors import BaselineImportError, IdMappingError, OscalVersionError
 from ..functions.ids import any_from_oscal, base_from_oscal, child_from_oscal, fallback_id
 from ..operators.nested import explode_tree, nesting_depth
 from ..schemas import BASELINE, MAX_OSCAL_VERSION, PART_NAMES
+from ..session import checkpointed
 
 FOLLOWED = {
     "root": {"groups": "group", "controls": "control"},
@@ -70,7 +71,7 @@ def baseline_records(docs: DataFrame, git_commit: str = "", publication: str = "
     ``docs``: doc_id, json, source_sha256. Children come before their parents (``ord``). In lenient mode an id that does not map
     falls back to its upper case, or to its parent's and its last segment; strict raises. A control without id is left out.
     """
-    nodes = document_nodes(docs).withColumn("mid", _get("id"))
+    nodes = checkpointed(document_nodes(docs).withColumn("mid", _get("id")))  # walked once; read by every step below
     controls = nodes.where("node_kind = 'control' and mid is not null")
     parents = controls.select("doc_id", F.col("node_path").alias("parent_path"), F.col("mid").alias("parent_upstream_id"))
     groups = nodes.where("node_kind = 'group'").select("doc_id", F.col("node_path").alias("group_path"), F.col("mid").alias("group_id"))

@@ -13,11 +13,13 @@ from .schemas import VIEWS
 from .sources import fetch, raw, registry
 
 COMMANDS = ("fetch", "import-baseline", "parse-overlay", "reconcile", "parse-profile", "validate", "export", "build", "diff", "show", "render-embeddings", "import-workbook")
+#: Other names that the commands answer to.
+ALIASES = {"import-nist": "import-baseline", "parse-canada": "parse-overlay", "import-profile-spreadsheet": "import-workbook"}
 
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="layerline")
-    p.add_argument("command", choices=COMMANDS)
+    p.add_argument("command", choices=(*COMMANDS, *ALIASES))
     p.add_argument("what", nargs="*", help="record id (show), workbook (import-workbook), two data roots (diff)")
     p.add_argument("--output", default="data", help="data root")
     p.add_argument("--registry", default="config/sources.yaml")
@@ -27,8 +29,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--family")
     p.add_argument("--offline", action="store_true")
     p.add_argument("--force-fetch", action="store_true")
-    p.add_argument("--baseline-ref")
-    p.add_argument("--allow-newer", action="store_true")
+    p.add_argument("--baseline-ref", "--nist-ref", dest="baseline_ref")
+    p.add_argument("--allow-newer", "--allow-newer-oscal", dest="allow_newer", action="store_true")
     p.add_argument("--upstream", action="store_true")
     p.add_argument("--view", default=VIEWS[0])
     return p
@@ -39,7 +41,7 @@ def run(spark, args: argparse.Namespace) -> tuple[int, str]:
     known = registry.load_registry(args.registry) if args.command not in ("diff", "show") else {}
     c = pipeline.Config(args.output, known, strict=args.strict, run_at=raw.now_text())
     text = lambda x: json.dumps(x, indent=2, ensure_ascii=False, default=str)
-    match args.command:
+    match ALIASES.get(args.command, args.command):
         case "fetch":
             got = fetch.fetch_all(spark, known, c.root, c.run_at[:10], offline=args.offline, force=args.force_fetch, ref=args.baseline_ref, publication=args.publication, strict=args.strict)
             return 0, text({k: [str(p) for p in v] for k, v in got.items()})

@@ -85,10 +85,13 @@ def discover_families(spark: SparkSession, page: bytes, marker: str, drop_texts:
     return table_of_contents(pages, marker, drop_texts, drop_slugs)
 
 
-def fetch_families(spark: SparkSession, get: Transport, root: str, source_id: str, source: dict, day: str, marker: str, force: bool = False, strict: bool = False, delay: float = DELAY_S, drop_texts=(), drop_slugs=()):
-    """Every family page of the registry, after comparing the discovered families with the configured ones."""
+def fetch_families(spark: SparkSession, get: Transport, root: str, source_id: str, source: dict, day: str, force: bool = False, strict: bool = False, delay: float = DELAY_S):
+    """(snapshot folders, differing slugs): every family page of the registry, after comparing the families that the
+    contents page links to with the configured ones."""
     toc = get(source["toc_url"], {})
-    found = discover_families(spark, toc.body, marker, tuple(drop_texts), tuple(drop_slugs))
+    if toc.status != 200:
+        raise FetchError(f"{source['toc_url']}: status {toc.status}")
+    found = discover_families(spark, toc.body, source.get("link_marker", "/"), tuple(source.get("drop_texts") or ()), tuple(source.get("drop_slugs") or ()))
     known = spark.createDataFrame([(f["slug"],) for f in source["families"]], "slug string")
     apart = [tuple(r) for r in set_difference(found, known, "slug", "discovered", "configured").orderBy("side", "slug").collect()]
     if apart and strict:
@@ -96,7 +99,7 @@ def fetch_families(spark: SparkSession, get: Transport, root: str, source_id: st
     out = []
     for f in source["families"]:
         meta = {"publication": source["publication"], "retrieved_at": raw.now_text(), "family_id": f["id"], "family_slug": f["slug"]}
-        out.append(fetch_one(get, root, source_id, f"{source['toc_url'].rstrip('/')}/{f['slug']}", "page.html", meta, day, f["slug"], force))
+        out.append(fetch_one(get, root, source_id, f"{source['root_url'].rstrip('/')}/{f['slug']}", "page.html", meta, day, f["slug"], force))
         time.sleep(delay)
     return out, apart
 
@@ -106,7 +109,7 @@ def fetch_page(get: Transport, root: str, source_id: str, source: dict, day: str
     return fetch_one(get, root, source_id, source["root_url"], "page.html", meta, day, force=force)
 
 
-def fetch_all(spark: SparkSession, registry: dict, root: str, day: str, get: Transport = http, offline: bool = False, force: bool = False, ref: str | None = None, publication: str | None = None, strict: bool = False, marker: str = "/", delay: float = DELAY_S) -> dict:
+def fetch_all(spark: SparkSession, registry: dict, root: str, day: str, get: Transport = http, offline: bool = False, force: bool = False, ref: str | None = None, publication: str | None = None, strict: bool = False, delay: float = DELAY_S) -> dict:
     """Acquire every source, or those of one publication; ``offline`` acquires nothing. Gives the snapshot folders by source."""
     out: dict = {}
     for sid, s in registry.items():
@@ -115,7 +118,7 @@ def fetch_all(spark: SparkSession, registry: dict, root: str, day: str, get: Tra
         if s["type"] == "oscal_catalog":
             out[sid] = [fetch_baseline(get, root, sid, s, day, ref, force)]
         elif s.get("families"):
-            out[sid] = fetch_families(spark, get, root, sid, s, day, marker, force, strict, delay)[0]
+            out[sid] = fetch_families(spark, get, root, sid, s, day, force, strict, delay)[0]
         else:
             out[sid] = [fetch_page(get, root, sid, s, day, force)]
     return out

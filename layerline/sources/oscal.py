@@ -171,3 +171,11 @@ def inspect(docs: DataFrame, control_id: str) -> list[str]:
     """The raw JSON of every control with an id, at any depth."""
     found = document_nodes(docs).where((F.col("node_kind") == "control") & (_get("id") == control_id))
     return [r[0] for r in found.select(F.to_json("v")).collect()]
+
+
+def parts_named(docs: DataFrame, name: str) -> DataFrame:
+    """control_id, part_id, prose of the parts of one name (statement, guidance, assessment-objective, ...) right in a control."""
+    nodes = document_nodes(docs)
+    controls = nodes.where("node_kind = 'control'").select("doc_id", F.col("node_path").alias("parent_path"), _get("id").alias("control_id"))
+    parts = nodes.where((F.col("node_kind") == "part") & (_get("name") == name)).select("doc_id", "parent_path", _get("id").alias("part_id"), _get("prose").alias("prose"))
+    return parts.join(controls, ["doc_id", "parent_path"]).select("control_id", "part_id", "prose")

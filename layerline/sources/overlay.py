@@ -248,3 +248,11 @@ def table_of_contents(pages: DataFrame, marker: str, drop_texts: tuple[str, ...]
     named = a.select(F.col("text").alias("name"), F.element_at(F.split(F.regexp_replace("href", "/+$", ""), "/"), -1).alias("slug"), F.col("pos").alias("ord"))
     kept = named.where(~F.col("name").isin(*drop_texts) & ~F.col("slug").isin(*drop_slugs))
     return kept.groupBy("slug").agg(F.min_by("name", "ord").alias("name"), F.min("ord").alias("ord")).orderBy("ord")
+
+
+def inspect(pages: DataFrame, record_id: str) -> DataFrame:
+    """pos, tag, text: the heading of a record and its blocks as the page has them. ``pages``: page, html."""
+    nodes = page_nodes(pages, ["page"])
+    siblings = Window.partitionBy("page", "parent").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    of = nodes.withColumn("of", F.last(F.when(F.col("tag") == "h2", F.coalesce("attr_id", F.lit(""))), ignorenulls=True).over(siblings))
+    return of.where(F.endswith("of", F.lit(f"-{record_id}"))).select("page", "pos", "tag", "text").orderBy("page", "pos")

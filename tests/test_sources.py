@@ -3,10 +3,11 @@ import zipfile
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from layerline import errors
 from layerline.operators import profile
-from layerline.sources import fetch, html, jsonl, overlay, raw, registry, xlsx
+from layerline.sources import fetch, html, jsonl, oscal, overlay, raw, registry, xlsx
 
 HERE = Path(__file__).parent / "fixtures"
 HEAD = ["Family", "ID", "Name", "Description", "Control/Activity", "Suggested for this profile", "Suggested placeholder values", "Profile-specific notes"]
@@ -126,11 +127,11 @@ class Net:
 
 def test_fetch(spark, tmp_path):
     known = registry.load_registry(str(HERE / "sources.yaml"))
-    toc = b"<main><a href='/over/families/access'>Access</a><a href='/over/families/services'>Services</a></main>"
+    toc = b"<main><a href='/over/access'>Access</a><a href='/over/services'>Services</a><a href='/over/families'>All</a><a href='/over/x'>Next</a></main>"
     at = "https://example.test/"
-    net = Net({f"{at}commits": b'[{"sha": "abc"}]', f"{at}abc/catalog.json": b"{}", f"{at}over/families": toc, f"{at}over/families/access": b"A", f"{at}over/families/services": b"S", f"{at}profile": b"P"})
+    net = Net({f"{at}commits": b'[{"sha": "abc"}]', f"{at}abc/catalog.json": b"{}", f"{at}over/families": toc, f"{at}over/access": b"A", f"{at}over/services": b"S", f"{at}profile": b"P"})
     root = str(tmp_path)
-    out = fetch.fetch_all(spark, known, root, "2026-01-01", net, marker="/over/families/", delay=0)
+    out = fetch.fetch_all(spark, known, root, "2026-01-01", net, delay=0)
     assert set(out) == {"base", "over", "prof"} and raw.read_fetch_meta(out["base"][0])["resolved_commit"] == "abc"
     again = fetch.fetch_all(spark, known, root, "2026-01-02", net, publication="Profile 1", delay=0)
     assert set(again) == {"prof"} and (again["prof"][0] / "page.html").read_bytes() == b"P" and raw.read_fetch_meta(again["prof"][0])["http_status"] == 304
@@ -139,11 +140,40 @@ def test_fetch(spark, tmp_path):
     assert fetch.fetch_all(spark, known, root, "2026-01-03", net, offline=True) == {}
     net.pages[f"{at}over/families"] = toc.replace(b"services", b"renamed")
     with pytest.raises(errors.SourceChangedError):
-        fetch.fetch_all(spark, known, root, "2026-01-04", net, publication="Overlay 1", strict=True, marker="/over/families/", delay=0)
+        fetch.fetch_all(spark, known, root, "2026-01-04", net, publication="Overlay 1", strict=True, delay=0)
     with pytest.raises(errors.FetchError):
         fetch.resolve_commit(Net({}), f"{at}commits")
 
 
+def test_own_registry():
+    known = registry.load_registry(str(HERE.parents[1] / "config" / "sources.yaml"))
+    assert len(known["itsp_10_033"]["families"]) == 20 and len(registry.enabled(known)) == 3
+
+
+def test_inspection(spark):
+    page = (HERE / "access.html").read_text()
+    pages = spark.createDataFrame([(1, page)], "page long, html string")
+    rows = overlay.inspect(pages, "AC-13").collect()
+    assert [(r.tag, r.text) for r in rows] == [("h2", "AC-13 Supervision"), ("p", "Withdrawn: Incorporated into AC-02.")]
+    docs = spark.createDataFrame([(1, (HERE / "catalog.json").read_text(), "h")], "doc_id int, json string, source_sha256 string")
+    assert [json.loads(j)["title"] for j in oscal.inspect(docs, "sa-8.33")] == ["Less data"] and oscal.inspect(docs, "zz-1") == []
+    parts = oscal.parts_named(docs, "guidance").collect()
+    assert sorted((r.control_id, r.prose) for r in parts) == [("ac-1", "Policies matter."), ("ac-2", "Old words.")]
+
+
+def test_newer_documents_are_refused(spark):
+    newer = spark.createDataFrame([(1, '{"catalog":{"metadata":{"oscal-version":"1.3.0"}}}', "h")], "doc_id int, json string, source_sha256 string")
+    with pytest.raises(errors.OscalVersionError):
+        oscal.check_documents(newer)
+    oscal.check_documents(newer, allow_newer=True)
+    with pytest.raises(errors.BaselineImportError):
+        oscal.check_documents(newer.withColumn("json", F.lit("{")))
+    odd = spark.createDataFrame([(1, '{"catalog":{"metadata":{},"groups":[{"id":"ac","controls":[{"id":"odd"}]}]}}', "h")], "doc_id int, json string, source_sha256 string")
+    assert [r.canonical_candidate_id for r in oscal.baseline_records(odd).collect()] == ["ODD"]
+    with pytest.raises(errors.IdMappingError):
+        oscal.baseline_records(odd, strict=True)
+
+
 def test_registry(spark):
     known = registry.load_registry(str(HERE / "sources.yaml"))
     assert set(registry.enabled(known)) == {"base", "over", "prof"}

@@ -181,20 +181,21 @@ def same_look_groups(records: DataFrame, fields: tuple[str, ...] = FIELDS) -> Da
 def same_look_pairs(records: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
     """field, key_a, key_b: pairs of records of one build whose texts look the same and differ.
 
+    Pairs are first formed between the distinct spellings of a look, then between the records of two spellings,
+    so no pair of equal spellings is ever looked at: work follows the result, however many records share a spelling.
+
     Null keys form no pairs; a build that is null is a build of its own; a record delivered twice
-    forms no pair with itself; empty texts are left out. The pairs of a group are what is asked for;
-    none is formed between equal spellings.
+    forms no pair with itself; empty texts are left out.
     """
     g = same_look_groups(records, fields).where("record_key is not null")
-    a, b = g.alias("a"), g.alias("b")
-    on = (
-        F.col("a.build_id").eqNullSafe(F.col("b.build_id"))
-        & (F.col("a.field") == F.col("b.field"))
-        & (F.col("a.look") == F.col("b.look"))
-        & (F.col("a.spelling") != F.col("b.spelling"))
-        & (F.col("a.record_key") < F.col("b.record_key"))
-    )
-    return a.join(b, on).select(F.col("a.field").alias("field"), F.col("a.record_key").alias("key_a"), F.col("b.record_key").alias("key_b")).distinct()
+    # One key for all a look is: the build (null kept apart), the field and the look's hash.
+    g = g.select(F.md5(F.to_binary(F.concat_ws("/", F.hex(F.coalesce(F.concat(F.lit("b"), "build_id"), F.lit(""))), F.hex("field"), F.hex("look")), F.lit("utf-8"))).alias("look"), "field", "spelling", "record_key")
+    spellings = g.select("look", "field", "spelling").distinct()
+    s, t = spellings.alias("s"), spellings.alias("t")
+    apart = s.join(t, F.expr("s.look = t.look and s.spelling < t.spelling")).select("s.look", "s.field", F.col("s.spelling").alias("one"), F.col("t.spelling").alias("other"))
+    of = lambda spelling, key: g.select("look", F.col("spelling").alias(spelling), F.col("record_key").alias(key))
+    both = apart.join(of("one", "k1"), ["look", "one"]).join(of("other", "k2"), ["look", "other"]).where("k1 <> k2")
+    return both.select("field", F.least("k1", "k2").alias("key_a"), F.greatest("k1", "k2").alias("key_b")).distinct()
 
 
 def consistent_records(records: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:

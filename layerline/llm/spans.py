@@ -129,10 +129,11 @@ def _factor_rows(span: int, gram: int):
 
 def _stretch_rows(span: int, gram: int):
     before = span - gram
-    schema = pa.schema([("h", pa.int64()), ("offset", pa.int32()), ("key", pa.int64()), ("ahead", pa.int64()), ("doc_id", pa.int64()), ("starts", pa.list_(pa.int32()))])
+    schema = pa.schema([("h", pa.int64()), ("key", pa.int64()), ("ahead", pa.int64()), ("doc_id", pa.int64()), ("starts", pa.list_(pa.int32()))])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            out: list[list] = [[] for _ in schema]
             for h, d, places, text in zip(*(b.column(i).to_pylist() for i in (0, 2, 3, 4))):
                 codes = _matrix([text], before + span)[0]
                 keys = gram_hashes(codes, span).view(np.int64)
@@ -141,11 +142,15 @@ def _stretch_rows(span: int, gram: int):
                 # The code point ahead tells whether the stretch one to the left is shared too; at the block's edge, and at
                 # the start of a text, nothing is ahead, which differs from everything, itself included.
                 ahead = np.where((at > 0) & (codes[at - 1] != 0), codes[at - 1].astype(np.int64), -1 - d)
-                n = len(at)
-                starts = [[p - before + o for p in places] for o in at.tolist()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, h)), pa.array(at.astype(np.int32)), pa.array(keys[at]), pa.array(ahead), pa.array(np.full(n, d)), pa.array(starts, schema.field(5).type)], schema=schema
-                )
+                with np.errstate(over="ignore"):  # the anchor and the place of the stretch in the block, as one number
+                    places_of = np.int64(h) ^ ((at + 1) * np.int64(0x2545F4914F6CDD1D))
+                out[0].append(places_of)
+                out[1].append(keys[at])
+                out[2].append(ahead)
+                out[3].append(np.full(len(at), d))
+                out[4] += [[p - before + o for p in places] for o in at.tolist()]
+            if out[4]:
+                yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(c)) for c in out[:4]), pa.array(out[4], schema.field(4).type)], schema=schema)
 
     return rows
 
@@ -179,7 +184,7 @@ def cut_blocks(docs: DataFrame, shared: DataFrame, span: int = SPAN, gram: int =
     return docs.join(per_doc, "doc_id").select("doc_id", "text", "found").mapInArrow(_block_rows(span, gram), _BLOCKS)
 
 
-_STRETCHES = "h long, offset int, key long, ahead long, doc_id long, starts array<int>"
+_STRETCHES = "h long, key long, ahead long, doc_id long, starts array<int>"
 
 
 def candidates(docs: DataFrame, span: int, gram: int, hot: int) -> tuple[DataFrame, DataFrame]:
@@ -193,9 +198,10 @@ def candidates(docs: DataFrame, span: int, gram: int, hot: int) -> tuple[DataFra
 def representative_pairs(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """doc_a, doc_b: representatives with a common factor of at least ``span``. ``docs`` is what ``usable`` gives."""
     factors, stretches = candidates(docs, span, gram, hot)
+    stretches = stretches.select("h", "key", "ahead", "doc_id")
     a, b = stretches.alias("a"), stretches.alias("b")
     # Only the first of a run of common stretches counts: where what lies ahead differs.
-    on = F.expr("a.h = b.h and a.offset = b.offset and a.key = b.key and a.doc_id < b.doc_id and a.ahead <> b.ahead")
+    on = F.expr("a.h = b.h and a.key = b.key and a.doc_id < b.doc_id and a.ahead <> b.ahead")
     hot_pairs = a.join(b, on).select(F.col("a.doc_id").alias("doc_a"), F.col("b.doc_id").alias("doc_b"))
     return factors.select("doc_a", "doc_b").unionByName(hot_pairs).distinct()
 
@@ -204,7 +210,7 @@ def shared_intervals(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: i
     """rep, start, stop: intervals of representatives that occur in other representatives; no pair is formed of hot blocks."""
     factors, stretches = candidates(docs, span, gram, hot)
     side = lambda d: factors.select(F.col(f"doc_{d}").alias("rep"), F.explode(f"starts_{d}").alias("start"), "length")
-    key = ["h", "offset", "key"]
+    key = ["h", "key"]
     several = stretches.groupBy(*key).agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi").select(*key)
     common = stretches.join(several, key, "left_semi").select(F.col("doc_id").alias("rep"), F.explode("starts").alias("start"), F.lit(span).alias("length"))
     rows = side("a").unionByName(side("b")).unionByName(common)

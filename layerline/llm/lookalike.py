@@ -172,10 +172,12 @@ def same_look_groups(records: DataFrame, fields: tuple[str, ...] = FIELDS) -> Da
         "build_id", "field", "record_key", h(consistent_form(F.col("text"))).alias("look"), h(F.col("text")).alias("spelling")
     )
     key = ["build_id", "field", "look"]
-    rows = rows.groupBy(*key, "spelling", "record_key").agg(F.lit(1).alias("n")).drop("n")
+    # Partitioned by all columns: one shuffle, and one pass through Python, for both uses below.
+    rows = rows.repartition(*key, "spelling", "record_key").distinct()
     several = rows.groupBy(*key).agg(F.min("spelling").alias("lo"), F.max("spelling").alias("hi")).where("lo <> hi").select(*[F.col(k).alias(f"__{k}") for k in key])
     same = rows["build_id"].eqNullSafe(several["__build_id"]) & (rows["field"] == several["__field"]) & (rows["look"] == several["__look"])
-    return rows.join(several, same, "left_semi")
+    # Looks are distinct there, so this is a semi join; written as an inner one it stays above the shuffle.
+    return rows.join(several, same).select(rows["*"])
 
 
 def same_look_pairs(records: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:

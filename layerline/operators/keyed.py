@@ -9,23 +9,26 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _kept(df: DataFrame, keys: list[str], best) -> DataFrame:
-    """One row per key by a combining aggregate: whole rows travel once, hot keys collapse before the shuffle."""
+def _kept(df: DataFrame, keys: list[str], order: str, best, null_rank: int) -> DataFrame:
+    """One row per key by a combining aggregate: hot keys collapse before the shuffle."""
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()
-    out = df.groupBy(*keys).agg(best(F.struct(*rest)).alias("__row"))
+    hashable = [f.name for f in df.schema if f.name in rest and "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    by = F.struct((F.col(order).isNull().cast("int") * null_rank).alias("n"), F.col(order).alias("o"), F.xxhash64(*hashable).alias("h"))
+    out = df.groupBy(*keys).agg(best(F.struct(*rest), by).alias("__row"))
     return out.select(*[k if k in keys else F.col("__row").getField(k).alias(k) for k in df.columns])
 
 
 def last_wins(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """The row of each key with the greatest ``order``; null keys form a key of their own."""
-    return _kept(df, keys, lambda row: F.max_by(row, F.col(order)))
+    """The row of each key with the greatest ``order``. Null keys form a key of their own; a null order comes before
+    all others; rows of equal order are told apart by a hash of the row, so the choice is the same in every run."""
+    return _kept(df, keys, order, F.max_by, -1)
 
 
 def first_wins(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """The row of each key with the least ``order``."""
-    return _kept(df, keys, lambda row: F.min_by(row, F.col(order)))
+    """The row of each key with the least ``order``; a null order comes after all others, ties as in ``last_wins``."""
+    return _kept(df, keys, order, F.min_by, 1)
 
 
 def first_wins_conflicts(df: DataFrame, keys: list[str], order: str, value: str) -> DataFrame:

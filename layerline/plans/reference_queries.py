@@ -303,7 +303,8 @@ def _pages(spark, base):
     safe = F.replace(F.replace(F.col("text"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
     page = F.concat(
         F.lit("<html><head><title>t</title><script>var x='</p>';</script></head><body><main><h2 id='1.1-"), "control_id", F.lit("'>"), "control_id", F.lit(" Title of it</h2><h3>Control</h3><ol><li>Keep "),
-        F.col("doc_id").cast("string"), F.lit("<ol><li>and log</ol></ol><h3>Discussion</h3><p>"), safe, F.lit("<h3>Related controls and activities</h3><p>None.<p><strong>Enhancements:</strong> None</main>"),
+        F.col("doc_id").cast("string"), F.lit("<ol><li>and log</ol></ol><h3>Discussion</h3><p>"), safe, F.lit("<h3>Related controls and activities</h3><p>None.<p><strong>Enhancements:</strong> None<p><strong>References:</strong><ul><li><a href='/d/"),
+        F.col("doc_id").cast("string"), F.lit("/'>Work <b>"), F.col("doc_id").cast("string"), F.lit("</b></a><li>Plain work</ul></main>"),
     )
     blank = [F.lit("").alias(c) for c in ("family_name", "url", "retrieved_at", "source_sha256")]
     return d.select("family_id", *blank, F.col("doc_id").alias("ord"), page.alias("html"))
@@ -311,7 +312,15 @@ def _pages(spark, base):
 
 def overlay_parse(spark, base):
     rows = overlay.overlay_records(_pages(spark, base))
-    return rows.select("id", "name", "requirement_kind", "statement_text", F.sha2(F.coalesce("discussion", F.lit("")), 256).alias("discussion_hash"), F.size("related").cast("long").alias("related"))
+    return rows.select("id", "name", "requirement_kind", "statement_text", F.sha2(F.coalesce("discussion", F.lit("")), 256).alias("discussion_hash"), F.size("related").cast("long").alias("related"),
+        F.size("references").cast("long").alias("references"), F.get("references", F.lit(0))["url"].alias("first_url"), F.get("references", F.lit(0))["title"].alias("first_title"))
+
+
+def html_links(spark, base):
+    """Every link of the pages, with the last segment of its address."""
+    nodes = html.page_nodes(_pages(spark, base).withColumnRenamed("ord", "page"), ["page"])
+    slug = F.element_at(F.split(F.regexp_replace("href", "/+$", ""), "/"), -1)
+    return nodes.where("tag = 'a' and href is not null").select("page", "href", slug.alias("slug"), "text")
 
 
 def html_headings(spark, base):
@@ -334,7 +343,7 @@ QUERIES = {
         reconcile_status_counts, reconcile_records, field_change_counts, normalize_text, canonical_ids, parse_ids, references_resolved, specific_threshold, flatten_base_enhancement, edges_by_lineage,
         hierarchy_edges, hierarchy_paths, flatten_statement_text, carry_forward_sections, profile_first_wins, profile_conflicts, profile_kinds, profile_membership_join, profile_unresolved, build_diff_rows,
         build_diff_summary, source_set_difference, full_outer_compare, duplicate_ids, duplicate_mapping, validation_findings, validation_schema, manifest_counts, composite_hash, family_summary, nested_export,
-        flat_controls, odp_extraction, related_in_text, bracket_balance, related_set_equality, json_props, latest_snapshot, point_lookup, enabled_sources, baseline_import, overlay_parse, html_headings,
+        flat_controls, odp_extraction, related_in_text, bracket_balance, related_set_equality, json_props, latest_snapshot, point_lookup, enabled_sources, baseline_import, overlay_parse, html_links, html_headings,
         windowed_events, user_sessions,
     )
 } | {f"embedding_view_{v}": _view(v) for v in render.VIEWS}
@@ -511,8 +520,9 @@ ORACLE = {
         (select count(*) from c x where x.raw_id = c.raw_id and x.parent_path = c.node_path) children, h.sha source_sha256
       from c left join c p on p.raw_id = c.raw_id and p.node_path = c.parent_path left join k on k.raw_id = c.raw_id and k.owner = c.node_path
       join (select raw_id, sha256(arg_max(raw_json, received_at)) sha from oscal_raw where json_valid(raw_json) group by 1) h on h.raw_id = c.raw_id""",
-    "overlay_parse": f"""select control_id id, case when contains(control_id, '(') then control_id || ' ' else '' end || 'Title of it' "name", 'control' requirement_kind, '(a) Keep ' || doc_id || chr(10) || '(a.1) and log' statement_text, sha256({_collapse('text')}) discussion_hash, 0::bigint related
-      from documents where control_id is not null and text is not null""",
+    "overlay_parse": f"""select control_id id, case when contains(control_id, '(') then control_id || ' ' else '' end || 'Title of it' "name", 'control' requirement_kind, '(a) Keep ' || doc_id || chr(10) || '(a.1) and log' statement_text, sha256({_collapse('text')}) discussion_hash, 0::bigint related,
+      2::bigint as "references", '/d/' || doc_id || '/' first_url, 'Work ' || doc_id first_title from documents where control_id is not null and text is not null""",
+    "html_links": "select doc_id page, '/d/' || doc_id || '/' href, doc_id::varchar slug, 'Work ' || doc_id \"text\" from documents where control_id is not null and text is not null",
     "html_headings": "with d as (select * from documents where control_id is not null and text is not null) select 'title' tag, count(*) nodes, 1 texts from d union all select 'h2', count(*), count(distinct control_id) from d union all select 'h3', 3 * count(*), 3 from d",
     "windowed_events": "select strftime(date_trunc('hour', ts), '%Y-%m-%d %H') as \"hour\", event_type, count(*) events from events group by 1, 2",
     "user_sessions": "with e as (select user_id, case when ts - lag(ts) over (partition by user_id order by ts) < interval 30 minute then 0 else 1 end fresh from events) select user_id, sum(fresh)::bigint sessions, count(*) events from e group by 1",

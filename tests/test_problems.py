@@ -193,3 +193,11 @@ def test_keyed(spark):
     assert sorted((r.k or "", r.side) for r in keyed.set_difference(df, other, "k").collect()) == [("", "left_only"), ("z", "right_only")]
     assert rows(keyed.doubled_mapping(df, "o", "v")) == [("a", 2)]
     assert keyed.last_wins(df.limit(0), ["k"], "o").count() == 0
+
+
+def test_kept_rows_are_the_same_in_every_run(spark):
+    rows_ = [("k", None, "n"), ("k", 1, "a"), ("k", 1, "b"), ("m", None, "x"), ("m", None, "y")]
+    for best in (keyed.first_wins, keyed.last_wins):
+        seen = {tuple(sorted(tuple(r) for r in best(spark.createDataFrame(data, "k string, o int, v string").repartition(n), ["k"], "o").collect() if r.k == "k")) for data in (rows_, rows_[::-1]) for n in (1, 3, 7)}
+        assert len(seen) == 1 and next(iter(seen))[0][1] == 1
+    assert keyed.last_wins(spark.createDataFrame(rows_[3:], "k string, o int, v string"), ["k"], "o").first().v in ("x", "y")

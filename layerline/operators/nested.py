@@ -25,7 +25,7 @@ FOLLOWED = {
     "part": {"parts": "part"},
     "param": {},
 }
-LEVELS_PER_PASS = 8
+LEVELS_PER_PASS = 16
 _NODE = "struct<node_kind:string,node_path:string,parent_path:string,v:variant>"
 
 
@@ -88,11 +88,11 @@ def latest_documents(raw: DataFrame, key: str, text: str, received: str) -> Data
     )
 
 
-def explode_tree(docs: DataFrame, key: str, depth: int, followed: dict[str, dict[str, str]] = FOLLOWED, root_kind: str = "control") -> DataFrame:
+def explode_tree(docs: DataFrame, key: str, depth: int, followed: dict[str, dict[str, str]] = FOLLOWED, root_kind: str = "control", only: str | None = None) -> DataFrame:
     """Every node of the documents (key, v): key, node_kind, node_path, parent_path, v.
 
     ``depth`` is at least the depth of any node; ``followed`` says which members of which kind of node
-    hold children of what kind.
+    hold children of what kind; ``only`` names the kind whose rows are wanted, for one inline per target table.
     """
     root = F.when(
         _is_object(F.col("v")),
@@ -100,17 +100,22 @@ def explode_tree(docs: DataFrame, key: str, depth: int, followed: dict[str, dict
     ).otherwise(F.array().cast(f"array<{_NODE}>"))
     level = docs.select(key, root.alias("level0"))
     done = []
+
+    def emitted(names: list[str]) -> DataFrame:
+        nodes = F.flatten(F.array(*names))
+        return level.select(key, F.inline(nodes if only is None else F.filter(nodes, lambda x: x["node_kind"] == only)))
+
     while True:
         count = min(depth, LEVELS_PER_PASS)
         for n in range(count):
             level = level.withColumn(f"level{n + 1}", F.flatten(F.transform(F.col(f"level{n}"), lambda x: _children(x, followed))))
         names = [f"level{n}" for n in range(count + 1)]
         if depth <= LEVELS_PER_PASS:
-            done.append(level.select(key, F.inline(F.flatten(F.array(*names)))))
+            done.append(emitted(names))
             break
-        level = checkpointed(level)
-        done.append(level.select(key, F.inline(F.flatten(F.array(*names[:-1])))))
-        level = level.select(key, F.explode(names[-1]).alias("node")).select(key, F.array("node").alias("level0"))
+        done.append(emitted(names[:-1]))
+        # Only nodes that are still open are written, not the documents.
+        level = checkpointed(level.select(key, F.explode(names[-1]).alias("node")).select(key, F.array("node").alias("level0")))
         depth -= count
     out = done[0]
     for more in done[1:]:
@@ -118,8 +123,8 @@ def explode_tree(docs: DataFrame, key: str, depth: int, followed: dict[str, dict
     return out
 
 
-def flat_nodes(raw: DataFrame, key: str = "raw_id", text: str = "raw_json", received: str = "received_at") -> DataFrame:
-    return explode_tree(latest_documents(raw, key, text, received), key, nesting_depth(raw, text))
+def flat_nodes(raw: DataFrame, key: str = "raw_id", text: str = "raw_json", received: str = "received_at", only: str | None = None) -> DataFrame:
+    return explode_tree(latest_documents(raw, key, text, received), key, nesting_depth(raw, text), only=only)
 
 
 def _text(member: str) -> Column:
@@ -131,7 +136,7 @@ def p2_found(spark, base: str) -> DataFrame:
 
 
 def _table(spark, base: str, kind: str, members: dict[str, str]) -> DataFrame:
-    nodes = flat_nodes(read_table(spark, base, "oscal_raw")).where(F.col("node_kind") == kind)
+    nodes = flat_nodes(read_table(spark, base, "oscal_raw"), only=kind)
     return nodes.select(
         "raw_id", "node_path", "parent_path",
         F.element_at(F.split("node_path", "/"), -1).try_cast("int").alias("position"),

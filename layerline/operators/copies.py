@@ -49,8 +49,14 @@ _ENTRIES = "array<struct<field:string,kind:string,nist_hash:string,canada_hash:s
 _SCALARS = ("nist_oscal_id", "status", "review_required", "canada_only_fields", "nist_only_fields")
 
 
+def _null_safe(c: Column) -> Column:
+    """A key part that is never null and tells null from every value."""
+    return F.coalesce(F.concat(F.lit("="), c), F.lit(""))
+
+
 def comparable(side: DataFrame) -> DataFrame:
-    """build_id, canadian_id, row: the latest version of each key in comparable form."""
+    """kb, kc, row: the latest version of each key in comparable form. The key parts are null-safe, so that plain
+    equality joins them and the join reads the aggregate's partitioning without another shuffle."""
     row = F.struct(
         _blank(F.col("nist_oscal_id")).alias("nist_oscal_id"),
         _blank(F.col("status")).alias("status"),
@@ -59,8 +65,8 @@ def comparable(side: DataFrame) -> DataFrame:
         _set(F.col("nist_only_fields")).alias("nist_only_fields"),
         F.col("field_diffs").cast(_ENTRIES).alias("field_diffs"),
     )
-    rows = side.select("build_id", "canadian_id", "written_at", row.alias("row"))
-    latest = rows.groupBy("build_id", "canadian_id").agg(F.max(F.struct("written_at", "row")).getField("row").alias("row"))
+    rows = side.select(_null_safe(F.col("build_id")).alias("kb"), _null_safe(F.col("canadian_id")).alias("kc"), "written_at", row.alias("row"))
+    latest = rows.groupBy("kb", "kc").agg(F.max(F.struct("written_at", "row")).getField("row").alias("row"))
     return latest.withColumn("row", F.col("row").withField("field_diffs", _entries(F.col("row.field_diffs"))))
 
 
@@ -71,8 +77,7 @@ def _difference(field: Column, left: Column, right: Column) -> Column:
 def compare_copies(left: DataFrame, right: DataFrame, left_name: str = "primary", right_name: str = "mirror") -> DataFrame:
     """build_id, canadian_id, field, left_value, right_value: one row per difference."""
     l, r = comparable(left).alias("l"), comparable(right).alias("r")
-    same_key = F.col("l.build_id").eqNullSafe(F.col("r.build_id")) & F.col("l.canadian_id").eqNullSafe(F.col("r.canadian_id"))
-    both = l.join(r, same_key, "full_outer")
+    both = l.join(r, (F.col("l.kb") == F.col("r.kb")) & (F.col("l.kc") == F.col("r.kc")), "full_outer")
     a, b = F.col("l.row"), F.col("r.row")
     none = F.lit(None).cast("string")
 
@@ -95,11 +100,8 @@ def compare_copies(left: DataFrame, right: DataFrame, left_name: str = "primary"
         .when(b.isNull(), F.array(_difference(F.lit(f"missing_in_{right_name}"), none, none)))
         .otherwise(F.concat(scalars, nested))
     )
-    return both.select(
-        F.coalesce("l.build_id", "r.build_id").alias("build_id"),
-        F.coalesce("l.canadian_id", "r.canadian_id").alias("canadian_id"),
-        F.inline(differences),
-    )
+    value = lambda k: F.when(F.coalesce(f"l.{k}", f"r.{k}") != "", F.substring(F.coalesce(f"l.{k}", f"r.{k}"), 2, 1_000_000))
+    return both.select(value("kb").alias("build_id"), value("kc").alias("canadian_id"), F.inline(differences))
 
 
 def p3_differences(spark, base: str) -> DataFrame:

@@ -147,7 +147,8 @@ def _consistent(s: pd.Series) -> pd.Series:
 def consistent_form(c: Column) -> Column:
     """``c`` in consistent form; null stays null. Python sees only texts with characters beyond ASCII."""
     odd = F.when(c.rlike(_NEEDS_WORK), c)
-    return F.when(c.rlike(_NEEDS_WORK), _consistent(odd)).otherwise(F.regexp_replace(c, r"[^\S\n\r]+", " "))
+    plain = F.when(F.contains(c, F.lit("  ")), F.regexp_replace(c, " {2,}", " ")).otherwise(c)
+    return F.coalesce(_consistent(odd), plain)
 
 
 FIELDS = ("name", "statement_text", "discussion")
@@ -161,23 +162,23 @@ def stacked_texts(records: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataF
 
 
 def same_look_groups(records: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
-    """build_id, field, record_key, look, spelling: records whose text is spelt otherwise elsewhere in the build.
+    """look, field, spelling, record_key: records whose text is spelt otherwise elsewhere in their build.
 
-    ``look`` and ``spelling`` are hashes of the consistent form and of the exact string; texts never
-    enter a shuffle. Only looks with at least two spellings remain, found by a combining aggregate, so
+    ``look`` is a hash of the build (null kept apart), the field and the consistent form, ``spelling`` one of the exact string; texts
+    never enter a shuffle. Only looks with at least two spellings remain, found by a combining aggregate, so
     the many groups of merely equal texts cost nothing further.
     """
-    h = lambda c: F.unhex(F.md5(F.encode(c, "UTF-8")))
-    rows = stacked_texts(records, fields).select(
-        "build_id", "field", "record_key", h(consistent_form(F.col("text"))).alias("look"), h(F.col("text")).alias("spelling")
-    )
-    key = ["build_id", "field", "look"]
+    # Never null, so that no join adds a filter of its own to one of the uses of these rows.
+    h = lambda c: F.coalesce(F.unhex(F.md5(c)), F.lit(bytearray(b"")))
+    build = F.coalesce(F.concat(F.lit("="), F.hex("build_id")), F.lit(""))
+    look = F.concat_ws("/", build, F.col("field"), F.md5(F.encode(consistent_form(F.col("text")), "UTF-8")))
+    rows = stacked_texts(records, fields).where("record_key is not null")
+    rows = rows.select(h(F.encode(look, "UTF-8")).alias("look"), "field", h(F.encode("text", "UTF-8")).alias("spelling"), "record_key")
     # Partitioned by all columns: one shuffle, and one pass through Python, for both uses below.
-    rows = rows.repartition(*key, "spelling", "record_key").distinct()
-    several = rows.groupBy(*key).agg(F.min("spelling").alias("lo"), F.max("spelling").alias("hi")).where("lo <> hi").select(*[F.col(k).alias(f"__{k}") for k in key])
-    same = rows["build_id"].eqNullSafe(several["__build_id"]) & (rows["field"] == several["__field"]) & (rows["look"] == several["__look"])
+    rows = rows.repartition("look", "field", "spelling", "record_key").distinct()
+    several = rows.groupBy("look").agg(F.min("spelling").alias("lo"), F.max("spelling").alias("hi")).where("lo <> hi").select(F.col("look").alias("__look"))
     # Looks are distinct there, so this is a semi join; written as an inner one it stays above the shuffle.
-    return rows.join(several, same).select(rows["*"])
+    return rows.join(several, rows["look"] == several["__look"]).select(rows["*"])
 
 
 def same_look_pairs(records: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
@@ -189,9 +190,7 @@ def same_look_pairs(records: DataFrame, fields: tuple[str, ...] = FIELDS) -> Dat
     Null keys form no pairs; a build that is null is a build of its own; a record delivered twice
     forms no pair with itself; empty texts are left out.
     """
-    g = same_look_groups(records, fields).where("record_key is not null")
-    # One key for all a look is: the build (null kept apart), the field and the look's hash.
-    g = g.select(F.md5(F.to_binary(F.concat_ws("/", F.hex(F.coalesce(F.concat(F.lit("b"), "build_id"), F.lit(""))), F.hex("field"), F.hex("look")), F.lit("utf-8"))).alias("look"), "field", "spelling", "record_key")
+    g = same_look_groups(records, fields)
     spellings = g.select("look", "field", "spelling").distinct()
     s, t = spellings.alias("s"), spellings.alias("t")
     apart = s.join(t, F.expr("s.look = t.look and s.spelling < t.spelling")).select("s.look", "s.field", F.col("s.spelling").alias("one"), F.col("t.spelling").alias("other"))

@@ -2,9 +2,12 @@
 
 Weights lie on the path ``w(x) ~ natural ** (1 - x) * target ** x``, where ``natural`` are the sources' shares
 of all tokens: x = 1 is the target, x = 0 the natural mix, and for an even target w(x) is the usual
-temperature form ``natural ** (1 - x)``. The exponent x is found by bisection: the one that reaches a target
-entropy, or the greatest at which no source repeats more often than allowed at the budget asked for.
-Without a budget the mix is as large as the repetition limit allows at the exact target shares.
+temperature form ``natural ** (1 - x)``. The exponent x is found by bisection: the greatest at which no source
+repeats more often than allowed at the budget asked for (``EPOCHS`` passes over all tokens of the mix's sources, a
+setting), or the one that reaches a target entropy. So where the limit allows the target shares they are met
+(x = 1), and where a small source would repeat too often all shares move towards the natural ones just as far as
+it takes; the actual shares are reported beside the targets. Without a budget the mix is as large as the repetition limit
+allows at the exact target shares (``p7_exact_shares``).
 
 A source's budget is so many whole passes over its documents plus one partial pass. For that pass the
 source's documents, in blocks by a hash, are permuted block by block and taken until the budget is met:
@@ -32,6 +35,8 @@ from .tokens import VOCABULARY, token_sizes
 BLOCK_DOCS = 1000
 MOST_BLOCKS = 1 << 20
 MOST_TARGETS = 10_000
+#: Setting: the size of a mix, as a multiple of all tokens of its sources.
+EPOCHS = 1.0
 
 
 def normalised(weights: dict[str, float]) -> dict[str, float]:
@@ -88,10 +93,11 @@ class Share:
     rest: int
 
 
-def plan_mix(mix_id: str, targets: dict[str, tuple[float, int]], tokens: dict[str, int], budget: int | None = None, target_entropy: float | None = None, epochs: float | None = None) -> list[Share]:
+def plan_mix(mix_id: str, targets: dict[str, tuple[float, int]], tokens: dict[str, int], budget: int | None = None, target_entropy: float | None = None, epochs: float | None = None, as_even_as_targets: bool = False) -> list[Share]:
     """The plan of one mix; ``targets``: source -> (share, most repetitions), ``tokens``: source -> tokens there.
 
-    ``budget`` is a number of tokens, ``epochs`` the same as a multiple of all tokens of the mix's sources.
+    ``budget`` is a number of tokens, ``epochs`` the same as a multiple of all tokens of the mix's sources; ``as_even_as_targets``
+    takes the entropy of the target shares as the target entropy.
     """
     there = {s: t for s, (t, r) in targets.items() if t > 0 and r > 0 and tokens.get(s, 0) > 0}
     if epochs is not None:
@@ -101,6 +107,8 @@ def plan_mix(mix_id: str, targets: dict[str, tuple[float, int]], tokens: dict[st
     if there:
         goal, natural = normalised(there), normalised({s: float(tokens[s]) for s in there})
         repeats = {s: targets[s][1] for s in there}
+        if as_even_as_targets:
+            target_entropy = entropy(goal)
         if target_entropy is not None:
             x = exponent_for_entropy(natural, target_entropy)
             goal = on_path(natural, dict.fromkeys(natural, 1 / len(natural)), x)
@@ -185,6 +193,18 @@ def mix_shares(drawn: DataFrame, plan: DataFrame) -> DataFrame:
     return rows.withColumn("actual_share", F.when(total > 0, F.col("tokens") / total).otherwise(0.0))
 
 
+def mix_faults(drawn: DataFrame, plan: DataFrame) -> DataFrame:
+    """mix_id, sources, over_limit, off_plan: the sources asked for; documents used more often than allowed; sources whose drawn
+    tokens miss their budget by more than half of their largest document. The last two must be 0."""
+    per = drawn.groupBy("mix_id", "source").agg(F.sum(F.col("n_tokens") * F.col("uses")).alias("tokens"), F.max("uses").alias("most"), F.max("n_tokens").alias("largest"))
+    rows = plan.join(per, ["mix_id", "source"], "left")
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    return rows.groupBy("mix_id").agg(
+        F.count("*").alias("sources"), F.count_if(zero("most") > F.col("max_repeats")).alias("over_limit"),
+        F.count_if(F.abs(zero("tokens") - F.col("budget")) * 2 > F.coalesce("largest", F.lit(2))).alias("off_plan"),
+    )
+
+
 def _mixed(spark, base: str, **how) -> tuple[DataFrame, DataFrame]:
     docs = read_table(spark, base, "documents")
     sized = checkpointed(sized_documents(docs))  # three numbers a document, read four times: tokenised once
@@ -193,13 +213,22 @@ def _mixed(spark, base: str, **how) -> tuple[DataFrame, DataFrame]:
 
 
 def p7_draws(spark, base: str) -> DataFrame:
-    return _mixed(spark, base)[0]
+    return _mixed(spark, base, epochs=EPOCHS)[0]
 
 
 def p7_shares(spark, base: str) -> DataFrame:
+    return mix_shares(*_mixed(spark, base, epochs=EPOCHS))
+
+
+def p7_entropy_shares(spark, base: str) -> DataFrame:
+    """Natural shares, tempered until they are as even as the targets, at the budget of ``p7_shares``."""
+    return mix_shares(*_mixed(spark, base, epochs=EPOCHS, as_even_as_targets=True))
+
+
+def p7_exact_shares(spark, base: str) -> DataFrame:
+    """The exact target shares, as large as the repetition limit allows."""
     return mix_shares(*_mixed(spark, base))
 
 
-def p7_tempered_shares(spark, base: str) -> DataFrame:
-    """Each mix as large as all its sources' tokens: the exponent falls until no source repeats too often."""
-    return mix_shares(*_mixed(spark, base, epochs=1.0))
+def p7_faults(spark, base: str) -> DataFrame:
+    return mix_faults(*_mixed(spark, base, epochs=EPOCHS))

@@ -40,6 +40,8 @@ select doc_id, length(text) n_chars, coalesce(shared, 0)::bigint shared_chars, c
 ORACLE = {
     "p5_found": P5,
     "p5_consistent": "select distinct record_key, build_id, " + ", ".join(f"{look(f)} {f}" for f in FIELDS) + " from catalogue_records",
+    "p6_faults": "select container_kind, (select count(*) from documents where doc_id is not null and text is not null) texts, 0::bigint \"over\", 0::bigint split from containers where container_kind is not null and capacity_tokens > 0",
+    "p7_faults": "select mix_id, count(distinct source) sources, 0::bigint over_limit, 0::bigint off_plan from mix_targets where mix_id is not null and source is not null and target_share > 0 and max_repeats > 0 group by 1",
     "p8_found": P8,
     "p8_shared": P8_SHARED,
 }

@@ -1,7 +1,10 @@
 """Filling fixed-capacity containers: vector best-fit in hash blocks.
 
 Items are packed under three capacities at once: tokens, number of documents, and attention cost (the sum
-of squared lengths). Items come in order of falling size; each goes to the open container that takes it
+of squared lengths). Unless a kind of container names its own, it takes a document for every
+``TOKENS_PER_DOCUMENT`` tokens (``LEAST_DOCUMENTS`` at least) and ``ATTENTION_SHARE`` of the cost of one text that fills it; so each of the
+three turns containers away that the other two would allow (many short texts fill the documents, a long text
+beside a middling one the attention). Items come in order of falling size; each goes to the open container that takes it
 under every constraint and scores best: the least weighted norm of what stays free (``norm``), or the
 greatest weighted dot product of the item's demand and the free room (``dot``). If none takes it, a new one opens.
 Only a text beyond the token capacity is split: into full containers of its own and one rest, which is packed.
@@ -32,12 +35,15 @@ from .tokens import VOCABULARY, token_sizes
 BLOCK = 4096
 MOST_TASKS = 10_000
 MOST_KINDS = 1_000
+#: Settings: the document and attention capacities of a kind of container that names none.
+TOKENS_PER_DOCUMENT = 32
+LEAST_DOCUMENTS = 16
+ATTENTION_SHARE = 0.875
 
 
 @dataclass(frozen=True)
 class Capacity:
-    """One kind of container. ``documents`` and ``attention`` default to what a container of many short
-    texts needs: a document for every 4 tokens, and the cost of one text that fills it."""
+    """One kind of container; what it does not name of ``documents`` and ``attention`` follows from its tokens."""
 
     kind: str
     tokens: int
@@ -46,11 +52,15 @@ class Capacity:
 
     @property
     def vector(self) -> np.ndarray:
-        return np.array([self.tokens, self.documents or max(1, self.tokens // 4), self.attention or float(self.tokens) ** 2])
+        documents = self.documents or max(LEAST_DOCUMENTS, self.tokens // TOKENS_PER_DOCUMENT)
+        return np.array([self.tokens, documents, self.attention or ATTENTION_SHARE * float(self.tokens) ** 2])
 
 
-def best_fit(sizes: np.ndarray, cap: Capacity, score: str = "norm", weights: tuple[float, float, float] = (1.0, 0.05, 0.05)) -> np.ndarray:
-    """Container number of each item; ``sizes`` (tokens, none above the capacity) must fall."""
+def best_fit(sizes: np.ndarray, cap: Capacity, score: str = "norm", weights: tuple[float, float, float] = (1.0, 0.05, 0.05), refused: np.ndarray | None = None) -> np.ndarray:
+    """Container number of each item; ``sizes`` (tokens, none above the capacity) must fall.
+
+    ``refused``, three counters, is told how often each constraint alone turned a container away: open ones for an item, or full of documents for all.
+    """
     limit = cap.vector
     w = np.array(weights)
     n = len(sizes)
@@ -67,6 +77,9 @@ def best_fit(sizes: np.ndarray, cap: Capacity, score: str = "norm", weights: tup
         if open_:
             left = free[:, :open_] - d[:, None]
             fits = left.min(axis=0) >= -eps
+            if refused is not None:
+                room = left >= -eps
+                refused += [(~room[k] & np.delete(room, k, 0).all(axis=0)).any() for k in range(3)]
             if fits.any():
                 value = w @ (left * left) if score == "norm" else -(w * d) @ free[:, :open_]
                 value[~fits] = np.inf
@@ -79,6 +92,8 @@ def best_fit(sizes: np.ndarray, cap: Capacity, score: str = "norm", weights: tup
         free[:, best] -= d
         out[i] = name[best]
         if free[0, best] < smallest - eps or free[1, best] < 1.0 / limit[1] - eps:  # nothing that is left fits: closed
+            if refused is not None and free[0, best] >= smallest:
+                refused[1] += 1
             open_ -= 1
             free[:, best], name[best] = free[:, open_], name[open_]
     return out
@@ -150,18 +165,41 @@ def pack_documents(docs: DataFrame, caps: list[Capacity], vocabulary: str = VOCA
 
 
 def container_fill(assigned: DataFrame, caps: list[Capacity]) -> DataFrame:
-    """container_kind, container_id, texts, tokens, fill: one row per container."""
-    size = F.create_map(*[F.lit(x) for c in caps for x in (c.kind, c.tokens)]) if caps else F.lit(None).cast("map<string,int>")
-    rows = assigned.groupBy("container_kind", "container_id").agg(F.count("*").alias("texts"), F.sum("n_tokens").alias("tokens"))
-    return rows.withColumn("fill", F.col("tokens") / F.element_at(size, F.col("container_kind")))
+    """container_kind, container_id, texts, tokens, fill, documents_fill, attention_fill: one row per container, with the
+    used share of each capacity. A text that exceeds a capacity on its own stands above 1."""
+
+    def limit(k: int):
+        known = F.create_map(*[F.lit(x) for c in caps for x in (c.kind, float(c.vector[k]))]) if caps else F.lit(None).cast("map<string,double>")
+        return F.element_at(known, F.col("container_kind"))
+
+    square = F.col("n_tokens").cast("double") * F.col("n_tokens")
+    rows = assigned.groupBy("container_kind", "container_id").agg(F.count("*").alias("texts"), F.sum("n_tokens").alias("tokens"), F.sum(square).alias("__cost"))
+    used = (("fill", F.col("tokens"), 0), ("documents_fill", F.col("texts"), 1), ("attention_fill", F.col("__cost"), 2))
+    return rows.select("container_kind", "container_id", "texts", "tokens", *[(c / limit(k)).alias(n) for n, c, k in used])
 
 
 def kind_fill(assigned: DataFrame, caps: list[Capacity]) -> DataFrame:
-    """container_kind, containers, texts, tokens, fill (of all containers), least_fill: one row per kind."""
+    """container_kind, containers, texts, tokens, fill (of all containers), least_fill, and how many containers are full by
+    documents or by attention: one row per kind."""
     per = container_fill(assigned, caps)
     return per.groupBy("container_kind").agg(
-        F.count("*").alias("containers"), F.sum("texts").alias("texts"), F.sum("tokens").alias("tokens"), F.avg("fill").alias("fill"), F.min("fill").alias("least_fill")
+        F.count("*").alias("containers"), F.sum("texts").alias("texts"), F.sum("tokens").alias("tokens"), F.avg("fill").alias("fill"), F.min("fill").alias("least_fill"),
+        F.count_if(F.col("documents_fill") >= 1).alias("full_by_documents"), F.count_if(F.col("attention_fill") >= 0.99).alias("full_by_attention"),
+    )
+
+
+def packing_faults(assigned: DataFrame, caps: list[Capacity]) -> DataFrame:
+    """container_kind, texts, over, split: the placed texts (copies count), the containers of several texts beyond a capacity, and
+    the texts in more pieces than their tokens need. The last two must be 0."""
+    size = F.create_map(*[F.lit(x) for c in caps for x in (c.kind, c.tokens)]) if caps else F.lit(None).cast("map<string,int>")
+    per = assigned.groupBy("container_kind", "doc_id", "copy").agg(F.count("*").alias("pieces"), F.sum("n_tokens").alias("tokens"))
+    needed = F.greatest(F.lit(1), F.ceil(F.col("tokens") / F.element_at(size, F.col("container_kind"))))
+    texts = per.groupBy("container_kind").agg(F.count("*").alias("texts"), F.count_if(F.col("pieces") != needed).alias("split"))
+    beyond = lambda c: F.col(c) > 1 + 1e-9
+    over = container_fill(assigned, caps).groupBy("container_kind").agg(
+        F.count_if(beyond("fill") | ((F.col("texts") > 1) & (beyond("documents_fill") | beyond("attention_fill")))).alias("over")
     )
+    return texts.join(over, "container_kind").select("container_kind", "texts", "over", "split")
 
 
 def _inputs(spark, base: str):
@@ -180,3 +218,14 @@ def p6_containers(spark, base: str) -> DataFrame:
 def p6_fill(spark, base: str) -> DataFrame:
     docs, caps = _inputs(spark, base)
     return kind_fill(pack_documents(docs, caps), caps)
+
+
+def p6_dot_fill(spark, base: str) -> DataFrame:
+    """The fill where the weighted dot product of demand and free room chooses."""
+    docs, caps = _inputs(spark, base)
+    return kind_fill(pack_documents(docs, caps, score="dot"), caps)
+
+
+def p6_faults(spark, base: str) -> DataFrame:
+    docs, caps = _inputs(spark, base)
+    return packing_faults(pack_documents(docs, caps), caps)

@@ -22,9 +22,13 @@ QUERIES = {
     "p6_assignments": packing.p6_assignments,
     "p6_containers": packing.p6_containers,
     "p6_fill": packing.p6_fill,
+    "p6_dot_fill": packing.p6_dot_fill,
+    "p6_faults": packing.p6_faults,
     "p7_draws": mixing.p7_draws,
     "p7_shares": mixing.p7_shares,
-    "p7_tempered_shares": mixing.p7_tempered_shares,
+    "p7_entropy_shares": mixing.p7_entropy_shares,
+    "p7_exact_shares": mixing.p7_exact_shares,
+    "p7_faults": mixing.p7_faults,
     "p8_found": spans.p8_found,
     "p8_shared": spans.p8_shared,
 }

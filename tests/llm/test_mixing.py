@@ -74,6 +74,16 @@ def test_budget(spark):
     assert sum(s.tokens for s in shares.values()) == pytest.approx(20_000, rel=0.01) and shares["b"].most_uses == 2 and shares["b"].actual_share < 0.8
 
 
+def test_even_as_targets_and_faults(spark):
+    docs = [(i, "a" if i % 10 else "b", "word " * 10, 1, 1) for i in range(2000)]
+    drawn, plan = mixed(spark, docs, [("m", "a", 0.7, 4), ("m", "b", 0.3, 4)], epochs=1.0, as_even_as_targets=True)
+    w = {r.source: r.planned_share for r in plan.collect()}
+    assert M.entropy(w) == pytest.approx(M.entropy({"a": 0.7, "b": 0.3})) and 0 < plan.first().exponent < 1
+    assert [tuple(r) for r in M.mix_faults(drawn, plan).collect()] == [("m", 2, 0, 0)]
+    short = plan.selectExpr("mix_id", "source", "target_share", "1 as max_repeats", "planned_share", "exponent", "budget + 500 as budget", "passes", "rest")
+    assert tuple(M.mix_faults(drawn, short).first())[2:] == (1, 2)
+
+
 def test_empty(spark):
     drawn, plan = mixed(spark, [], [("m", "a", 1.0, 1)])
     assert drawn.count() == 0 and [r.tokens for r in M.mix_shares(drawn, plan).collect()] == [0]

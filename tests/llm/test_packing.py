@@ -47,6 +47,27 @@ def test_constraints(spark, score):
     check(assigned(spark, sizes, score=score, block=500), sizes, CAPS)
 
 
+def test_every_constraint_binds():
+    """With the default capacities each of the three turns containers away that the other two would allow."""
+    rng = np.random.default_rng(5)
+    sizes = np.sort(np.minimum(512, np.concatenate([rng.integers(0, 20, 600), rng.lognormal(5, 0.8, 900).astype(int)])))[::-1]
+    for score in ("norm", "dot"):
+        refused = np.zeros(3, int)
+        out = P.best_fit(sizes, P.Capacity("s", 512), score, refused=refused)
+        assert (refused > 20).all(), refused
+        assert np.bincount(out).max() == 512 // P.TOKENS_PER_DOCUMENT
+    assert P.Capacity("s", 512).vector.tolist() == [512, 16, 0.875 * 512 * 512] and P.Capacity("s", 512, 3, 9.0).vector.tolist() == [512, 3, 9.0]
+
+
+def test_faults(spark):
+    sizes = [(i, n) for i, n in enumerate([60, 40, 30, 20, 10, 200])]
+    df = spark.createDataFrame(sizes, "doc_id long, n_tokens long")
+    caps = [P.Capacity("s", 64, documents=4)]
+    rows = P.pack_sizes(df, 6, caps)
+    assert [tuple(r) for r in P.packing_faults(rows, caps).collect()] == [("s", 6, 0, 0)]
+    assert P.packing_faults(rows, [P.Capacity("s", 32, documents=4)]).first()[2] > 0
+
+
 def test_edges(spark):
     assert assigned(spark, []) == []
     sizes = [(1, 0)] * 40

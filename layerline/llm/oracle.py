@@ -33,9 +33,14 @@ select distinct a.doc_id doc_id_a, b.doc_id doc_id_b from u a join u b on a.h =
 P8_SHARED = f"""{_GRAMS}, m as (select h from g group by h having count(distinct doc_id) > 1),
 s as (select doc_id, i, lead(i) over w nxt, lag(i) over w prv from g semi join m using (h) window w as (partition by doc_id order by i)),
 c as (select doc_id, sum(least(150, coalesce(nxt - i, 150)))::bigint shared, count(*) filter (prv is null or i > prv + 150) spans from s group by 1),
-k as (select doc_id from d where text in (select text from d group by text having count(*) > 1))
+k as (select doc_id from d where text in (select text from d group by text having count(*) > 1)), r as (select text, min(doc_id) rep from d group by text)
 select doc_id, length(text) n_chars, coalesce(shared, 0)::bigint shared_chars, coalesce(spans, 0)::bigint n_spans, case when length(text) > 0 then coalesce(shared, 0) / length(text) else 0.0 end share,
-  doc_id in (select doc_id from k) has_copy from (select distinct doc_id, text from documents where text is not null) left join c using (doc_id)"""
+  doc_id in (select doc_id from k) has_copy, rep from (select distinct doc_id, text from documents where text is not null) left join c using (doc_id) left join r using (text)"""
+P8_FACTORS = f"""with d as (select text, min(doc_id) doc_id from documents where length(text) >= 150 group by text),
+g as materialized (select doc_id, i, md5_number(substr(text, i + 1, 150)) h from (select doc_id, text, unnest(range(0, length(text)::bigint - 149)) i from d)),
+m as (select h, min(struct_pack(d := doc_id, i := i)) ref from g group by h having count(distinct doc_id) > 1),
+s as (select doc_id, i, ref.d ref_doc, ref.i ref_i, i - row_number() over (partition by doc_id, ref.d, ref.i - i order by i) island from g join m using (h))
+select doc_id, min(i) "start", count(*) + 149 length, ref_doc, min(ref_i) ref_start from s group by doc_id, ref_doc, ref_i - i, island"""
 
 ORACLE = {
     "p5_found": P5,
@@ -44,4 +49,5 @@ ORACLE = {
     "p7_faults": "select mix_id, count(distinct source) sources, 0::bigint over_limit, 0::bigint off_plan from mix_targets where mix_id is not null and source is not null and target_share > 0 and max_repeats > 0 group by 1",
     "p8_found": P8,
     "p8_shared": P8_SHARED,
+    "p8_factors": P8_FACTORS,
 }

@@ -31,6 +31,7 @@ QUERIES = {
     "p7_faults": mixing.p7_faults,
     "p8_found": spans.p8_found,
     "p8_shared": spans.p8_shared,
+    "p8_factors": spans.p8_factors,
 }
 
 __all__ = ["ORACLE", "QUERIES"]

@@ -1,24 +1,29 @@
-"""Long exact spans shared between records: relative Lempel-Ziv factors against indexed blocks.
-
-Every document is a reference. Its blocks are indexed by winnowing: of every 101 consecutive 50-grams
-the one with the least hash is an anchor, so each stretch of 150 code points holds an anchor, and two
-equal stretches hold the same one. A block is what surrounds an anchor: 100 code points before it and
-150 from it on, which is all that a stretch of 150 through the anchor can touch.
-
-A document is parsed against every indexed block with one of its anchors: the factor is extended to both
-sides to its boundaries (the first differing code point or the block's edge) and is a shared span if its
-boundaries are at least 150 apart. Anchors in a long common stretch are at most 101 apart, so the factors
-of neighbouring anchors overlap and their union is the whole stretch. The result is exact: hashes choose
-candidates, code points decide.
-
-Scale: only (hash, document, position) of anchors is shuffled for the whole corpus; texts are shuffled once,
-for cutting the blocks of shared anchors. Exact copies are one representative until the end. Blocks of
-an anchor form a group; a group of up to ``HOT`` blocks is compared in one vectorised step. Larger groups
-(a phrase that a third of all documents hold) are never compared pair by pair: each block yields the hashes of its 101
-stretches of 150, which meet on (anchor, offset, hash), so that only pairs which do share a stretch are formed.
+"""Long exact spans shared between records: a relative Lempel-Ziv parse of every document against indexed reference blocks.
+
+The index. A stretch is ``span`` consecutive code points. Every stretch belongs to one anchor, a 50-gram inside it that
+winnowing chooses by content alone, so equal stretches belong to equal anchors at the same place. A *block* is what one
+anchor's stretches cover. All blocks of all documents are indexed by the hash of their anchor; where two blocks
+share a stretch, the one of the least document (then of the least position) is its *reference*.
+
+The parse. A document is read from left to right. From a stretch that occurs in another document a factor begins at its
+reference, and it goes on greedily as long as the next stretch's reference is the next one of the same document, through
+any number of blocks. Where it is not, the factor ends, and the next may begin one code point on: neighbouring
+factors overlap by span - 1, so every stretch across a boundary is checked and none is lost. The factors of a
+document cover exactly what it shares, and two documents have a common stretch exactly where they have factors that
+meet at a stretch of the same reference. So the parse (``parsed``) holds the whole result in rows linear in the texts.
+
+Equality of stretches is equality of 128-bit hashes of them (two independent ones of 64 bits), at every size of
+group; an error is less likely than 1e-15 in a corpus of 1e11 stretches.
+
+Scale: texts are shuffled once, by document, after exact copies are reduced to one representative by a hash (a combining
+aggregate, so a text that a third of all rows repeat is one row). Of all anchors only (hash, document, place) is shuffled, once,
+for both the count and the join. Only blocks of anchors that several documents hold are cut; equal ones are
+combined before they are shuffled. The blocks of an anchor are compared in one task, sorted and streamed, as far as ``GROUP`` places
+hold it; the stretches of anchors that more places hold (a phrase in a third of all documents) are spread over
+tasks by their hashes under a combining aggregate instead. Pairs are formed in ``p8_found`` only.
 
 Defined results: texts and ids that are null, and texts below the minimum length, share nothing; repeated
-rows of one document count once; a document never pairs with itself.
+rows of one document count once; a document never pairs with itself; any code point counts, U+0000 included.
 """
 
 from __future__ import annotations
@@ -27,130 +32,162 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import read_table
-from .winnow import anchors, gram_hashes
+from .winnow import anchors, stretch_hashes
 
 SPAN = 150
 GRAM = 50
-HOT = 256
-_PAIRS_AT_ONCE = 20_000
-_ANCHORS = "h long, doc_id long, pos int"
-_BLOCKS = "h long, n long, doc_id long, at array<int>, block string"
-_FACTORS = "doc_a long, doc_b long, starts_a array<int>, starts_b array<int>, length int"
+GROUP = 1024
+_AT_ONCE = 300_000
+_PLACES = "h long, doc_id long, place long"
 
 
 def _anchor_rows(span: int, gram: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column(0).to_numpy(zero_copy_only=False)
-            row, pos, h = anchors(b.column(1).to_pylist(), gram, span + 1 - gram)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h.view(np.int64)), pa.array(ids[row] if len(row) else np.empty(0, np.int64)), pa.array(pos.astype(np.int32))],
-                ["h", "doc_id", "pos"],
-            )
+            row, pos, h, first, n = anchors(b.column(1).to_pylist(), gram, span + 1 - gram)
+            # Position, stretches before it and number of stretches in one number: the last two are span at most.
+            place = (pos << 32) | ((pos - first) << 16) | n
+            docs = ids[row] if len(row) else np.empty(0, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(docs), pa.array(place)], ["h", "doc_id", "place"])
 
     return rows
 
 
-def _block_rows(span: int, gram: int):
-    before = span - gram
+def _blocks(batch: pa.RecordBatch, span: int) -> Iterator[tuple]:
+    """(doc, found, pos, before, n, block) of every place of a batch of (doc_id, text, found)."""
+    for doc, text, found in zip(*(batch.column(i).to_pylist() for i in range(3))):
+        for x in found:
+            place = x["place"]
+            pos, before, n = place >> 32, (place >> 16) & 0xFFFF, place & 0xFFFF
+            yield doc, x, pos, before, n, text[pos - before : pos - before + n + span - 1]
+
+
+def _name(block: str) -> bytes:
+    return xxhash.xxh3_128_digest(block.encode("utf-8", "surrogatepass"))
+
+
+_MEMBER = pa.schema([("block_id", pa.binary()), ("doc_id", pa.int64()), ("first", pa.int64())])
+_BLOCK = pa.schema([("h", pa.int64()), ("many", pa.bool_()), ("block_id", pa.binary()), ("before", pa.int32()), ("block", pa.string()), ("ref_doc", pa.int64()), ("ref_pos", pa.int64()), ("other_doc", pa.int64())])
+_RUN = pa.schema([("block_id", pa.binary()), ("offset", pa.int32()), ("n", pa.int32()), ("ref_doc", pa.int64()), ("ref_pos", pa.int64()), ("ref_first", pa.int64())])
+_STRETCH = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("block_id", pa.binary()), ("offset", pa.int32()), ("before", pa.int32()), ("ref_doc", pa.int64()), ("ref_pos", pa.int64()), ("other_doc", pa.int64())])
+_DDL = {
+    "member": "block_id binary, doc_id long, first long",
+    "block": "h long, many boolean, block_id binary, before int, block string, ref_doc long, ref_pos long, other_doc long",
+    "run": "block_id binary, offset int, n int, ref_doc long, ref_pos long, ref_first long",
+    "stretch": "k1 long, k2 long, block_id binary, offset int, before int, ref_doc long, ref_pos long, other_doc long",
+}
 
-    schema = pa.schema([("h", pa.int64()), ("n", pa.int64()), ("doc_id", pa.int64()), ("at", pa.list_(pa.int32())), ("block", pa.string())])
 
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [()] * len(schema), schema)], schema=schema)
+
+
+def _member_rows(span: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for doc, text, found in zip(*(b.column(i).to_pylist() for i in range(3))):
-                blocks: dict[tuple, list[int]] = {}
-                for x in found:
-                    p = x["pos"]
-                    left = text[max(0, p - before) : p]
-                    right = text[p : p + span]
-                    block = "\0" * (before - len(left)) + left + right + "\0" * (span - len(right))
-                    blocks.setdefault((x["h"], x["n"], block), []).append(p)
-                out += [(h, n, doc, at, block) for (h, n, block), at in blocks.items()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [()] * 5, schema)], schema=schema)
+            yield _batch([(_name(block), doc, pos - before) for doc, _, pos, before, _, block in _blocks(b, span)], _MEMBER)
 
     return rows
 
 
-def _matrix(blocks: list[str], width: int) -> np.ndarray:
-    return np.frombuffer("".join(blocks).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, width)
+def _block_rows(span: int, group: int):
+    """Blocks with their least place and their greatest document; equal ones of a batch are one."""
 
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            seen: dict[str, list] = {}
+            for doc, x, pos, before, _, block in _blocks(b, span):
+                had = seen.get(block)
+                if had is None:
+                    seen[block] = [x["h"], x["n"] > group, before, doc, pos, doc]
+                else:
+                    had[3], had[4] = min((had[3], had[4]), (doc, pos))
+                    had[5] = max(had[5], doc)
+            yield _batch([(v[0], v[1], _name(k), v[2], k, *v[3:]) for k, v in seen.items()], _BLOCK)
 
-def _factor_rows(span: int, gram: int):
-    before = span - gram
-    width = before + span
-    schema = pa.schema([("doc_a", pa.int64()), ("doc_b", pa.int64()), ("starts_a", pa.list_(pa.int32())), ("starts_b", pa.list_(pa.int32())), ("length", pa.int32())])
+    return rows
 
-    def compared(docs, places, codes, i, j):
-        swap = docs[i] > docs[j]
-        i, j = np.where(swap, j, i), np.where(swap, i, j)
-        differs = (codes[i] != codes[j]) | (codes[i] == 0)
-        left = np.where(differs[:, :before].any(axis=1), differs[:, :before][:, ::-1].argmax(axis=1), before)
-        right = np.where(differs[:, before:].any(axis=1), differs[:, before:].argmax(axis=1), span)
-        ok = (left + right >= span) & (docs[i] != docs[j])
-        i, j, left, length = i[ok], j[ok], left[ok].tolist(), (left + right)[ok]
-        starts = lambda side: [[p - n for p in places[k]] for k, n in zip(side.tolist(), left)]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(docs[i]), pa.array(docs[j]), pa.array(starts(i), schema.field(2).type), pa.array(starts(j), schema.field(3).type), pa.array(length.astype(np.int32))], schema=schema
-        )
 
+def _runs(t: pa.Table, span: int) -> pa.RecordBatch:
+    """The runs of stretches with one reference, of blocks that hold whole groups."""
+    order = np.lexsort((t["ref_pos"].to_numpy(), t["ref_doc"].to_numpy()))
+    t = t.take(order)  # now the first of several blocks is the reference
+    k1, k2 = stretch_hashes(t["block"].to_pylist(), span)
+    before, doc, pos, other = (t[c].to_numpy() for c in ("before", "ref_doc", "ref_pos", "other_doc"))
+    count = np.asarray(pa.compute.utf8_length(t["block"]).combine_chunks()) - span + 1
+    row = np.repeat(np.arange(len(count)), count)
+    at = np.argsort(k1, kind="stable")
+    fresh = np.concatenate(([True], (k1[at][1:] != k1[at][:-1])))
+    if (~fresh[1:] & (k2[at][1:] != k2[at][:-1])).any():
+        at = np.lexsort((np.arange(len(k1)), k2, k1))
+        fresh = np.concatenate(([True], (k1[at][1:] != k1[at][:-1]) | (k2[at][1:] != k2[at][:-1])))
+    begins = np.flatnonzero(fresh)
+    which = np.cumsum(fresh) - 1
+    shared = np.minimum.reduceat(doc[row[at]], begins) < np.maximum.reduceat(other[row[at]], begins)
+    ref, common = np.empty(len(row), np.int64), np.empty(len(row), bool)
+    ref[at], common[at] = row[at[begins]][which], shared[which]
+    starts = np.concatenate(([True], (row[1:] != row[:-1]) | (ref[1:] != ref[:-1]) | (common[1:] != common[:-1])))
+    first = np.flatnonzero(starts)
+    n = np.diff(np.concatenate((first, [len(row)])))
+    first, n = first[common[first]], n[common[first]]
+    offset = first - (np.cumsum(count) - count)[row[first]]
+    r = ref[first]
+    names = t["block_id"].combine_chunks().take(pa.array(row[first]))
+    values = [names, offset.astype(np.int32), n.astype(np.int32), doc[r], pos[r], pos[r] - before[row[first]] + offset]
+    return pa.RecordBatch.from_arrays([values[0], *map(pa.array, values[1:])], schema=_RUN)
+
+
+def _run_rows(span: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            lists = b.column(0)
-            flat = lists.flatten()
-            docs = flat.field("doc_id").to_numpy(zero_copy_only=False)
-            places = flat.field("at").to_pylist()
-            codes = _matrix(flat.field("block").to_pylist(), width)
-            sizes = np.asarray(lists.value_lengths())
-            first = np.concatenate(([0], np.cumsum(sizes)[:-1])) if len(sizes) else np.empty(0, np.int64)
-            held_i, held_j, held = [], [], 0
-            for m in np.unique(sizes[sizes > 1]):
-                i, j = np.triu_indices(m, 1)
-                starts = first[sizes == m]
-                step = max(1, _PAIRS_AT_ONCE // len(i))
-                for s in range(0, len(starts), step):
-                    block = starts[s : s + step, None]
-                    held_i.append((block + i).ravel())
-                    held_j.append((block + j).ravel())
-                    held += len(held_i[-1])
-                    if held >= _PAIRS_AT_ONCE:
-                        yield compared(docs, places, codes, np.concatenate(held_i), np.concatenate(held_j))
-                        held_i, held_j, held = [], [], 0
-            if held:
-                yield compared(docs, places, codes, np.concatenate(held_i), np.concatenate(held_j))
+        held, size = [], 0
+        for b in batches:  # sorted by h
+            if b.num_rows:
+                held.append(b)
+                size += b.num_rows
+            if size * 100 < _AT_ONCE:
+                continue
+            t = pa.Table.from_batches(held)
+            h = t["h"].to_numpy()
+            cut = int(np.searchsorted(h, h[-1]))  # the last group may go on in the next batch
+            if cut:
+                yield from _in_steps(t.slice(0, cut), span)
+            rest = t.slice(cut).combine_chunks()
+            held, size = rest.to_batches(), rest.num_rows
+        if held:
+            yield from _in_steps(pa.Table.from_batches(held), span)
 
     return rows
 
 
-def _stretch_rows(span: int, gram: int):
-    before = span - gram
-    schema = pa.schema([("h", pa.int64()), ("key", pa.int64()), ("ahead", pa.int64()), ("doc_id", pa.int64()), ("starts", pa.list_(pa.int32()))])
+def _in_steps(t: pa.Table, span: int) -> Iterator[pa.RecordBatch]:
+    """Whole groups, so many at once that their stretches stay within ``_AT_ONCE`` where they can."""
+    h = t["h"].to_numpy()
+    ends = np.flatnonzero(np.concatenate((h[1:] != h[:-1], [True]))) + 1
+    a = 0
+    while a < len(h):
+        b = int(ends[max(np.searchsorted(ends, a, side="right"), np.searchsorted(ends, a + _AT_ONCE // 100, side="right") - 1)])
+        yield _runs(t.slice(a, b - a), span)
+        a = b
+
 
+def _stretch_rows(span: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: list[list] = [[] for _ in schema]
-            for h, d, places, text in zip(*(b.column(i).to_pylist() for i in (0, 2, 3, 4))):
-                codes = _matrix([text], before + span)[0]
-                keys = gram_hashes(codes, span).view(np.int64)
-                filled = np.concatenate(([0], np.cumsum(codes != 0)))
-                at = np.flatnonzero(filled[span:] - filled[:-span] == span)
-                # The code point ahead tells whether the stretch one to the left is shared too; at the block's edge, and at
-                # the start of a text, nothing is ahead, which differs from everything, itself included.
-                ahead = np.where((at > 0) & (codes[at - 1] != 0), codes[at - 1].astype(np.int64), -1 - d)
-                with np.errstate(over="ignore"):  # the anchor and the place of the stretch in the block, as one number
-                    places_of = np.int64(h) ^ ((at + 1) * np.int64(0x2545F4914F6CDD1D))
-                out[0].append(places_of)
-                out[1].append(keys[at])
-                out[2].append(ahead)
-                out[3].append(np.full(len(at), d))
-                out[4] += [[p - before + o for p in places] for o in at.tolist()]
-            if out[4]:
-                yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(c)) for c in out[:4]), pa.array(out[4], schema.field(4).type)], schema=schema)
+            for s in range(0, b.num_rows, _AT_ONCE // 100):
+                t = b.slice(s, _AT_ONCE // 100)
+                blocks = t["block"].to_pylist()
+                k1, k2 = stretch_hashes(blocks, span)
+                count = np.array([len(x) - span + 1 for x in blocks], np.int64)
+                row = pa.array(np.repeat(np.arange(len(count)), count))
+                offset = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+                rest = [t[c].take(row) for c in ("before", "ref_doc", "ref_pos", "other_doc")]
+                yield pa.RecordBatch.from_arrays([pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), t["block_id"].take(row), pa.array(offset.astype(np.int32)), *rest], schema=_STRETCH)
 
     return rows
 
@@ -166,61 +203,78 @@ def copies(docs: DataFrame) -> DataFrame:
     return ids.join(reps, "text_id").select("doc_id", "rep").distinct()
 
 
-def shared_anchors(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
-    """h, n, doc_id, pos: anchors of representatives whose hash occurs more than once.
-
-    ``n`` is the number of anchors with that hash, copies included.
+def representatives(docs: DataFrame) -> DataFrame:
+    """doc_id, text of one document of each text, partitioned by document: the one shuffle of texts, which every use shares."""
+    reps = docs.groupBy(F.unhex(F.md5(F.encode("text", "UTF-8"))).alias("text_id")).agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
+    return docs.repartition("doc_id").join(reps, "doc_id", "left_semi")
+
+
+def shared_anchors(texts: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
+    """h, n, doc_id, place: the anchors that several documents hold; ``n`` is the number of their places."""
+    found = texts.mapInArrow(_anchor_rows(span, gram), _PLACES).repartition("h")  # one shuffle, for the count and for the join
+    several = found.groupBy("h").agg(F.count("*").alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi")
+    several = several.select(F.col("h").alias("__h"), "n")
+    return found.join(several, found["h"] == several["__h"]).select("h", "n", "doc_id", "place")
+
+
+def _pieces(texts: DataFrame, span: int, gram: int, group: int) -> DataFrame:
+    """doc_id, start, n, ref_doc, ref_pos, ref_start: the parse of the representatives, still cut at the blocks' edges. A piece is
+    ``n`` stretches from ``start`` on, equal to those of the reference document from ``ref_start`` on in its block at ``ref_pos``."""
+    found = shared_anchors(texts, span, gram).groupBy("doc_id").agg(F.collect_list(F.struct("h", "n", "place")).alias("found"))
+    cut = texts.join(found, "doc_id").select("doc_id", "text", "found")
+    members = cut.mapInArrow(_member_rows(span), _DDL["member"])
+    blocks = cut.mapInArrow(_block_rows(span, group), _DDL["block"])
+
+    few = blocks.where("not many").repartition("h").sortWithinPartitions("h").mapInArrow(_run_rows(span), _DDL["run"])
+    least = F.min(F.struct("ref_doc", "ref_pos")).alias("ref")
+    many = blocks.where("many").groupBy("block_id", "block", "before").agg(least, F.max("other_doc").alias("other_doc"))
+    many = many.select("block_id", "block", "before", "ref.ref_doc", "ref.ref_pos", "other_doc")
+    stretches = many.mapInArrow(_stretch_rows(span), _DDL["stretch"])
+    index = stretches.groupBy("k1", "k2").agg(least, F.max("other_doc").alias("hi")).where("ref.ref_doc < hi").select("k1", "k2", "ref")
+    spread = stretches.select("k1", "k2", "block_id", "offset", "before").join(index, ["k1", "k2"])
+    spread = spread.select("block_id", "offset", F.lit(1).alias("n"), "ref.ref_doc", "ref.ref_pos", (F.col("ref.ref_pos") - F.col("before") + F.col("offset")).alias("ref_first"))
+    # Equal blocks may have come out of several batches, each as a row of its own with the same runs.
+    runs = few.unionByName(spread).groupBy("block_id", "offset").agg(F.min_by(F.struct("n", "ref_doc", "ref_pos", "ref_first"), F.struct("ref_doc", "ref_pos")).alias("r"))
+    return members.join(runs, "block_id").select("doc_id", (F.col("first") + F.col("offset")).alias("start"), "r.n", "r.ref_doc", "r.ref_pos", F.col("r.ref_first").alias("ref_start"))
+
+
+def factors(texts: DataFrame, span: int = SPAN, gram: int = GRAM, group: int = GROUP) -> DataFrame:
+    """The pieces, with ``factor`` (where the piece's factor begins in the document) and ``ref_from`` (and in its reference)."""
+    rows = _pieces(texts, span, gram, group)
+    order = Window.partitionBy("doc_id").orderBy("start", "ref_doc", "ref_start")
+    before = lambda c: F.lag(c).over(order)
+    goes_on = (before("ref_doc") == F.col("ref_doc")) & (before(F.col("start") + F.col("n")) == F.col("start")) & (before(F.col("ref_start") + F.col("n")) == F.col("ref_start"))
+    rows = rows.withColumn("begins", F.when(~F.coalesce(goes_on, F.lit(False)), F.struct("start", "ref_start")))
+    rows = rows.withColumn("begins", F.last("begins", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return rows.select("doc_id", "start", "n", "ref_doc", "ref_pos", "ref_start", F.col("begins.start").alias("factor"), F.col("begins.ref_start").alias("ref_from"))
+
+
+def parsed(documents: DataFrame, span: int = SPAN, gram: int = GRAM, group: int = GROUP) -> DataFrame:
+    """doc_id, start, length, ref_doc, ref_start: the factors of each representative. What a document shares with none has no factor;
+    the reference's own text refers to itself."""
+    rows = factors(representatives(usable(documents, span)), span, gram, group)
+    whole = rows.groupBy("doc_id", F.col("factor").alias("start"), "ref_doc", F.col("ref_from").alias("ref_start")).agg((F.sum("n") + span - 1).alias("length"))
+    return whole.select("doc_id", "start", "length", "ref_doc", "ref_start")
+
+
+def representative_pairs(texts: DataFrame, span: int = SPAN, gram: int = GRAM, group: int = GROUP) -> DataFrame:
+    """doc_a, doc_b: representatives whose factors meet at a stretch of the same reference.
+
+    Two factors that meet do so at the later of their beginnings, which lies in one block of the reference; so each meeting is
+    found once, however many blocks it runs through. A document that repeats itself is one row for what it repeats.
     """
-    found = docs.mapInArrow(_anchor_rows(span, gram), _ANCHORS)
-    several = found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
-    reps = copies(docs).select(F.col("rep").alias("doc_id")).distinct()
-    return found.join(several, "h").join(reps, "doc_id", "left_semi")
-
-
-def cut_blocks(docs: DataFrame, shared: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
-    """h, n, doc_id, at, block: what surrounds each of the anchors in ``shared``; places of a document with the same
-    block are one row, so a text that repeats itself costs what it says once."""
-    per_doc = shared.groupBy("doc_id").agg(F.collect_list(F.struct("h", "n", "pos")).alias("found"))
-    return docs.join(per_doc, "doc_id").select("doc_id", "text", "found").mapInArrow(_block_rows(span, gram), _BLOCKS)
-
-
-_STRETCHES = "h long, key long, ahead long, doc_id long, starts array<int>"
-
-
-def candidates(docs: DataFrame, span: int, gram: int, hot: int) -> tuple[DataFrame, DataFrame]:
-    """(factors between the blocks of anchors with up to ``hot`` places, stretches of the blocks of the others)."""
-    shared = shared_anchors(docs, span, gram)
-    few, many = (cut_blocks(docs, shared.where(c), span, gram) for c in (F.col("n") <= hot, F.col("n") > hot))
-    groups = few.groupBy("h").agg(F.collect_list(F.struct("doc_id", "at", "block")).alias("members")).where("size(members) > 1")
-    return groups.select("members").mapInArrow(_factor_rows(span, gram), _FACTORS), many.mapInArrow(_stretch_rows(span, gram), _STRETCHES)
+    rows = factors(texts, span, gram, group).select("doc_id", "ref_doc", "ref_pos", "ref_start", (F.col("ref_start") + F.col("n")).alias("ref_stop"), "ref_from").distinct()
+    a, b = rows.alias("a"), rows.alias("b")
+    meet = F.greatest("a.ref_from", "b.ref_from")
+    inside = lambda s: (meet >= F.col(f"{s}.ref_start")) & (meet < F.col(f"{s}.ref_stop"))
+    same = (F.col("a.ref_doc") == F.col("b.ref_doc")) & (F.col("a.ref_pos") == F.col("b.ref_pos")) & (F.col("a.doc_id") < F.col("b.doc_id"))
+    return a.join(b, same & inside("a") & inside("b")).select(F.col("a.doc_id").alias("doc_a"), F.col("b.doc_id").alias("doc_b")).distinct()
 
 
-def representative_pairs(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    """doc_a, doc_b: representatives with a common factor of at least ``span``. ``docs`` is what ``usable`` gives."""
-    factors, stretches = candidates(docs, span, gram, hot)
-    stretches = stretches.select("h", "key", "ahead", "doc_id")
-    a, b = stretches.alias("a"), stretches.alias("b")
-    # Only the first of a run of common stretches counts: where what lies ahead differs.
-    on = F.expr("a.h = b.h and a.key = b.key and a.doc_id < b.doc_id and a.ahead <> b.ahead")
-    hot_pairs = a.join(b, on).select(F.col("a.doc_id").alias("doc_a"), F.col("b.doc_id").alias("doc_b"))
-    return factors.select("doc_a", "doc_b").unionByName(hot_pairs).distinct()
-
-
-def shared_intervals(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    """rep, start, stop: intervals of representatives that occur in other representatives; no pair is formed of hot blocks."""
-    factors, stretches = candidates(docs, span, gram, hot)
-    side = lambda d: factors.select(F.col(f"doc_{d}").alias("rep"), F.explode(f"starts_{d}").alias("start"), "length")
-    key = ["h", "key"]
-    several = stretches.groupBy(*key).agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi").select(*key)
-    common = stretches.join(several, key, "left_semi").select(F.col("doc_id").alias("rep"), F.explode("starts").alias("start"), F.lit(span).alias("length"))
-    rows = side("a").unionByName(side("b")).unionByName(common)
-    return rows.groupBy("rep", "start").agg((F.col("start") + F.max("length")).alias("stop"))
-
-
-def sharing_pairs(documents: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int = HOT) -> DataFrame:
+def sharing_pairs(documents: DataFrame, span: int = SPAN, gram: int = GRAM, group: int = GROUP) -> DataFrame:
     """doc_id_a, doc_id_b: all pairs of documents with a common stretch of at least ``span`` code points."""
     docs = usable(documents, span)
-    pairs = representative_pairs(docs, span, gram, hot)
+    pairs = representative_pairs(representatives(docs), span, gram, group)
     members = copies(docs)
     a = members.select(F.col("doc_id").alias("doc_id_a"), F.col("rep").alias("doc_a"))
     b = members.select(F.col("doc_id").alias("doc_id_b"), F.col("rep").alias("doc_b"))
@@ -230,13 +284,14 @@ def sharing_pairs(documents: DataFrame, span: int = SPAN, gram: int = GRAM, hot:
     return between.select(low.alias("doc_id_a"), high.alias("doc_id_b")).unionByName(within.select("doc_id_a", "doc_id_b")).where("doc_id_a < doc_id_b").distinct()
 
 
-def shared_share(documents: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    """doc_id, n_chars, shared_chars, n_spans, share, has_copy: how much of each document occurs elsewhere.
+def shared_share(documents: DataFrame, span: int = SPAN, gram: int = GRAM, group: int = GROUP) -> DataFrame:
+    """doc_id, n_chars, shared_chars, n_spans, share, has_copy, rep: how much of each document occurs elsewhere; no pair is formed.
 
-    One row per document with a non-null id and text; overlapping spans count once.
+    One row per document with a non-null id and text; overlapping spans count once. ``rep`` is the document that stands for
+    its text, null for texts below the minimum length.
     """
     docs = usable(documents, span)
-    spans = shared_intervals(docs, span, gram, hot)
+    spans = _pieces(representatives(docs), span, gram, group).select(F.col("doc_id").alias("rep"), "start", (F.col("start") + F.col("n") + (span - 1)).alias("stop"))
     so_far = F.max("stop").over(Window.partitionBy("rep").orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
     reach = F.coalesce(so_far, F.lit(0))
     fresh = F.greatest(F.lit(0), F.col("stop") - F.greatest("start", reach))
@@ -247,13 +302,15 @@ def shared_share(documents: DataFrame, span: int = SPAN, gram: int = GRAM, hot:
     )
     members = copies(docs)
     sizes = members.groupBy("rep").agg((F.count("*") > 1).alias("copied"))
-    per_doc = members.join(sizes, "rep").join(covered, "rep", "left").select("doc_id", "copied", "covered", "spans")
+    per_doc = members.join(sizes, "rep").join(covered, "rep", "left").groupBy("doc_id").agg(
+        F.bool_or("copied").alias("copied"), F.max("covered").alias("covered"), F.max("spans").alias("spans"), F.min("rep").alias("rep")
+    )
     lengths = documents.where("doc_id is not null and text is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.length("text")).cast("long").alias("n_chars"))
-    copied = F.coalesce("copied", F.lit(False))
+    copied: Column = F.coalesce("copied", F.lit(False))
     shared = F.when(copied, F.col("n_chars")).otherwise(F.coalesce("covered", F.lit(0))).cast("long")
     return lengths.join(per_doc, "doc_id", "left").select(
         "doc_id", "n_chars", shared.alias("shared_chars"), F.when(copied, 1).otherwise(F.coalesce("spans", F.lit(0))).cast("long").alias("n_spans"),
-        F.when(F.col("n_chars") > 0, shared / F.col("n_chars")).otherwise(0.0).alias("share"), copied.alias("has_copy"),
+        F.when(F.col("n_chars") > 0, shared / F.col("n_chars")).otherwise(0.0).alias("share"), copied.alias("has_copy"), "rep",
     )
 
 
@@ -263,3 +320,8 @@ def p8_found(spark, base: str) -> DataFrame:
 
 def p8_shared(spark, base: str) -> DataFrame:
     return shared_share(read_table(spark, base, "documents"))
+
+
+def p8_factors(spark, base: str) -> DataFrame:
+    """The parse: with ``rep`` of ``p8_shared`` the whole result, in rows linear in the texts."""
+    return parsed(read_table(spark, base, "documents"))

@@ -17,10 +17,10 @@ group; an error is less likely than 1e-15 in a corpus of 1e11 stretches.
 
 Scale: texts are shuffled once, by document, after exact copies are reduced to one representative by a hash (a combining
 aggregate, so a text that a third of all rows repeat is one row). Of all anchors only (hash, document, place) is shuffled, once,
-for both the count and the join. Only blocks of anchors that several documents hold are cut; equal ones are
-combined before they are shuffled. The blocks of an anchor are compared in one task, sorted and streamed, as far as ``GROUP`` places
-hold it; the stretches of anchors that more places hold (a phrase in a third of all documents) are spread over
-tasks by their hashes under a combining aggregate instead. Pairs are formed in ``p8_found`` only.
+for the count and the choice of those that several documents hold; only their blocks are cut. The blocks of an anchor are
+compared in one task, sorted and streamed, as far as ``GROUP`` places hold it. Of anchors that more places hold (a phrase in a
+third of all documents) equal blocks are combined before they are shuffled, and the distinct blocks' stretches are spread over tasks
+by their hashes under a combining aggregate; the rule is the same. Pairs are formed in ``p8_found`` only.
 
 Defined results: texts and ids that are null, and texts below the minimum length, share nothing; repeated
 rows of one document count once; a document never pairs with itself; any code point counts, U+0000 included.
@@ -72,22 +72,29 @@ def _name(block: str) -> bytes:
     return xxhash.xxh3_128_digest(block.encode("utf-8", "surrogatepass"))
 
 
+_PLACE = pa.schema([("h", pa.int64()), ("doc_id", pa.int64()), ("pos", pa.int64()), ("before", pa.int64()), ("block", pa.string())])
+_PIECE = pa.schema([(c, pa.int64()) for c in ("doc_id", "start", "n", "ref_doc", "ref_pos", "ref_start")])
 _MEMBER = pa.schema([("block_id", pa.binary()), ("doc_id", pa.int64()), ("first", pa.int64())])
-_BLOCK = pa.schema([("h", pa.int64()), ("many", pa.bool_()), ("block_id", pa.binary()), ("before", pa.int32()), ("block", pa.string()), ("ref_doc", pa.int64()), ("ref_pos", pa.int64()), ("other_doc", pa.int64())])
-_RUN = pa.schema([("block_id", pa.binary()), ("offset", pa.int32()), ("n", pa.int32()), ("ref_doc", pa.int64()), ("ref_pos", pa.int64()), ("ref_first", pa.int64())])
-_STRETCH = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("block_id", pa.binary()), ("offset", pa.int32()), ("before", pa.int32()), ("ref_doc", pa.int64()), ("ref_pos", pa.int64()), ("other_doc", pa.int64())])
-_DDL = {
-    "member": "block_id binary, doc_id long, first long",
-    "block": "h long, many boolean, block_id binary, before int, block string, ref_doc long, ref_pos long, other_doc long",
-    "run": "block_id binary, offset int, n int, ref_doc long, ref_pos long, ref_first long",
-    "stretch": "k1 long, k2 long, block_id binary, offset int, before int, ref_doc long, ref_pos long, other_doc long",
-}
+_BLOCK = pa.schema([("block", pa.string()), ("block_id", pa.binary()), ("before", pa.int64()), ("ref_doc", pa.int64()), ("ref_pos", pa.int64()), ("other_doc", pa.int64())])
+_STRETCH = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("block_id", pa.binary()), *[(c, pa.int64()) for c in ("offset", "before", "ref_doc", "ref_pos", "other_doc")]])
+
+
+def _ddl(schema: pa.Schema) -> str:
+    return ", ".join(f"{f.name} {dict(int64='long', binary='binary', string='string')[str(f.type)]}" for f in schema)
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [()] * len(schema), schema)], schema=schema)
 
 
+def _place_rows(span: int):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield _batch([(x["h"], doc, pos, before, block) for doc, x, pos, before, _, block in _blocks(b, span)], _PLACE)
+
+    return rows
+
+
 def _member_rows(span: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -96,30 +103,30 @@ def _member_rows(span: int):
     return rows
 
 
-def _block_rows(span: int, group: int):
+def _block_rows(span: int):
     """Blocks with their least place and their greatest document; equal ones of a batch are one."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             seen: dict[str, list] = {}
-            for doc, x, pos, before, _, block in _blocks(b, span):
+            for doc, _, pos, before, _, block in _blocks(b, span):
                 had = seen.get(block)
                 if had is None:
-                    seen[block] = [x["h"], x["n"] > group, before, doc, pos, doc]
+                    seen[block] = [before, doc, pos, doc]
                 else:
-                    had[3], had[4] = min((had[3], had[4]), (doc, pos))
-                    had[5] = max(had[5], doc)
-            yield _batch([(v[0], v[1], _name(k), v[2], k, *v[3:]) for k, v in seen.items()], _BLOCK)
+                    had[1], had[2] = min((had[1], had[2]), (doc, pos))
+                    had[3] = max(had[3], doc)
+            yield _batch([(k, _name(k), *v) for k, v in seen.items()], _BLOCK)
 
     return rows
 
 
 def _runs(t: pa.Table, span: int) -> pa.RecordBatch:
-    """The runs of stretches with one reference, of blocks that hold whole groups."""
-    order = np.lexsort((t["ref_pos"].to_numpy(), t["ref_doc"].to_numpy()))
+    """The pieces of the blocks of whole groups: runs of stretches with one reference."""
+    order = np.lexsort((t["pos"].to_numpy(), t["doc_id"].to_numpy()))
     t = t.take(order)  # now the first of several blocks is the reference
     k1, k2 = stretch_hashes(t["block"].to_pylist(), span)
-    before, doc, pos, other = (t[c].to_numpy() for c in ("before", "ref_doc", "ref_pos", "other_doc"))
+    doc, pos, before = (t[c].to_numpy() for c in ("doc_id", "pos", "before"))
     count = np.asarray(pa.compute.utf8_length(t["block"]).combine_chunks()) - span + 1
     row = np.repeat(np.arange(len(count)), count)
     at = np.argsort(k1, kind="stable")
@@ -129,21 +136,20 @@ def _runs(t: pa.Table, span: int) -> pa.RecordBatch:
         fresh = np.concatenate(([True], (k1[at][1:] != k1[at][:-1]) | (k2[at][1:] != k2[at][:-1])))
     begins = np.flatnonzero(fresh)
     which = np.cumsum(fresh) - 1
-    shared = np.minimum.reduceat(doc[row[at]], begins) < np.maximum.reduceat(other[row[at]], begins)
+    shared = np.minimum.reduceat(doc[row[at]], begins) < np.maximum.reduceat(doc[row[at]], begins)
     ref, common = np.empty(len(row), np.int64), np.empty(len(row), bool)
     ref[at], common[at] = row[at[begins]][which], shared[which]
     starts = np.concatenate(([True], (row[1:] != row[:-1]) | (ref[1:] != ref[:-1]) | (common[1:] != common[:-1])))
     first = np.flatnonzero(starts)
     n = np.diff(np.concatenate((first, [len(row)])))
     first, n = first[common[first]], n[common[first]]
-    offset = first - (np.cumsum(count) - count)[row[first]]
-    r = ref[first]
-    names = t["block_id"].combine_chunks().take(pa.array(row[first]))
-    values = [names, offset.astype(np.int32), n.astype(np.int32), doc[r], pos[r], pos[r] - before[row[first]] + offset]
-    return pa.RecordBatch.from_arrays([values[0], *map(pa.array, values[1:])], schema=_RUN)
+    of, r = row[first], ref[first]
+    offset = first - (np.cumsum(count) - count)[of]
+    values = (doc[of], pos[of] - before[of] + offset, n, doc[r], pos[r], pos[r] - before[of] + offset)
+    return pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in values], schema=_PIECE)
 
 
-def _run_rows(span: int):
+def _piece_rows(span: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for b in batches:  # sorted by h
@@ -187,7 +193,7 @@ def _stretch_rows(span: int):
                 row = pa.array(np.repeat(np.arange(len(count)), count))
                 offset = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
                 rest = [t[c].take(row) for c in ("before", "ref_doc", "ref_pos", "other_doc")]
-                yield pa.RecordBatch.from_arrays([pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), t["block_id"].take(row), pa.array(offset.astype(np.int32)), *rest], schema=_STRETCH)
+                yield pa.RecordBatch.from_arrays([pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), t["block_id"].take(row), pa.array(offset), *rest], schema=_STRETCH)
 
     return rows
 
@@ -196,46 +202,55 @@ def usable(docs: DataFrame, span: int = SPAN) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where((F.length("text") >= span) & F.col("doc_id").isNotNull())
 
 
+def _named(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", F.unhex(F.md5(F.encode("text", "UTF-8"))).alias("text_id"))
+
+
 def copies(docs: DataFrame) -> DataFrame:
     """doc_id, rep: each document and the least id among the documents of the same text."""
-    ids = docs.select("doc_id", F.unhex(F.md5(F.encode("text", "UTF-8"))).alias("text_id"))
+    ids = _named(docs)
     reps = ids.groupBy("text_id").agg(F.min("doc_id").alias("rep"))
     return ids.join(reps, "text_id").select("doc_id", "rep").distinct()
 
 
 def representatives(docs: DataFrame) -> DataFrame:
     """doc_id, text of one document of each text, partitioned by document: the one shuffle of texts, which every use shares."""
-    reps = docs.groupBy(F.unhex(F.md5(F.encode("text", "UTF-8"))).alias("text_id")).agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
+    reps = _named(docs).groupBy("text_id").agg(F.min("doc_id").alias("rep")).select(F.col("rep").alias("doc_id")).distinct()
     return docs.repartition("doc_id").join(reps, "doc_id", "left_semi")
 
 
 def shared_anchors(texts: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
     """h, n, doc_id, place: the anchors that several documents hold; ``n`` is the number of their places."""
-    found = texts.mapInArrow(_anchor_rows(span, gram), _PLACES).repartition("h")  # one shuffle, for the count and for the join
-    several = found.groupBy("h").agg(F.count("*").alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi")
-    several = several.select(F.col("h").alias("__h"), "n")
-    return found.join(several, found["h"] == several["__h"]).select("h", "n", "doc_id", "place")
+    found = texts.mapInArrow(_anchor_rows(span, gram), _PLACES)
+    of_hash = Window.partitionBy("h")  # one shuffle, and the count and the choice in it
+    counted = found.withColumns({"n": F.count("*").over(of_hash), "lo": F.min("doc_id").over(of_hash), "hi": F.max("doc_id").over(of_hash)})
+    return counted.where("lo <> hi").select("h", "n", "doc_id", "place")
 
 
 def _pieces(texts: DataFrame, span: int, gram: int, group: int) -> DataFrame:
     """doc_id, start, n, ref_doc, ref_pos, ref_start: the parse of the representatives, still cut at the blocks' edges. A piece is
     ``n`` stretches from ``start`` on, equal to those of the reference document from ``ref_start`` on in its block at ``ref_pos``."""
-    found = shared_anchors(texts, span, gram).groupBy("doc_id").agg(F.collect_list(F.struct("h", "n", "place")).alias("found"))
-    cut = texts.join(found, "doc_id").select("doc_id", "text", "found")
-    members = cut.mapInArrow(_member_rows(span), _DDL["member"])
-    blocks = cut.mapInArrow(_block_rows(span, group), _DDL["block"])
+    found = shared_anchors(texts, span, gram)
 
-    few = blocks.where("not many").repartition("h").sortWithinPartitions("h").mapInArrow(_run_rows(span), _DDL["run"])
+    def cut(which: str) -> DataFrame:
+        of_doc = found.where(which).groupBy("doc_id").agg(F.collect_list(F.struct("h", "place")).alias("found"))
+        return texts.join(of_doc, "doc_id").select("doc_id", "text", "found")
+
+    few = cut(f"n <= {group}").mapInArrow(_place_rows(span), _ddl(_PLACE))
+    few = few.repartition("h").sortWithinPartitions("h").mapInArrow(_piece_rows(span), _ddl(_PIECE))
+
+    hot = cut(f"n > {group}")
+    members = hot.mapInArrow(_member_rows(span), _ddl(_MEMBER))
     least = F.min(F.struct("ref_doc", "ref_pos")).alias("ref")
-    many = blocks.where("many").groupBy("block_id", "block", "before").agg(least, F.max("other_doc").alias("other_doc"))
-    many = many.select("block_id", "block", "before", "ref.ref_doc", "ref.ref_pos", "other_doc")
-    stretches = many.mapInArrow(_stretch_rows(span), _DDL["stretch"])
+    blocks = hot.mapInArrow(_block_rows(span), _ddl(_BLOCK)).groupBy("block", "block_id", "before").agg(least, F.max("other_doc").alias("other_doc"))
+    stretches = blocks.select("block_id", "block", "before", "ref.ref_doc", "ref.ref_pos", "other_doc").mapInArrow(_stretch_rows(span), _ddl(_STRETCH))
     index = stretches.groupBy("k1", "k2").agg(least, F.max("other_doc").alias("hi")).where("ref.ref_doc < hi").select("k1", "k2", "ref")
-    spread = stretches.select("k1", "k2", "block_id", "offset", "before").join(index, ["k1", "k2"])
-    spread = spread.select("block_id", "offset", F.lit(1).alias("n"), "ref.ref_doc", "ref.ref_pos", (F.col("ref.ref_pos") - F.col("before") + F.col("offset")).alias("ref_first"))
-    # Equal blocks may have come out of several batches, each as a row of its own with the same runs.
-    runs = few.unionByName(spread).groupBy("block_id", "offset").agg(F.min_by(F.struct("n", "ref_doc", "ref_pos", "ref_first"), F.struct("ref_doc", "ref_pos")).alias("r"))
-    return members.join(runs, "block_id").select("doc_id", (F.col("first") + F.col("offset")).alias("start"), "r.n", "r.ref_doc", "r.ref_pos", F.col("r.ref_first").alias("ref_start"))
+    runs = stretches.select("k1", "k2", "block_id", "offset", "before").join(index, ["k1", "k2"])
+    many = members.join(runs, "block_id").select(
+        "doc_id", (F.col("first") + F.col("offset")).alias("start"), F.lit(1).cast("long").alias("n"), "ref.ref_doc", "ref.ref_pos",
+        (F.col("ref.ref_pos") - F.col("before") + F.col("offset")).alias("ref_start"),
+    )
+    return few.unionByName(many)
 
 
 def factors(texts: DataFrame, span: int = SPAN, gram: int = GRAM, group: int = GROUP) -> DataFrame:

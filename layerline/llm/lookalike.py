@@ -1,15 +1,16 @@
 """Visually identical text with different characters -> one consistent form.
 
-A text is cut into tokens (runs of letters, digits and marks). Each letter has a set of scripts it
-could belong to: its own and those of the letters that look the same. The intersection over a token
-says in which scripts the whole token can be spelt. A token is *mixed* if its letters come from more
-than one script and *whole-script confusable* if they come from one but the intersection holds
-another. A token that can be spelt in Latin is spelt in Latin, else in the first script of the
-intersection (so a Greek word with one Latin letter becomes Greek again); where no script fits, each
-letter takes its Latin look-alike if it has one. What remains is compatibility forms, composition of
-accents, invisible characters and the kind of spaces, which are brought to one form for the whole text.
-
-Letter case, accents, wording and punctuation stay visible differences.
+A text is cut into tokens (runs of letters, digits and marks). Each letter has a set of scripts it could belong to: its
+own and those of the letters that look the same, by the public tables of confusable letters and of script extensions
+(``confusables``). The intersection over a token says in which scripts the whole token can be spelt. A token is *mixed*
+if its letters have no script in common and *whole-script confusable* if they have one but the intersection holds
+another. Where several scripts fit, the surrounding text decides: the script of most letters of those tokens that only one
+script fits. Otherwise it is the first that fits in the order of Unicode, Latin, Greek, Cyrillic and so on. Where no script fits, each letter takes its
+Latin look-alike if it has one. So the choice depends on looks only, and texts of one look get one spelling. What
+remains is compatibility forms, composition of accents, invisible characters and the kind of spaces and hyphens, which are
+brought to one form for the whole text.
+
+Letter case, accents, wording and punctuation stay visible differences (a curved apostrophe is not a straight one).
 
 Only texts that hold a character outside printable ASCII reach Python (Arrow batches); the rest pass
 through a plain expression.
@@ -19,36 +20,16 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from functools import lru_cache
 
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-# Letters that are drawn alike, Latin first; each line names the alphabet it is from.
-ALIKE = {
-    "Cyrillic": (
-        ("A", "А"), ("B", "В"), ("C", "С"), ("E", "Е"), ("H", "Н"), ("I", "І"), ("J", "Ј"), ("K", "К"), ("M", "М"), ("O", "О"),
-        ("P", "Р"), ("S", "Ѕ"), ("T", "Т"), ("X", "Х"), ("Y", "Ү"), ("Q", "Ԛ"), ("W", "Ԝ"),
-        ("a", "а"), ("c", "с"), ("d", "ԁ"), ("e", "е"), ("h", "һ"), ("i", "і"), ("j", "ј"), ("l", "ӏ"), ("o", "о"), ("p", "р"),
-        ("q", "ԛ"), ("s", "ѕ"), ("v", "ѵ"), ("w", "ԝ"), ("x", "х"), ("y", "у"),
-    ),
-    "Greek": (
-        ("A", "Α"), ("B", "Β"), ("E", "Ε"), ("H", "Η"), ("I", "Ι"), ("J", "Ϳ"), ("K", "Κ"), ("M", "Μ"), ("N", "Ν"), ("O", "Ο"),
-        ("P", "Ρ"), ("T", "Τ"), ("X", "Χ"), ("Y", "Υ"), ("Z", "Ζ"), ("j", "ϳ"), ("o", "ο"), ("v", "ν"),
-    ),
-    "Armenian": (("O", "Օ"), ("U", "Ս"), ("S", "Տ"), ("L", "Լ"), ("h", "հ"), ("n", "ո"), ("o", "օ"), ("u", "ս"), ("g", "ց")),
-}
-SCRIPTS = ("Latin", *ALIKE)
-
-#: letter -> {script: spelling}; letters of one look share one dictionary.
-SPELLINGS: dict[str, dict[str, str]] = {}
-for _script, _pairs in ALIKE.items():
-    for _latin, _other in _pairs:
-        _look = SPELLINGS.setdefault(_latin, {"Latin": _latin})
-        _look[_script] = _other
-        SPELLINGS[_other] = _look
+from .confusables import Looks, looks
 
 #: Ranges of characters that show nothing.
 _HIDDEN = ((0xAD, 0xAD), (0x34F, 0x34F), (0x61C, 0x61C), (0x115F, 0x1160), (0x17B4, 0x17B5), (0x180B, 0x180F), (0x200B, 0x200F), (0x202A, 0x202E), (0x2060, 0x206F), (0xFE00, 0xFE0F), (0xFEFF, 0xFEFF), (0xFFA0, 0xFFA0), (0xE0000, 0xE007F))
@@ -56,8 +37,9 @@ _HIDDEN = ((0xAD, 0xAD), (0x34F, 0x34F), (0x61C, 0x61C), (0x115F, 0x1160), (0x17
 #: fraction forms are not).
 _SAME_LOOK = ("<wide>", "<narrow>", "<compat>", "<noBreak>", "<font>", "<initial>", "<medial>", "<final>", "<isolated>")
 _SPACES = re.compile(r"[^\S\n\r]+")
-_TOKEN = re.compile(r"[^\W_]+")
-_FOREIGN = re.compile("[\u0370-\u058f]")
+_TOKEN = regex.compile(r"[\p{L}\p{M}\p{N}]+")
+#: Hyphens that are drawn like the one of ASCII.
+_HYPHENS = (0x2010, 0x2011)
 _HIGH = re.compile("[^\x20-\x7e\n]")
 #: Fixed value: a Java class; a text that has none of it is in consistent form but for runs of spaces.
 _NEEDS_WORK = r"[^\x20-\x7e\n]"
@@ -72,6 +54,8 @@ class _Simple(dict):
             out = None
         elif code > 126 and (ch.isspace() or unicodedata.category(ch) == "Zs"):
             out = " "
+        elif code in _HYPHENS:
+            out = "-"
         else:
             out = unicodedata.normalize("NFKC", ch) if unicodedata.decomposition(ch).startswith(_SAME_LOOK) else ch
         self[code] = out
@@ -81,74 +65,92 @@ class _Simple(dict):
 _SIMPLE = _Simple()
 
 
-@lru_cache(maxsize=65536)
-def script_of(ch: str) -> str:
-    """The script of a letter; empty for what belongs to every script (digits, marks, signs)."""
-    if not ch.isalpha():
-        return ""
-    first = unicodedata.name(ch, "").split(" ")[0].capitalize()
-    return first if first in SCRIPTS else first or "Unknown"
+def _base(ch: str) -> str:
+    return unicodedata.normalize("NFD", ch)[0]
 
 
-def resolved_scripts(token: str) -> tuple[set[str], set[str] | None]:
-    """(scripts the letters come from, scripts in which the whole token can be spelt).
+class Speller:
+    """The consistent form by one set of tables; what it learns about tokens it keeps for the next text."""
 
-    The second is None if the token has no letters.
-    """
-    own: set[str] = set()
-    fits: set[str] | None = None
-    for ch in token:
-        bare = unicodedata.normalize("NFD", ch)[0]
-        s = script_of(bare)
-        if s:
-            own.add(s)
-            could = {s, *SPELLINGS.get(bare, ())}
-            fits = could if fits is None else fits & could
-    return own, fits
+    def __init__(self, tables: Looks):
+        self.tables = tables
+        self.foreign = regex.compile(rf"[[\p{{L}}--\p{{Latin}}]{''.join(sorted(tables.odd & set(filter(regex.compile(r'[\p{Latin}]').match, tables.odd))))}]", regex.V1)
+        self.scripts = lru_cache(maxsize=65536)(self._scripts)
+        self.token = lru_cache(maxsize=65536)(self._token)
+
+    def __reduce__(self):
+        return Speller, (self.tables,)
 
+    def _scripts(self, token: str) -> tuple[frozenset[str] | None, frozenset[str] | None]:
+        """(scripts that all letters are used in, scripts in which the whole token can be spelt); None without letters."""
+        own = fits = None
+        for ch in token:
+            bare = _base(ch)
+            mine = self.tables.own(bare)
+            if mine:
+                could = self.tables.could(bare)
+                own, fits = (mine, could) if own is None else (own & mine, fits & could)
+        return own, fits
 
-def classify_token(token: str) -> str:
-    """``plain``, ``mixed`` (letters of several scripts) or ``whole`` (one script, spelt alike in another)."""
-    own, fits = resolved_scripts(token)
-    if len(own) > 1:
-        return "mixed"
-    return "whole" if fits and fits - own and own != {"Latin"} else "plain"
+    def classify(self, token: str) -> str:
+        """``plain``, ``mixed`` (the letters have no script in common) or ``whole`` (one that another script spells alike)."""
+        own, fits = self.scripts(token)
+        if own is None:
+            return "plain"
+        return "mixed" if not own else "whole" if fits - own else "plain"
 
+    def context(self, tokens: list[str]) -> str | None:
+        """The script of most letters of the tokens that only one script fits."""
+        sizes: Counter = Counter()
+        for t in tokens:
+            fits = self.scripts(t)[1]
+            if fits is not None and len(fits) == 1:
+                sizes[next(iter(fits))] += len(t)
+        return min(sizes, key=lambda s: (-sizes[s], s != "Latin", s)) if sizes else None
 
-@lru_cache(maxsize=65536)
-def consistent_token(token: str) -> str:
-    """The token spelt in one script: Latin if it can be, else the first script that fits it whole."""
-    own, fits = resolved_scripts(token)
-    if own <= {"Latin"}:
-        return token
-    script = next((s for s in (*SCRIPTS, *sorted(fits or ())) if s in (fits or ())), "Latin")
+    def _token(self, token: str, context: str | None) -> str:
+        fits = self.scripts(token)[1]
+        if fits is None:
+            return token
+        script = context if context in fits else self.tables.first(fits) if fits else "Latin"
 
-    def spelt(ch: str) -> str:
-        d = unicodedata.normalize("NFD", ch)
-        return SPELLINGS.get(d[0], {}).get(script, d[0]) + d[1:]
+        def spelt(ch: str) -> str:
+            d = unicodedata.normalize("NFD", ch)
+            return self.tables.spelt(d[0], script) + d[1:]
 
-    return unicodedata.normalize("NFC", "".join(spelt(c) for c in token))
+        return unicodedata.normalize("NFC", "".join(map(spelt, token)))
 
+    def text(self, text: str) -> str:
+        """The consistent form of a whole text."""
+        if _HIGH.search(text):
+            text = unicodedata.normalize("NFC", text.translate(_SIMPLE))
+            if self.foreign.search(text):
+                context = self.context(_TOKEN.findall(text))
+                text = _TOKEN.sub(lambda m: self.token(m[0], context), text)
+        return _SPACES.sub(" ", text)
 
-def consistent_text(text: str) -> str:
-    """The consistent form of a whole text."""
-    if _HIGH.search(text):
-        text = unicodedata.normalize("NFC", text.translate(_SIMPLE))
-        if _FOREIGN.search(text):
-            text = _TOKEN.sub(lambda m: consistent_token(m[0]) if _FOREIGN.search(m[0]) else m[0], text)
-    return _SPACES.sub(" ", text)
 
+def speller() -> Speller:
+    """The speller by the tables of the active session."""
+    return _speller(looks())
 
-@F.pandas_udf(StringType())
-def _consistent(s: pd.Series) -> pd.Series:
-    return s.map(consistent_text, na_action="ignore")
+
+@lru_cache(maxsize=1)
+def _speller(tables: Looks) -> Speller:
+    return Speller(tables)
 
 
 def consistent_form(c: Column) -> Column:
     """``c`` in consistent form; null stays null. Python sees only texts with characters beyond ASCII."""
+    by = speller()
+
+    @F.pandas_udf(StringType())
+    def consistent(s: pd.Series) -> pd.Series:
+        return s.map(by.text, na_action="ignore")
+
     odd = F.when(c.rlike(_NEEDS_WORK), c)
     plain = F.when(F.contains(c, F.lit("  ")), F.regexp_replace(c, " {2,}", " ")).otherwise(c)
-    return F.coalesce(_consistent(odd), plain)
+    return F.coalesce(consistent(odd), plain)
 
 
 FIELDS = ("name", "statement_text", "discussion")
@@ -199,6 +201,19 @@ def same_look_pairs(records: DataFrame, fields: tuple[str, ...] = FIELDS) -> Dat
     return both.select("field", F.least("k1", "k2").alias("key_a"), F.greatest("k1", "k2").alias("key_b")).distinct()
 
 
+def same_look_classes(records: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
+    """field, record_key, class_key, spellings, links: the classes behind the pairs, in rows linear in the records.
+
+    One row for each record and spelling of a look that has several; ``class_key`` is the least record of the look in its build and
+    field, ``links`` the number of rows of the class with another spelling.
+    """
+    g = same_look_groups(records, fields)
+    per_spelling = g.groupBy("look", "spelling").agg(F.count("*").alias("alike"), F.min("record_key").alias("least"))
+    per_look = per_spelling.groupBy("look").agg(F.min("least").alias("class_key"), F.count("*").alias("spellings"), F.sum("alike").alias("rows"))
+    of = per_spelling.join(per_look, "look").select("look", "spelling", "class_key", "spellings", (F.col("rows") - F.col("alike")).alias("links"))
+    return g.join(of, ["look", "spelling"]).select("field", "record_key", "class_key", "spellings", "links")
+
+
 def consistent_records(records: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
     """The records with each field in consistent form; all other columns unchanged."""
     return records.withColumns({f: consistent_form(F.col(f)) for f in fields})

@@ -11,6 +11,10 @@ def p5_found(spark, base):
     return lookalike.same_look_pairs(read_table(spark, base, "catalogue_records"))
 
 
+def p5_classes(spark, base):
+    return lookalike.same_look_classes(read_table(spark, base, "catalogue_records"))
+
+
 def p5_consistent(spark, base):
     rows = lookalike.consistent_records(read_table(spark, base, "catalogue_records"))
     return rows.select("record_key", "build_id", *lookalike.FIELDS).distinct()
@@ -18,6 +22,7 @@ def p5_consistent(spark, base):
 
 QUERIES = {
     "p5_found": p5_found,
+    "p5_classes": p5_classes,
     "p5_consistent": p5_consistent,
     "p6_assignments": packing.p6_assignments,
     "p6_containers": packing.p6_containers,

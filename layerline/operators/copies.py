@@ -100,7 +100,7 @@ def compare_copies(left: DataFrame, right: DataFrame, left_name: str = "primary"
         .when(b.isNull(), F.array(_difference(F.lit(f"missing_in_{right_name}"), none, none)))
         .otherwise(F.concat(scalars, nested))
     )
-    value = lambda k: F.when(F.coalesce(f"l.{k}", f"r.{k}") != "", F.substring(F.coalesce(f"l.{k}", f"r.{k}"), 2, 1_000_000))
+    value = lambda k: F.when(F.coalesce(f"l.{k}", f"r.{k}") != "", F.substr(F.coalesce(f"l.{k}", f"r.{k}"), F.lit(2)))
     return both.select(value("kb").alias("build_id"), value("kc").alias("canadian_id"), F.inline(differences))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..errors import EngineError
+from .keyed import placed
 
 
 def edges_of(catalogue: DataFrame, baseline: DataFrame | None = None, hierarchy: DataFrame | None = None, publication: str = "catalogue", baseline_publication: str = "baseline") -> DataFrame:
@@ -23,18 +24,14 @@ def edges_of(catalogue: DataFrame, baseline: DataFrame | None = None, hierarchy:
     if baseline is not None:
         out = out.unionByName(_edges(baseline, "canonical_candidate_id", listed("related", "related_to"), baseline_publication, "nist_upstream", 1))
     if hierarchy is not None:
-        rows = hierarchy.select("source", "relationship", "target", F.lit(baseline_publication).alias("publication"), F.lit("nist_upstream").alias("lineage"), _order(2, F.col("ord"), F.lit(0)))
+        rows = hierarchy.select("source", "relationship", "target", F.lit(baseline_publication).alias("publication"), F.lit("nist_upstream").alias("lineage"), placed(hierarchy, above=(2,)).alias("ord"))
         out = out.unionByName(rows)
     return out
 
 
-def _order(block: int, ord_, sub):
-    return (F.lit(block).cast("long") * (1 << 60) + ord_ * 4096 + sub).alias("ord")
-
-
 def _edges(df: DataFrame, source: str, items, publication: str, lineage: str, block: int) -> DataFrame:
     rows = df.select(F.col(source).alias("source"), "ord", F.posexplode(items).alias("sub", "e"))
-    return rows.select("source", "e.relationship", "e.target", F.lit(publication).alias("publication"), F.lit(lineage).alias("lineage"), _order(block, F.col("ord"), F.col("sub")))
+    return rows.select("source", "e.relationship", "e.target", F.lit(publication).alias("publication"), F.lit(lineage).alias("lineage"), placed(rows, F.col("sub"), above=(block,)).alias("ord"))
 
 
 def reachable(edges: DataFrame, start: DataFrame, most_steps: int = 32) -> DataFrame:

@@ -68,6 +68,14 @@ def full_outer_compare(left: DataFrame, right: DataFrame, key: str, value: str,
     return both.select(F.coalesce("__k", "__r").alias(key), kind.alias("difference")).where("difference is not null")
 
 
+def placed(df: DataFrame, *below: Column, above: tuple = (), order: str = "ord") -> Column:
+    """A place in document order: the parts ``above``, the row's own order (a number or a place), the parts ``below``. Places are arrays of
+    numbers, which compare from left to right."""
+    own = F.col(order) if df.schema[order].dataType.simpleString().startswith("array") else F.array(F.col(order).cast("long"))
+    numbers = lambda parts: F.array(*[F.lit(p).cast("long") if isinstance(p, int) else p.cast("long") for p in parts])
+    return F.concat(numbers(above), own, numbers(below)) if above else F.concat(own, numbers(below))
+
+
 def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys of more than one row, with the number of rows."""
     return df.groupBy(*keys).agg(F.count("*").alias("rows")).where("rows > 1")

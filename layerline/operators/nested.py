@@ -3,8 +3,9 @@
 Spark has no recursive type, so a record is parsed once into VARIANT and its levels are unrolled:
 level n+1 is ``flatten(transform(level n, node -> children(node)))``, where the inner transforms
 attach the parent's path, the member name and the position. One ``inline`` per target table emits
-the rows. How many levels a batch needs comes from a cheap scan of the bracket nesting; beyond
-``LEVELS_PER_PASS`` the open nodes are written as rows and unrolled again, so no depth is lost.
+the rows. How many levels a batch needs comes from a cheap scan of the bracket nesting of the texts that
+parse; beyond ``LEVELS_PER_PASS`` the nodes that are still open are written as rows and unrolled again, until
+none is open, so no depth is lost and depth in other members costs nothing.
 
 Defined results: text that is no JSON, or whose root is no object, yields nothing; null and empty
 texts likewise; an object in place of a list is position 0; null elements (and anything else that is
@@ -64,7 +65,10 @@ def _children(node: Column, followed: dict[str, dict[str, str]]) -> Column:
 
 
 def nesting_depth(texts: DataFrame, column: str) -> int:
-    """The deepest nesting of objects in any text, from brackets outside of strings: at least the depth of any node."""
+    """The deepest nesting of objects in any text, from brackets outside of strings: at least the depth of any node.
+
+    Texts deeper than one pass count only if they parse; shallower ones are not parsed for this.
+    """
     bare = F.regexp_replace(F.regexp_replace(F.col(column), r'"(?:[^"\\]|\\.)*+"', ""), r"[^{}]", "")
     deepest = F.aggregate(
         F.split(bare, ""),
@@ -75,7 +79,8 @@ def nesting_depth(texts: DataFrame, column: str) -> int:
         ),
         lambda a: a["most"],
     )
-    return texts.agg(F.max(deepest)).first()[0] or 0
+    deep = texts.select(F.col(column).alias("t"), deepest.alias("n")).where((F.col("n") <= LEVELS_PER_PASS) | F.try_parse_json("t").isNotNull())
+    return deep.agg(F.max("n")).first()[0] or 0
 
 
 def latest_documents(raw: DataFrame, key: str, text: str, received: str) -> DataFrame:
@@ -116,6 +121,8 @@ def explode_tree(docs: DataFrame, key: str, depth: int, followed: dict[str, dict
         done.append(emitted(names[:-1]))
         # Only nodes that are still open are written, not the documents.
         level = checkpointed(level.select(key, F.explode(names[-1]).alias("node")).select(key, F.array("node").alias("level0")))
+        if level.isEmpty():
+            break
         depth -= count
     out = done[0]
     for more in done[1:]:

@@ -16,7 +16,7 @@ from ..functions.diffing import field_diff, related_detail, set_equal, value_dif
 from ..functions.ids import parse_canonical
 from ..functions.text import content_hash
 from ..schemas import CATALOGUE, DELTA, FIELD_DIFF, RECONCILIATION
-from .keyed import doubled_mapping, last_wins
+from .keyed import doubled_mapping, last_wins, placed
 
 _NO_STRINGS = "array<string>"
 #: What of the overlay a record that is specific to it holds alone.
@@ -40,7 +40,7 @@ def flatten_overlay(overlay: DataFrame) -> DataFrame:
         F.array().cast(overlay.schema["references"].dataType).alias("references"), F.col("e.odps").alias("odps"), F.array().cast(_NO_STRINGS).alias("enhancement_ids"), "ord", "sub",
     )
     rows = base.unionByName(enh)
-    return rows.withColumn("ord", F.col("ord") * 1_000_000 + F.col("sub") + 1).drop("sub")
+    return rows.withColumn("ord", placed(rows, F.col("sub") + 1)).drop("sub")
 
 
 def match(rows: DataFrame, baseline: DataFrame, key: str = "id") -> DataFrame:

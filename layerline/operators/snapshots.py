@@ -5,11 +5,12 @@ The newer of two consecutive deliveries of a build meets the older one in a full
 primary key; a missing side is an addition or a removal, unequal row hashes are a change, and the
 column hashes then name the columns. Texts never reach a shuffle, only their hashes do.
 
-Column hashes are 128 bits (two 64-bit hashes over different inputs), so equal hashes are equal values
+Row and column hashes are 128 bits (two 64-bit hashes over different inputs), so equal hashes are equal values
 for any table that fits on earth with a chance of error under 1e-15.
 
-Skew: rows are keyed by (date, build, id) everywhere; the successor of each delivery comes from the
-distinct (build, date) pairs, which the join with the rows may find hot, in which case AQE splits it.
+Skew: rows are shuffled by (date, build, id) only. The successor of each delivery comes from the distinct (build,
+date) pairs: they are counted, and up to ``MOST_BROADCAST`` of them are broadcast; more are joined by (build, date, salt), each
+pair once for every salt and the rows salted by their id, so that a build of a third of all rows is spread.
 
 Defined results: the first delivery of a build yields nothing; a delivery that skips a date is compared
 with the last one before it; of rows delivered at the same time the greatest counts; nulls in the key
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 from ..functions.text import compare_normalize
 from ..session import read_table
 
+MOST_BROADCAST = 200_000
+SALTS = 64
 TEXTS = ("name", "statement_text", "discussion", "gc_discussion")
 COMPARED = (*TEXTS, "related", "reconciliation_status", "is_withdrawn", "profile_medium")
 
@@ -33,6 +36,11 @@ def hash128(c: Column) -> Column:
     return F.struct(F.xxhash64(c).alias("a"), F.xxhash64(F.lit("2nd"), F.coalesce(c.cast("string"), F.lit("\u0000")), c.isNull()).alias("b"))
 
 
+def row_hash(h: Column) -> Column:
+    """128 bits of a struct of column hashes."""
+    return F.struct(F.xxhash64(h).alias("a"), F.xxhash64(F.lit("2nd"), h).alias("b"))
+
+
 def canonical_columns() -> dict[str, Column]:
     out = {c: compare_normalize(F.coalesce(F.col(c), F.lit(""))) for c in TEXTS}
     members = F.array_sort(F.array_distinct(F.coalesce("related", F.array().cast("array<string>"))))
@@ -58,12 +66,21 @@ def deliveries(snapshots: DataFrame) -> DataFrame:
     )
 
 
-def snapshot_changes(snapshots: DataFrame) -> DataFrame:
+def placed_rows(rows: DataFrame, steps: DataFrame, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
+    """The rows with is_first and next_date of their delivery."""
+    same = F.col("build_id").eqNullSafe(F.col("__build")) & (F.col("snapshot_date") == F.col("__date"))
+    if steps.limit(most_broadcast + 1).count() <= most_broadcast:
+        return rows.join(F.broadcast(steps), same)
+    salt = F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")
+    salted = steps.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt"))
+    return rows.join(salted, same & (salt == F.col("__salt")))
+
+
+def snapshot_changes(snapshots: DataFrame, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
     """snapshot_date, build_id, id, change: one row per added or removed record or changed column."""
     rows = hashed_rows(snapshots.where("snapshot_date is not null"))
-    steps = deliveries(snapshots)
-    placed = rows.join(steps, F.col("build_id").eqNullSafe(F.col("__build")) & (F.col("snapshot_date") == F.col("__date")))
-    key_and_hashes = ["build_id", "id", "h", F.xxhash64("h").alias("row_hash")]
+    placed = placed_rows(rows, deliveries(snapshots), most_broadcast)
+    key_and_hashes = ["build_id", "id", "h", row_hash(F.col("h")).alias("row_hash")]
     newer = placed.where("not is_first").select("snapshot_date", *key_and_hashes)
     older = placed.where("next_date is not null").select(F.col("next_date").alias("snapshot_date"), *key_and_hashes)
     n, o = newer.alias("n"), older.alias("o")

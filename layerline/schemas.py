@@ -14,6 +14,8 @@ VIEWS = ("requirement_only", "requirement_plus_discussion", "full", "canada_delt
 MAX_OSCAL_VERSION = (1, 2, 2)
 NAV_MARKERS = ("Top of page", "Table of Contents", "Skip to main content")
 
+#: A place in document order: its parts compare from left to right, so no part can run into another's place.
+ORDER = "array<bigint>"
 NIST_SOURCE = "struct<publication:string,metadata_version:string,oscal_version:string,git_commit:string,source_sha256:string>"
 CANADA_SOURCE = "struct<publication:string,url:string,section:string,retrieved_at:string,source_sha256:string>"
 ODP = "struct<odp_id:string,nist_param_id:string,operation:string,cardinality:string,raw:string,prompt:string,options:array<string>,statement_path:string,character_start:int,character_end:int>"
@@ -26,7 +28,7 @@ ENHANCEMENT = f"struct<id:string,parent_id:string,enhancement_number:string,name
 OVERLAY = (
     "id string, family_id string, family_name string, number string, name string, requirement_kind string, is_canadian_specific boolean, is_withdrawn boolean, "
     f"withdrawal_note string, statements array<{STATEMENT}>, statement_text string, discussion string, gc_discussion string, related array<string>, "
-    f"references array<{REFERENCE}>, odps array<{ODP}>, enhancements array<{ENHANCEMENT}>, source {CANADA_SOURCE}, ord bigint"
+    f"references array<{REFERENCE}>, odps array<{ODP}>, enhancements array<{ENHANCEMENT}>, source {CANADA_SOURCE}, ord {ORDER}"
 )
 BASELINE = (
     "upstream_id string, canonical_candidate_id string, family_id string, title string, parent_upstream_id string, child_control_ids array<string>, "
@@ -36,14 +38,14 @@ CATALOGUE = (
     "schema_version string, id string, family_id string, family_name string, number string, name string, record_kind string, requirement_kind string, parent_id string, "
     "enhancement_number string, origin string, nist_oscal_id string, reconciliation_status string, is_canadian_specific boolean, is_withdrawn boolean, withdrawal_note string, "
     f"statements array<{STATEMENT}>, statement_text string, discussion string, gc_discussion string, odps array<{ODP}>, related array<string>, references array<{REFERENCE}>, "
-    f"enhancement_ids array<string>, canadian_delta {DELTA}, profile_memberships map<string,boolean>, sources struct<nist:{NIST_SOURCE},canada:{CANADA_SOURCE}>, content_hash string, ord bigint"
+    f"enhancement_ids array<string>, canadian_delta {DELTA}, profile_memberships map<string,boolean>, sources struct<nist:{NIST_SOURCE},canada:{CANADA_SOURCE}>, content_hash string, ord {ORDER}"
 )
-RECONCILIATION = f"canadian_id string, nist_oscal_id string, status string, field_diffs array<{FIELD_DIFF}>, canada_only_fields array<string>, nist_only_fields array<string>, review_required boolean, ord bigint"
+RECONCILIATION = f"canadian_id string, nist_oscal_id string, status string, field_diffs array<{FIELD_DIFF}>, canada_only_fields array<string>, nist_only_fields array<string>, review_required boolean, ord {ORDER}"
 PROFILE = (
     "profile_id string, profile_publication string, control_id string, family_id string, name string, description_raw string, requirement_kind string, selected boolean, selected_raw string, "
-    "suggested_placeholder_values_raw string, profile_specific_notes string, source struct<type:string,table:string,row:int,retrieved_at:string,source_sha256:string>, ord bigint"
+    f"suggested_placeholder_values_raw string, profile_specific_notes string, source struct<type:string,table:string,row:int,retrieved_at:string,source_sha256:string>, ord {ORDER}"
 )
-EDGE = "source string, relationship string, target string, publication string, lineage string, ord bigint"
+EDGE = f"source string, relationship string, target string, publication string, lineage string, ord {ORDER}"
 EMBEDDING = (
     "embedding_id string, schema_version string, view string, text string, id string, family_id string, family_name string, name string, record_kind string, requirement_kind string, parent_id string, "
     "origin string, reconciliation_status string, is_canadian_specific boolean, is_withdrawn boolean, profile_medium boolean, has_odp boolean, has_gc_discussion boolean, publication string, content_hash string"

@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 
 from ..errors import BaselineImportError, IdMappingError, OscalVersionError
 from ..functions.ids import any_from_oscal, base_from_oscal, child_from_oscal, fallback_id
+from ..operators.keyed import placed
 from ..operators.nested import explode_tree, nesting_depth
 from ..schemas import BASELINE, MAX_OSCAL_VERSION, PART_NAMES
 from ..session import checkpointed
@@ -111,7 +112,7 @@ def baseline_records(docs: DataFrame, git_commit: str = "", publication: str = "
     unmapped = parts.groupBy("doc_id", "control_path").agg(F.count_if(~F.coalesce(F.col("name"), F.lit("")).isin(*PART_NAMES)).cast("int").alias("unmapped_parts"))
     odps = of_control("param").groupBy("doc_id", "control_path").agg(F.count_if(F.contains("mid", F.lit("_odp."))).cast("int").alias("odp_count"))
     links = of_control("link").where((_get("rel") == "related") & F.startswith(_get("href"), F.lit("#")))
-    related = links.withColumn("target", any_from_oscal(F.substring(_get("href"), 2, 1000))).where("target is not null")
+    related = links.withColumn("target", any_from_oscal(F.substr(_get("href"), F.lit(2)))).where("target is not null")
     related = related.groupBy("doc_id", "control_path").agg(F.array_sort(F.collect_set("target")).alias("related"))
     children = rows.where("parent_upstream_id is not null").groupBy("doc_id", F.col("parent_path").alias("control_path")).agg(
         F.transform(F.array_sort(F.collect_list(F.struct(depth_first.alias("k"), "mid"))), lambda x: x["mid"]).alias("child_control_ids")
@@ -151,8 +152,8 @@ def hierarchy_edges(baseline: DataFrame) -> DataFrame:
     parent = baseline.select(F.col("upstream_id").alias("parent_upstream_id"), F.col("canonical_candidate_id").alias("parent"))
     pairs = baseline.join(parent, "parent_upstream_id").select("parent", F.col("canonical_candidate_id").alias("child"), "ord")
     both = F.array(
-        F.struct(F.col("parent").alias("source"), F.lit("has_enhancement").alias("relationship"), F.col("child").alias("target"), (F.col("ord") * 2).alias("ord")),
-        F.struct(F.col("child").alias("source"), F.lit("enhancement_of").alias("relationship"), F.col("parent").alias("target"), (F.col("ord") * 2 + 1).alias("ord")),
+        F.struct(F.col("parent").alias("source"), F.lit("has_enhancement").alias("relationship"), F.col("child").alias("target"), placed(pairs, F.lit(0)).alias("ord")),
+        F.struct(F.col("child").alias("source"), F.lit("enhancement_of").alias("relationship"), F.col("parent").alias("target"), placed(pairs, F.lit(1)).alias("ord")),
     )
     return pairs.select(F.inline(both))
 

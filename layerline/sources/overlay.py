@@ -200,7 +200,7 @@ def overlay_records(pages: DataFrame, publication: str = "ITSP.10.033", detect_w
             "discussion", "gc_discussion", related_ids(F.col("related_text")).alias("related"), _list_or_empty("references", REFERENCE), _list_or_empty("odps", ODP),
             _list_or_empty("enhancements", ENHANCEMENT),
             F.struct(F.lit(publication).alias("publication"), "url", F.concat("family_name", F.lit(" > "), "rec_id", F.lit(" "), name).alias("section"), "retrieved_at", "source_sha256").alias("source"),
-            (F.col("page") * 100_000 + F.col("rec")).alias("ord"),
+            F.array("page", "rec").alias("ord"),
         )
     )
     return out.select(*[F.col(f.name).cast(f.dataType) for f in StructType.fromDDL(OVERLAY)])
@@ -236,7 +236,7 @@ def table_rows(pages: DataFrame, caption_prefix: str = "tab4.", source_type: str
     filled = rows.join(cells, ["page", "tr"]).groupBy("page", "table_id", "row").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]).alias("cells"))
     number = F.coalesce(F.element_at(F.split("table_id", r"\."), -1).try_cast("long"), F.lit(0))
     source = F.struct(F.lit(source_type).alias("type"), F.col("table_id").alias("table"), "row", "retrieved_at", "source_sha256")
-    return filled.join(pages.select("page", "retrieved_at", "source_sha256"), "page").select("cells", "table_id", source.alias("source"), (number * 1_000_000 + F.col("row")).alias("ord"))
+    return filled.join(pages.select("page", "retrieved_at", "source_sha256"), "page").select("cells", "table_id", source.alias("source"), F.array(number, F.col("row").cast("long")).alias("ord"))
 
 
 def table_of_contents(pages: DataFrame, marker: str, drop_texts: tuple[str, ...] = (), drop_slugs: tuple[str, ...] = ()) -> DataFrame:

@@ -113,7 +113,7 @@ def profile_sheet(spark: SparkSession, path: str, profile_id: str, publication:
     source = F.struct(F.lit("xlsx").alias("type"), F.col("sheet").alias("table"), "row", F.lit(None).cast("string").alias("retrieved_at"), F.lit(None).cast("string").alias("source_sha256"))
     names = {n: i for i, (n, _) in enumerate(sheet_files(path))}
     place = F.create_map(*[F.lit(x) for kv in names.items() for x in kv])
-    cells = body.select(padded.alias("cells"), source.alias("source"), (place[F.col("sheet")].cast("long") * 1_048_577 + F.col("row")).alias("ord"))
+    cells = body.select(padded.alias("cells"), source.alias("source"), F.array(place[F.col("sheet")].cast("long"), F.col("row").cast("long")).alias("ord"))
     out = profile_rows(cells, profile_id, publication)
     if not out.head(1):
         raise SpreadsheetImportError(f"{path} holds no profile rows")

@@ -116,6 +116,16 @@ def test_nested_dirty(spark):
     assert nodes(spark, []) == []
 
 
+def test_depth_of_what_is_not_followed_costs_nothing(spark, monkeypatch):
+    """Broken texts and other members may be as deep as they like: nothing is open, so nothing is written."""
+    calls = []
+    monkeypatch.setattr(nested, "checkpointed", lambda df: calls.append(1) or df)
+    good = json.dumps({"parts": [{"name": "a"}]})
+    assert nodes(spark, [(1, "{" * 3000, T(1)), (2, good, T(1))]) == [(2, "control", "$", ""), (2, "part", "$/parts/0", "$")] and not calls
+    deep = '{"remarks": ' * 300 + "1" + "}" * 300
+    assert nodes(spark, [(1, deep, T(1))]) == [(1, "control", "$", "")] and len(calls) == 1
+
+
 REC = (
     "build_id string, canadian_id string, nist_oscal_id string, status string, field_diffs array<struct<field:string,kind:string,nist_hash:string,canada_hash:string,normalization_equal:boolean,detail:string>>, "
     "canada_only_fields array<string>, nist_only_fields array<string>, review_required boolean, written_at timestamp_ntz, row string, field string"
@@ -146,6 +156,8 @@ def test_copies(spark):
         ("b", "2", "missing_in_mirror"), ("b", "3", "missing_in_primary"), ("b", "4", "title.kind"), ("b", "4", "title.nist_hash"), ("b", "5", "review_required"), ("b", "", "status"),
         ("b", "7", "title.normalization_equal"), ("b", "9", "related.entry"), ("", "10", "nist_only_fields"),
     ])
+    long = "k" * 1_000_010
+    assert found(spark, [rec(long + "a")], [rec(long + "b")]) == [("b", long + "a", "missing_in_mirror"), ("b", long + "b", "missing_in_primary")]
     assert found(spark, left, left) == [] and found(spark, [], []) == []
     assert found(spark, left, []) and {f for _, _, f in found(spark, left, [])} == {"missing_in_mirror"}
 
@@ -161,8 +173,15 @@ def snap(month, key, at=1, build="b", **kw):
     return (date(2026, month, 1), build, key, "p", *base.values(), T(month, at, 2026), "h", "c", date(2020, 1, 1))
 
 
-def changed(spark, data):
-    return sorted((r[0], r[1] or "", r[2] or "", r[3]) for r in snapshots.snapshot_changes(spark.createDataFrame(data, SNAP)).collect())
+def changed(spark, data, most=snapshots.MOST_BROADCAST):
+    return sorted((r[0], r[1] or "", r[2] or "", r[3]) for r in snapshots.snapshot_changes(spark.createDataFrame(data, SNAP), most).collect())
+
+
+def test_many_deliveries_are_salted(spark):
+    """Beyond the bound nothing is broadcast by hint, and the result is the same."""
+    data = [snap(m, f"k{i}", build=b, name=f"n{i % m}") for m in (1, 2, 4) for b in ("b", None, "c") for i in range(40) if (i + m) % 5]
+    want = changed(spark, data)
+    assert want and changed(spark, data, most=0) == want
 
 
 def test_snapshots(spark):

@@ -45,7 +45,9 @@ def flatten_overlay(overlay: DataFrame) -> DataFrame:
 
 def match(rows: DataFrame, baseline: DataFrame, key: str = "id") -> DataFrame:
     """``rows`` with a struct ``n`` of the baseline's row of the same canonical id, or null."""
-    unique = last_wins(baseline.where("canonical_candidate_id is not null"), ["canonical_candidate_id"], "ord")
+    # What the comparison does not read, the whole upstream object, stays out of the join.
+    known = baseline.drop("props", "params", "parts", "links", "unmapped")
+    unique = last_wins(known.where("canonical_candidate_id is not null"), ["canonical_candidate_id"], "ord")
     side = unique.select(F.col("canonical_candidate_id").alias("__cid"), F.struct(*unique.columns).alias("n"))
     probe = F.when(~F.coalesce("is_canadian_specific", F.lit(False)), F.col(key))
     return rows.join(side, probe == F.col("__cid"), "left").drop("__cid")

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import SCHEMA_VERSION
 from ..errors import EngineError
 from ..functions.ids import synthetic_oscal
-from ..schemas import VIEWS
+from ..schemas import DERIVED_VERSION, NAMESPACE, VIEWS
 from .keyed import last_wins
 
 PUBLICATION = "ITSP.10.033"
+REMARKS = "Unofficial: derived by software from published sources; the publications themselves are authoritative."
 
 
 def yes_no(c: Column) -> Column:
@@ -77,18 +81,19 @@ def view_text(view: str, profile: str = "medium") -> Column:
 
 
 def embeddings(catalogue: DataFrame, view: str, profile: DataFrame | None = None, profile_id: str = "medium", publication: str = PUBLICATION) -> DataFrame:
-    """The 20 flat columns of one view; profile notes join on the id, the last row of an id counts."""
+    """The 20 flat columns of one view (``schemas.EMBEDDING``); profile notes join on the id, the last row of an id counts."""
     if profile is None:
         rows = catalogue.withColumns({"__placeholder": F.lit(None).cast("string"), "__notes": F.lit(None).cast("string")})
     else:
         notes = last_wins(profile.select("control_id", "suggested_placeholder_values_raw", "profile_specific_notes", "ord"), ["control_id"], "ord")
         notes = notes.select(F.col("control_id").alias("__cid"), F.col("suggested_placeholder_values_raw").alias("__placeholder"), F.col("profile_specific_notes").alias("__notes"))
         rows = catalogue.join(notes, F.col("id") == F.col("__cid"), "left")
-    same = ("id", "family_id", "family_name", "name", "record_kind", "requirement_kind", "parent_id", "origin", "reconciliation_status", "is_canadian_specific", "is_withdrawn")
+    member = F.coalesce(F.try_element_at("profile_memberships", F.lit(profile_id)), F.lit(False))
     return rows.select(
-        F.concat(F.lit(f"{publication}:"), "id").alias("embedding_id"), F.lit(SCHEMA_VERSION).alias("schema_version"), F.lit(view).alias("view"), view_text(view, profile_id).alias("text"), *same,
-        F.coalesce(F.try_element_at("profile_memberships", F.lit(profile_id)), F.lit(False)).alias(f"profile_{profile_id}"), (F.coalesce(F.size("odps"), F.lit(0)) > 0).alias("has_odp"),
-        _filled(F.col("gc_discussion")).alias("has_gc_discussion"), F.lit(publication).alias("publication"), "content_hash",
+        F.concat(F.lit(f"{publication}:"), "id").alias("embedding_id"), F.col("id").alias("record_id"), "record_kind", "family_id", "family_name", "name", "requirement_kind", "origin",
+        "reconciliation_status", member.alias(f"profile_{profile_id}"), "is_canadian_specific", "is_withdrawn", (F.coalesce(F.size("odps"), F.lit(0)) > 0).alias("has_odp"),
+        _filled(F.col("gc_discussion")).alias("has_gc_discussion"), F.lit(view).alias("view"), view_text(view, profile_id).alias("text"), F.lit(publication).alias("source_publication"),
+        F.col("sources.canada.url").alias("source_url"), F.col("sources.canada.source_sha256").alias("canadian_source_hash"), F.col("sources.nist.source_sha256").alias("nist_source_hash"),
     )
 
 
@@ -104,8 +109,8 @@ def _part(name: str, prose: Column, ns: str | None = None) -> Column:
     return F.struct(F.lit(name).alias("name"), F.lit(ns).cast("string").alias("ns"), prose.alias("prose"))
 
 
-def oscal_controls(catalogue: DataFrame, ns: str | None = None, control_class: str = PUBLICATION) -> DataFrame:
-    """family_id, family_name, id, parent_id, ord, control: one JSON-ready struct per record."""
+def oscal_controls(catalogue: DataFrame, ns: str = NAMESPACE, control_class: str = PUBLICATION) -> DataFrame:
+    """family_id, family_name, id, parent_id, record_kind, ord, control: one JSON-ready struct per record."""
     values = (
         ("canadian-id", "id"), ("requirement-kind", "requirement_kind"), ("origin", "origin"), ("reconciliation-status", "reconciliation_status"),
         ("is-canadian-specific", "is_canadian_specific"), ("is-withdrawn", "is_withdrawn"),
@@ -123,42 +128,67 @@ def oscal_controls(catalogue: DataFrame, ns: str | None = None, control_class: s
     return catalogue.select("family_id", "family_name", "id", "parent_id", "record_kind", "ord", control.alias("control"))
 
 
-def oscal_groups(catalogue: DataFrame) -> DataFrame:
-    """One row per family: id, title, controls with their enhancements nested, in order."""
-    rows = oscal_controls(catalogue)
+def oscal_bases(catalogue: DataFrame, ns: str = NAMESPACE) -> DataFrame:
+    """family_id, family_name, ord, control: one row per base record, its enhancements nested in order. What is gathered is the
+    enhancements of one record, which its numbering bounds; families and documents are never one value."""
+    rows = oscal_controls(catalogue, ns)
     nested = (
         rows.where("record_kind = 'enhancement'")
         .groupBy(F.col("parent_id").alias("__parent"))
         .agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "control"))), lambda x: x["control"]).alias("__controls"))
     )
     bases = rows.where("record_kind = 'base'").join(nested, F.col("id") == F.col("__parent"), "left")
-    whole = bases.withColumn("control", F.col("control").withField("controls", F.col("__controls")))
-    return (
-        whole.groupBy("family_id")
-        .agg(F.max_by("family_name", "ord").alias("title"), F.transform(F.array_sort(F.collect_list(F.struct("ord", "control"))), lambda x: x["control"]).alias("controls"))
-        .select(F.lower("family_id").alias("id"), F.lit("family").alias("class"), "title", "controls", "family_id")
-        .orderBy("family_id")
-        .drop("family_id")
+    return bases.select("family_id", "family_name", "ord", F.col("control").withField("controls", F.col("__controls")).alias("control"))
+
+
+def oscal_groups(catalogue: DataFrame) -> DataFrame:
+    """One row per family: id, title (the last record's), its numbers of controls and of enhancements nested in them."""
+    per = oscal_bases(catalogue).groupBy("family_id").agg(
+        F.max_by("family_name", "ord").alias("title"), F.count("*").alias("controls"), F.sum(F.coalesce(F.size("control.controls"), F.lit(0))).cast("long").alias("enhancements")
     )
+    return per.select(F.lower("family_id").alias("id"), "title", "controls", "enhancements")
+
 
+def _metadata(title: str, run_at: str, version: str, remarks: str) -> dict:
+    return {"title": title, "last-modified": run_at, "version": version, "oscal-version": DERIVED_VERSION, "remarks": remarks}
 
-def oscal_catalog(catalogue: DataFrame, uuid: str, title: str, run_at: str, version: str = SCHEMA_VERSION) -> DataFrame:
-    """One row ``json``: the derived catalogue as one document. One document is one value by its nature; families
-    are gathered, which is what the format asks for."""
-    groups = oscal_groups(catalogue)
-    whole = groups.agg(F.array_sort(F.collect_list(F.struct("id", "class", "title", "controls"))).alias("groups"))
-    meta = F.struct(F.lit(title).alias("title"), F.lit(run_at).alias("last-modified"), F.lit(version).alias("version"), F.lit("1.2.2").alias("oscal-version"))
-    return whole.select(F.to_json(F.struct(F.struct(F.lit(uuid).alias("uuid"), meta.alias("metadata"), "groups").alias("catalog")), {"pretty": "true"}).alias("json"))
 
+def oscal_catalog(catalogue: DataFrame, uuid: str, title: str, run_at: str, version: str = SCHEMA_VERSION, ns: str = NAMESPACE, remarks: str = REMARKS) -> Iterator[str]:
+    """The derived catalogue as the pieces of one document: records are streamed in order, family by family."""
+    titles = {r["id"]: r["title"] for r in oscal_groups(catalogue).select("id", "title").toLocalIterator()}
+    rows = oscal_bases(catalogue, ns).orderBy("family_id", "ord").select(F.lower("family_id").alias("g"), F.to_json("control").alias("json"))
 
-def oscal_profile(catalogue: DataFrame, uuid: str, title: str, href: str, run_at: str, profile: str = "medium", version: str = SCHEMA_VERSION) -> DataFrame:
-    """One row ``json``: the selected records' ids as one profile document."""
+    def body() -> Iterator[str]:
+        here = None
+        for r in rows.toLocalIterator():
+            if r["g"] != here:
+                group = json.dumps({"id": r["g"], "class": "family", "title": titles.get(r["g"])}, ensure_ascii=False)
+                yield ("]},\n" if here is not None else "\n") + group[:-1] + ', "controls": [\n' + r["json"]
+                here = r["g"]
+            else:
+                yield ",\n" + r["json"]
+        yield "]}" if here is not None else ""
+
+    yield '{"catalog": ' + json.dumps({"uuid": uuid, "metadata": _metadata(title, run_at, version, remarks)}, indent=2, ensure_ascii=False)[:-2].rstrip() + ',\n  "groups": ['
+    yield from body()
+    yield "]}}"
+
+
+def profile_controls(catalogue: DataFrame, profile: str = "medium", ns: str = NAMESPACE) -> DataFrame:
+    """ord, control: the selected records as a profile includes them, by id, with what the format has no place for as properties."""
     chosen = catalogue.where(F.coalesce(F.try_element_at("profile_memberships", F.lit(profile)), F.lit(False)))
-    ids = F.transform(F.array_sort(F.collect_list(F.struct("ord", oscal_id().alias("i")))), lambda x: x["i"])
-    meta = F.struct(F.lit(title).alias("title"), F.lit(run_at).alias("last-modified"), F.lit(version).alias("version"), F.lit("1.2.2").alias("oscal-version"))
-    imports = F.array(F.struct(F.lit(href).alias("href"), F.array(F.struct(F.col("ids").alias("with-ids"))).alias("include-controls")))
-    doc = F.struct(F.struct(F.lit(uuid).alias("uuid"), meta.alias("metadata"), imports.alias("imports")).alias("profile"))
-    return chosen.agg(ids.alias("ids")).select(F.to_json(doc, {"pretty": "true"}).alias("json"))
+    props = F.array(_prop("canadian-id", F.col("id"), ns), _prop("requirement-kind", F.col("requirement_kind"), ns))
+    return chosen.select("ord", F.struct(oscal_id().alias("with-id"), props.alias("props")).alias("control"))
+
+
+def oscal_profile(catalogue: DataFrame, uuid: str, title: str, href: str, run_at: str, profile: str = "medium", version: str = SCHEMA_VERSION, ns: str = NAMESPACE, remarks: str = REMARKS) -> Iterator[str]:
+    """The selected records as the pieces of one profile document."""
+    head = {"uuid": uuid, "metadata": _metadata(title, run_at, version, remarks), "imports": [{"href": href}], "merge": {"as-is": True}, "modify": {"set-parameters": []}}
+    rows = profile_controls(catalogue, profile, ns).orderBy("ord").select(F.to_json("control").alias("json"))
+    yield '{"profile": ' + json.dumps(head, indent=2, ensure_ascii=False)[:-2].rstrip() + ',\n  "controls": {"include-controls": ['
+    for n, r in enumerate(rows.toLocalIterator()):
+        yield (",\n" if n else "\n") + r["json"]
+    yield "]}}}"
 
 
 # The columns of the controls extract, in order.
@@ -169,8 +199,8 @@ CONTROL_COLUMNS = (
 
 
 def flat_controls(catalogue: DataFrame) -> DataFrame:
-    """The extract as strings: lists and maps as JSON, booleans capitalised, null empty."""
-    rows = catalogue.withColumn("canadian_delta_fields", F.col("canadian_delta.fields"))
+    """The extract of the base records as strings: lists and maps as JSON, booleans capitalised, null empty."""
+    rows = catalogue.where("record_kind = 'base'").withColumn("canadian_delta_fields", F.col("canadian_delta.fields"))
     kinds = dict(rows.dtypes)
 
     def cell(c: str) -> Column:
@@ -181,8 +211,13 @@ def flat_controls(catalogue: DataFrame) -> DataFrame:
     return rows.select(*[F.coalesce(cell(c), F.lit("")).alias(c) for c in CONTROL_COLUMNS])
 
 
-def families(catalogue: DataFrame) -> DataFrame:
-    return catalogue.select("family_id", "family_name").distinct().orderBy("family_id", "family_name")
+def families(catalogue: DataFrame, baseline: DataFrame | None = None, publication: str = PUBLICATION) -> DataFrame:
+    """id, name, publication, nist_group_id: one row per family and name, with the baseline's group of the family if there is one."""
+    rows = catalogue.select(F.col("family_id").alias("id"), F.col("family_name").alias("name"), F.lit(publication).alias("publication")).distinct()
+    if baseline is None:
+        return rows.withColumn("nist_group_id", F.lit(None).cast("string"))
+    groups = baseline.where("family_id is not null").select(F.col("family_id").alias("id")).distinct().withColumn("nist_group_id", F.lower("id"))
+    return rows.join(groups, "id", "left")
 
 
 def lookup(catalogue: DataFrame, record_id: str) -> dict | None:

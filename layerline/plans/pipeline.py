@@ -78,12 +78,12 @@ def import_baseline(spark: SparkSession, c: Config, allow_newer: bool = False) -
     oscal.check_documents(docs, allow_newer)
     commit = raw.read_fetch_meta(raw.latest_snapshot(c.root, c.baseline_source)).get("resolved_commit") or ""
     rows = oscal.baseline_records(docs, commit, c.publication(c.baseline_source), c.strict)
-    jsonl.write_jsonl(rows, c.at("normalized/nist/records.jsonl"), single=True)
+    jsonl.write_jsonl(rows, c.at("normalized/nist/records.jsonl"))
     rows = layer(spark, c, "baseline")
     if c.strict:
         validate.require(validate.severity(validate.validate_baseline(rows, c.family_ids), True))
-    jsonl.write_jsonl(oscal.hierarchy_edges(rows), c.at("normalized/nist/relationships.jsonl"), single=True)
-    jsonl.write_jsonl(oscal.family_rows(docs), c.at("normalized/nist/families.jsonl"), order="group_id", single=True)
+    jsonl.write_jsonl(oscal.hierarchy_edges(rows), c.at("normalized/nist/relationships.jsonl"))
+    jsonl.write_jsonl(oscal.family_rows(docs), c.at("normalized/nist/families.jsonl"), order="oscal_group_id")
     meta = oscal.import_metadata(docs, rows)
     jsonl.write_text(c.at("normalized/nist/metadata.json"), json.dumps(meta, indent=2, ensure_ascii=False) + "\n")
     return meta
@@ -103,7 +103,7 @@ def parse_overlay(spark: SparkSession, c: Config, family: str | None = None) ->
         doubled = rows.groupBy("id").count().where("count > 1").head(1)
         if doubled:
             raise OverlayParseError(f"{doubled[0]['id']} occurs more than once")
-    jsonl.write_jsonl(rows, c.at("normalized/canada/records.jsonl"), single=True)
+    jsonl.write_jsonl(rows, c.at("normalized/canada/records.jsonl"))
     return layer(spark, c, "overlay")
 
 
@@ -111,8 +111,8 @@ def run_reconciliation(spark: SparkSession, c: Config, family: str | None = None
     classified = reconcile.reconcile(layer(spark, c, "overlay"), layer(spark, c, "baseline"), family)
     if c.strict:
         reconcile.check_strict(classified)
-    jsonl.write_jsonl(reconcile.catalogue_of(classified), c.at("normalized/reconciliation/catalogue.jsonl"), single=True)
-    jsonl.write_jsonl(reconcile.reconciliation_of(classified), c.at("output/reconciliation/records.jsonl"), single=True)
+    jsonl.write_jsonl(reconcile.catalogue_of(classified), c.at("normalized/reconciliation/catalogue.jsonl"))
+    jsonl.write_jsonl(reconcile.reconciliation_of(classified), c.at("output/reconciliation/records.jsonl"))
     shutil.rmtree(c.at("normalized/catalogue"), ignore_errors=True)  # memberships of an earlier reconciliation
     report = reconcile.report(layer(spark, c, "reconciled"), layer(spark, c, "reconciliation"))
     jsonl.write_text(c.at("output/reconciliation/report.json"), json.dumps(report, indent=2, ensure_ascii=False) + "\n")
@@ -132,13 +132,13 @@ def parse_profile(spark: SparkSession, c: Config) -> list[str]:
     if not rows.head(1):
         raise ProfileJoinError("the page has no profile table")
     once, joined, lost = profile.join_profile(rows, layer(spark, c, "reconciled"), c.strict)
-    jsonl.write_jsonl(once, c.at(f"output/profiles/{c.profile_id}.jsonl"), single=True)
+    jsonl.write_jsonl(once, c.at(f"output/profiles/{c.profile_id}.jsonl"))
     columns = ["control_id", "family_id", "name", "requirement_kind", "selected", "selected_raw", "suggested_placeholder_values_raw", "profile_specific_notes"]
     csv = once.withColumn("selected", F.initcap(F.col("selected").cast("string"))).select(*columns, "ord")
-    jsonl.write_csv(csv, c.at(f"output/profiles/{c.profile_id}.csv"), "ord", single=True)
-    array = once.agg(F.array_sort(F.collect_list(F.struct("ord", F.struct(*once.columns).alias("r")))).alias("a")).select(F.to_json(F.transform("a", lambda x: x["r"]), {"pretty": "true", "ignoreNullFields": "false"}).alias("json"))
-    jsonl.write_document(array, c.at(f"output/profiles/{c.profile_id}.json"))
-    jsonl.write_jsonl(joined, c.at("normalized/catalogue/catalogue.jsonl"), single=True)
+    jsonl.write_csv(csv, c.at(f"output/profiles/{c.profile_id}.csv"), "ord")
+    items = once.orderBy("ord").select(F.to_json(F.struct(*once.columns), {"ignoreNullFields": "false"}).alias("json")).toLocalIterator()
+    jsonl.write_pieces(jsonl.list_pieces(r["json"] for r in items), c.at(f"output/profiles/{c.profile_id}.json"))
+    jsonl.write_jsonl(joined, c.at("normalized/catalogue/catalogue.jsonl"))
     return [r["control_id"] for r in lost.select("control_id", "ord").orderBy("ord").toLocalIterator()]
 
 
@@ -174,18 +174,15 @@ def export_all(spark: SparkSession, c: Config) -> None:
             target.parent.mkdir(parents=True, exist_ok=True)
             (shutil.copytree(source, target, dirs_exist_ok=True) if source.is_dir() else shutil.copyfile(source, target))
     cat, base = current_catalogue(spark, c), layer(spark, c, "baseline")
-    jsonl.write_jsonl(cat.where("record_kind = 'base'"), c.at("output/catalogue/controls.jsonl"), single=True)
-    jsonl.write_jsonl(cat.where("record_kind = 'enhancement'"), c.at("output/catalogue/enhancements.jsonl"), single=True)
-    jsonl.write_jsonl(cat, c.at("output/catalogue/all_records.jsonl"), single=True)
-    groups = base.select(F.col("family_id"), F.lower("family_id").alias("nist_group_id")).distinct()
-    fam = render.families(cat).join(groups, "family_id", "left")
-    jsonl.write_jsonl(fam, c.at("output/catalogue/families.jsonl"), order="family_id", single=True)
-    flat = render.flat_controls(cat).withColumn("ord", F.monotonically_increasing_id()) if "ord" not in cat.columns else render.flat_controls(cat.orderBy("ord"))
-    jsonl.write_csv(flat, c.at("output/catalogue/controls.csv"), single=True)
-    jsonl.write_jsonl(graph.edges_of(cat, base, oscal.hierarchy_edges(base), c.publication(c.overlay_source), c.publication(c.baseline_source)), c.at("output/graph/edges.jsonl"), single=True)
+    jsonl.write_jsonl(cat.where("record_kind = 'base'"), c.at("output/catalogue/controls.jsonl"))
+    jsonl.write_jsonl(cat.where("record_kind = 'enhancement'"), c.at("output/catalogue/enhancements.jsonl"))
+    jsonl.write_jsonl(cat, c.at("output/catalogue/all_records.jsonl"))
+    jsonl.write_jsonl(render.families(cat, base, c.publication(c.overlay_source)), c.at("output/catalogue/families.jsonl"), order="id")
+    jsonl.write_csv(render.flat_controls(cat.orderBy("ord")), c.at("output/catalogue/controls.csv"))
+    jsonl.write_jsonl(graph.edges_of(cat, base, oscal.hierarchy_edges(base), c.publication(c.overlay_source), c.publication(c.baseline_source)), c.at("output/graph/edges.jsonl"))
     ids = [str(uuid.uuid5(uuid.NAMESPACE_URL, f"layerline:{k}")) for k in ("catalog", "profile")]
-    jsonl.write_document(render.oscal_catalog(cat, ids[0], "Derived catalogue", c.run_at), c.at("output/oscal/catalog.json"))
-    jsonl.write_document(render.oscal_profile(cat, ids[1], "Derived profile", "catalog.json", c.run_at, c.profile_id), c.at("output/oscal/profile.json"))
+    jsonl.write_pieces(render.oscal_catalog(cat, ids[0], "Derived catalogue (unofficial)", c.run_at), c.at("output/oscal/catalog.json"))
+    jsonl.write_pieces(render.oscal_profile(cat, ids[1], "Derived profile (unofficial)", "catalog.json", c.run_at, c.profile_id), c.at("output/oscal/profile.json"))
 
 
 def render_view(spark: SparkSession, c: Config, view: str) -> DataFrame:
@@ -255,6 +252,7 @@ def show(spark: SparkSession, c: Config, record_id: str, upstream: bool = False)
     if record is None:
         raise EngineError(f"{record_id} is not in the catalogue")
     if upstream:
-        row = layer(spark, c, "baseline").where(F.col("upstream_id") == record["nist_oscal_id"]).head(1)
-        return json.dumps(row[0].asDict(True) if row else None, indent=2, ensure_ascii=False)
+        row = layer(spark, c, "baseline").where(F.col("upstream_id") == record["nist_oscal_id"]).orderBy("ord")
+        found = row.select(F.to_json(F.struct(*row.columns), {"ignoreNullFields": "false"})).head(1)
+        return json.dumps(json.loads(found[0][0]) if found else None, indent=2, ensure_ascii=False)
     return render.show(record)

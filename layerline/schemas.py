@@ -11,6 +11,9 @@ DIFF_KINDS = ("same", "formatting_only", "modified", "canada_only", "nist_only",
 ODP_OPERATIONS = ("assignment", "selection", "unknown")
 PART_NAMES = ("statement", "item", "guidance", "assessment-objective", "assessment-method", "assessment-objects", "objective", "overview")
 VIEWS = ("requirement_only", "requirement_plus_discussion", "full", "canada_delta")
+#: The namespace of derived properties, and the version of the derived documents' format.
+NAMESPACE = "https://cyber.gc.ca/ns/itsp10033"
+DERIVED_VERSION = "1.2.2"
 MAX_OSCAL_VERSION = (1, 2, 2)
 NAV_MARKERS = ("Top of page", "Table of Contents", "Skip to main content")
 
@@ -32,7 +35,8 @@ OVERLAY = (
 )
 BASELINE = (
     "upstream_id string, canonical_candidate_id string, family_id string, title string, parent_upstream_id string, child_control_ids array<string>, "
-    f"statement_text string, discussion string, odp_count int, related array<string>, unmapped_parts int, source {NIST_SOURCE}, ord bigint"
+    "statement_text string, discussion string, odp_count int, related array<string>, unmapped_parts int, oscal_uuid string, props variant, params variant, parts variant, links variant, "
+    f"unmapped map<string,int>, source {NIST_SOURCE}, ord bigint"
 )
 CATALOGUE = (
     "schema_version string, id string, family_id string, family_name string, number string, name string, record_kind string, requirement_kind string, parent_id string, "
@@ -45,10 +49,11 @@ PROFILE = (
     "profile_id string, profile_publication string, control_id string, family_id string, name string, description_raw string, requirement_kind string, selected boolean, selected_raw string, "
     f"suggested_placeholder_values_raw string, profile_specific_notes string, source struct<type:string,table:string,row:int,retrieved_at:string,source_sha256:string>, ord {ORDER}"
 )
-EDGE = f"source string, relationship string, target string, publication string, lineage string, ord {ORDER}"
+EDGE = f"source_id string, relationship string, target_id string, source_publication string, lineage string, ord {ORDER}"
 EMBEDDING = (
-    "embedding_id string, schema_version string, view string, text string, id string, family_id string, family_name string, name string, record_kind string, requirement_kind string, parent_id string, "
-    "origin string, reconciliation_status string, is_canadian_specific boolean, is_withdrawn boolean, profile_medium boolean, has_odp boolean, has_gc_discussion boolean, publication string, content_hash string"
+    "embedding_id string, record_id string, record_kind string, family_id string, family_name string, name string, requirement_kind string, origin string, reconciliation_status string, "
+    "profile_medium boolean, is_canadian_specific boolean, is_withdrawn boolean, has_odp boolean, has_gc_discussion boolean, view string, text string, source_publication string, "
+    "source_url string, canadian_source_hash string, nist_source_hash string"
 )
 FINDING = "check_id string, severity string, record_id string, message string"
 

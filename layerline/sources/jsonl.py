@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,17 +29,17 @@ def count_rows(spark: SparkSession, path: str) -> int:
 
 
 def write_jsonl(df: DataFrame, path: str, order: str | None = "ord", single: bool = False) -> None:
-    """Compact JSON lines, nulls kept. ``single`` writes one ordered part, for small layers that people read."""
-    if single and order in df.columns:
-        df = df.coalesce(1).sortWithinPartitions(order)
-    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    """Compact JSON lines, nulls kept, in ordered parts by a range shuffle. ``single`` asks for one part, which one task writes."""
+    if order in df.columns:
+        df = df.orderBy(order)
+    (df.coalesce(1) if single else df).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
 def write_csv(df: DataFrame, path: str, order: str | None = None, single: bool = False) -> None:
-    if single:
-        df = df.coalesce(1)
-        df = df.sortWithinPartitions(order).drop(order) if order else df
-    df.write.mode("overwrite").options(header="true", escape='"', emptyValue="", nullValue="", lineSep="\n").csv(path)
+    """CSV in ordered parts, each with a header; ``order`` is not written."""
+    if order:
+        df = df.orderBy(order).drop(order)
+    (df.coalesce(1) if single else df).write.mode("overwrite").options(header="true", escape='"', emptyValue="", nullValue="", lineSep="\n").csv(path)
 
 
 def write_text(path: str, text: str) -> None:
@@ -47,12 +48,18 @@ def write_text(path: str, text: str) -> None:
     p.write_text(text, encoding="utf-8")
 
 
-def write_document(df: DataFrame, path: str) -> None:
-    """A one-row ``json`` frame as one file."""
-    write_text(path, df.select("json").first()[0] + "\n")
+def list_pieces(items: Iterable[str]) -> Iterator[str]:
+    """A JSON list of rendered items, piece by piece."""
+    yield "["
+    for n, item in enumerate(items):
+        yield (",\n" if n else "\n") + item
+    yield "\n]"
 
 
-def partitioned_views(df: DataFrame, path: str) -> None:
-    """Rendered views, a folder for each, so that one does not replace another."""
-    df.write.mode("overwrite").option("ignoreNullFields", "false").partitionBy("view").json(path)
-
+def write_pieces(pieces: Iterable[str], path: str) -> None:
+    """One file out of pieces that are never in memory together."""
+    p = Path(path)
+    p.parent.mkdir(parents=True, exist_ok=True)
+    with p.open("w", encoding="utf-8") as f:
+        f.writelines(pieces)
+        f.write("\n")

@@ -128,7 +128,8 @@ def baseline_records(docs: DataFrame, git_commit: str = "", publication: str = "
     out = out.join(meta, "doc_id").select(
         F.col("mid").alias("upstream_id"), F.col("canonical").alias("canonical_candidate_id"), F.upper(F.coalesce("group_id", F.substring("mid", 1, 2))).alias("family_id"), _get("title").alias("title"),
         "parent_upstream_id", F.coalesce("child_control_ids", empty).alias("child_control_ids"), F.coalesce("statement_lines", F.lit("")).alias("statement_text"), "discussion",
-        F.coalesce("odp_count", F.lit(0)).alias("odp_count"), F.coalesce("related", empty).alias("related"), F.coalesce("unmapped_parts", F.lit(0)).alias("unmapped_parts"), source.alias("source"),
+        F.coalesce("odp_count", F.lit(0)).alias("odp_count"), F.coalesce("related", empty).alias("related"), F.coalesce("unmapped_parts", F.lit(0)).alias("unmapped_parts"), F.lit(None).cast("string").alias("oscal_uuid"), *[F.coalesce(_get(m, "variant"), F.parse_json(F.lit("[]"))).alias(m) for m in ("props", "params", "parts", "links")],
+        F.when(F.col("unmapped_parts") > 0, F.create_map(F.lit("unmapped_part_count"), F.col("unmapped_parts"))).otherwise(F.create_map().cast("map<string,int>")).alias("unmapped"), source.alias("source"),
         F.row_number().over(post_order).cast("long").alias("ord"),
     )
     return out.select(*[F.col(f.name).cast(f.dataType) for f in StructType.fromDDL(BASELINE)])
@@ -140,20 +141,25 @@ def _order_key(path: Column) -> Column:
 
 
 def family_rows(docs: DataFrame) -> DataFrame:
-    """group_id, title, controls: the groups of the documents with the number of controls directly in each."""
+    """id, title, oscal_group_id, props, links, control_ids: the groups of the documents with the controls directly in each, in order."""
     nodes = document_nodes(docs)
-    groups = nodes.where("node_kind = 'group'").select("doc_id", "node_path", _get("id").alias("group_id"), _get("title").alias("title"))
-    counts = nodes.where("node_kind = 'control'").groupBy("doc_id", F.col("parent_path").alias("node_path")).agg(F.count("*").alias("controls"))
-    return groups.join(counts, ["doc_id", "node_path"], "left").select("group_id", "title", F.coalesce("controls", F.lit(0)).cast("long").alias("controls"))
+    listed = lambda m: F.coalesce(_get(m, "variant"), F.parse_json(F.lit("[]"))).alias(m)
+    groups = nodes.where("node_kind = 'group'").select("doc_id", "node_path", _get("id").alias("oscal_group_id"), _get("title").alias("title"), listed("props"), listed("links"))
+    inside = nodes.where("node_kind = 'control'").select("doc_id", F.col("parent_path").alias("node_path"), F.struct(_order_key(F.col("node_path")).alias("k"), _get("id").alias("id")).alias("c"))
+    ids = inside.where("c.id is not null").groupBy("doc_id", "node_path").agg(F.transform(F.array_sort(F.collect_list("c")), lambda c: c["id"]).alias("control_ids"))
+    return groups.join(ids, ["doc_id", "node_path"], "left").select(
+        F.upper("oscal_group_id").alias("id"), "title", "oscal_group_id", "props", "links", F.coalesce("control_ids", F.array().cast("array<string>")).alias("control_ids")
+    )
 
 
 def hierarchy_edges(baseline: DataFrame) -> DataFrame:
-    """Both directions of each parent and child: source, relationship, target, ord."""
+    """Both directions of each parent and child: source_id, relationship, target_id, lineage, ord."""
     parent = baseline.select(F.col("upstream_id").alias("parent_upstream_id"), F.col("canonical_candidate_id").alias("parent"))
     pairs = baseline.join(parent, "parent_upstream_id").select("parent", F.col("canonical_candidate_id").alias("child"), "ord")
+    lineage = F.lit("nist_upstream").alias("lineage")
     both = F.array(
-        F.struct(F.col("parent").alias("source"), F.lit("has_enhancement").alias("relationship"), F.col("child").alias("target"), placed(pairs, F.lit(0)).alias("ord")),
-        F.struct(F.col("child").alias("source"), F.lit("enhancement_of").alias("relationship"), F.col("parent").alias("target"), placed(pairs, F.lit(1)).alias("ord")),
+        F.struct(F.col("parent").alias("source_id"), F.lit("has_enhancement").alias("relationship"), F.col("child").alias("target_id"), lineage, placed(pairs, F.lit(0)).alias("ord")),
+        F.struct(F.col("child").alias("source_id"), F.lit("enhancement_of").alias("relationship"), F.col("parent").alias("target_id"), lineage, placed(pairs, F.lit(1)).alias("ord")),
     )
     return pairs.select(F.inline(both))
 

@@ -7,7 +7,7 @@ from roots import make_root
 from layerline import cli, errors
 from layerline.operators import builds, graph, render, validate
 from layerline.plans import pipeline
-from layerline.schemas import VIEWS
+from layerline.schemas import EMBEDDING, NAMESPACE, VIEWS
 from layerline.sources import oscal
 
 
@@ -32,8 +32,13 @@ def test_baseline(spark, built):
     assert rows["ac-2"]["child_control_ids"] == ["ac-2.1"] and rows["ac-2"]["statement_text"] == "Keep accounts."
     assert rows["ac-2.1"]["parent_upstream_id"] == "ac-2" and rows["ac-2.1"]["ord"] < rows["ac-2"]["ord"]
     assert rows["sa-8"]["family_id"] == "SA" and rows["ac-1"]["source"]["git_commit"] == "c0ffee"
-    edges = {(r["source"], r["relationship"], r["target"]) for r in oscal.hierarchy_edges(pipeline.layer(spark, c, "baseline")).collect()}
+    edges = {(r["source_id"], r["relationship"], r["target_id"]) for r in oscal.hierarchy_edges(pipeline.layer(spark, c, "baseline")).collect()}
     assert ("AC-02", "has_enhancement", "AC-02(01)") in edges and ("AC-02(01)", "enhancement_of", "AC-02") in edges and len(edges) == 4
+    kept = {r["upstream_id"]: json.loads(r["j"]) for r in pipeline.layer(spark, c, "baseline").selectExpr("upstream_id", "to_json(struct(props, params, parts, links, unmapped)) j").collect()}
+    given = json.loads((Path(__file__).parent / "fixtures" / "catalog.json").read_text())["catalog"]["groups"][0]["controls"][0]
+    assert given["id"] == "ac-1" and all(kept["ac-1"][m] == given.get(m, []) for m in ("props", "params", "parts", "links")) and kept["ac-1"]["unmapped"] == {"unmapped_part_count": 1}
+    fams = {r["oscal_group_id"]: r for r in spark.read.json(c.at("normalized/nist/families.jsonl")).collect()}
+    assert fams["ac"]["id"] == "AC" and fams["ac"]["control_ids"][:2] == ["ac-1", "ac-2"]
     meta = json.loads(Path(c.at("normalized/nist/metadata.json")).read_text())
     assert meta["control_count"] == 6 and meta["records_with_unmapped_parts"] == 1 and meta["metadata_version"] == "5.0"
 
@@ -129,11 +134,18 @@ def test_exports(spark, built):
     assert [g["id"] for g in doc["groups"]] == ["ac", "sa"]
     two = doc["groups"][0]["controls"][1]
     assert two["id"] == "ac-2" and [x["id"] for x in two["controls"]] == ["ac-2.1", "ac-02.400"] and len(two["props"]) == 6
-    assert json.loads(Path(c.at("output/oscal/profile.json")).read_text())["profile"]["imports"][0]["include-controls"][0]["with-ids"] == ["ac-1", "sa-8"]
+    assert "unofficial" in doc["metadata"]["remarks"].lower() and two["props"][0] == {"name": "canadian-id", "ns": NAMESPACE, "value": "AC-02"} and [p["name"] for p in two["parts"]][:2] == ["statement", "guidance"]
+    part = json.loads(Path(c.at("output/oscal/profile.json")).read_text())["profile"]
+    chosen = part["controls"]["include-controls"]
+    assert [x["with-id"] for x in chosen] == ["ac-1", "sa-8"] and [p["value"] for p in chosen[0]["props"]] == ["AC-01", "activity"] and part["merge"] == {"as-is": True} and part["modify"] == {"set-parameters": []}
+    assert "unofficial" in part["metadata"]["remarks"].lower() and part["imports"] == [{"href": "catalog.json"}]
+    fams = {r["id"]: r.asDict() for r in spark.read.json(c.at("output/catalogue/families.jsonl")).collect()}
+    assert fams["AC"]["nist_group_id"] == "ac" and set(fams["AC"]) == {"id", "name", "publication", "nist_group_id"}
     rows = [r.asDict() for r in spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(c.at("output/catalogue/controls.csv")).collect()]
+    assert {r["record_kind"] for r in rows} == {"base"} and len(rows) == parts[0]
     assert rows[0]["id"] == "AC-01" and rows[0]["is_withdrawn"] == "False" and rows[0]["related"] == '["IA-01","AC-02(01)","IA-01"]'
     edges = graph.edges_of(cat, pipeline.layer(spark, c, "baseline")).collect()
-    assert [(e["target"]) for e in edges if e["source"] == "AC-01" and e["lineage"] == "canada"] == ["IA-01", "AC-02(01)", "IA-01"]
+    assert [(e["target_id"]) for e in edges if e["source_id"] == "AC-01" and e["lineage"] == "canada"] == ["IA-01", "AC-02(01)", "IA-01"]
     assert {e["lineage"] for e in edges} == {"canada", "nist_upstream"}
     found = {r["id"]: r["steps"] for r in graph.reachable(graph.edges_of(cat), spark.createDataFrame([("AC-01",)], "id string")).collect()}
     assert found["AC-01"] == 0 and found["AC-02(01)"] == 1 and found["AC-02"] == 2
@@ -142,14 +154,16 @@ def test_exports(spark, built):
 def test_views(spark, built):
     c, _ = built
     cat, prof = pipeline.current_catalogue(spark, c), pipeline.layer(spark, c, "profile")
-    texts = {v: by_id(render.embeddings(cat, v, prof)) for v in VIEWS}
+    texts = {v: by_id(render.embeddings(cat, v, prof), "record_id") for v in VIEWS}
     assert all(len(t) == 9 for t in texts.values())
     sa = texts["full"]["SA-08"]
     assert "Suggested placeholder values: 10 days\nProfile-specific notes: Mind the gap" in sa["text"] and "Selected: yes" in sa["text"] and sa["profile_medium"]
     assert texts["requirement_only"]["SA-08"]["text"].endswith("Organization-defined parameters:\nNone.")
     assert "- [Selection] daily; each week" in texts["requirement_only"]["AC-01"]["text"]
     assert "Requirement:" not in texts["canada_delta"]["SA-08"]["text"] and "Canadian delta fields:\ndiscussion" in texts["canada_delta"]["AC-02"]["text"]
-    assert len(texts["full"]["AC-01"].asDict()) == 20 and texts["full"]["AC-12"]["has_odp"]
+    assert list(texts["full"]["AC-01"].asDict()) == [f.split(" ")[0] for f in EMBEDDING.split(", ")] and texts["full"]["AC-12"]["has_odp"]
+    one, alone = texts["full"]["AC-01"], texts["full"]["SA-400"]
+    assert one["source_url"] == "https://example.test/access" and len(one["canadian_source_hash"]) == len(one["nist_source_hash"]) == 64 and alone["nist_source_hash"] is None and one["record_id"] == "AC-01"
     with pytest.raises(errors.EngineError):
         render.embeddings(cat, "none")
     assert "AC-02(01)" in render.show(render.lookup(cat, "AC-02")) and render.lookup(cat, "XX-01") is None
@@ -181,7 +195,8 @@ def test_command_line(spark, built):
     registry = str(Path(__file__).parent / "fixtures" / "sources.yaml")
     run = lambda *a: cli.run(spark, cli.parser().parse_args([*a, "--output", c.root, "--registry", registry]))
     assert "AC-02" in run("show", "AC-02")[1]
-    assert json.loads(run("show", "AC-02", "--upstream")[1])["upstream_id"] == "ac-2"
+    upstream = json.loads(run("show", "AC-02", "--upstream")[1])
+    assert upstream["upstream_id"] == "ac-2" and upstream["parts"][0]["name"] == "statement"
     assert "None." in run("diff", c.root, c.root)[1]
     assert run("validate")[0] == 0
     assert "9 records" in run("render-embeddings", "--view", "full")[1]

@@ -22,6 +22,18 @@ def composite_hash(hashes: DataFrame, column: str = "source_sha256") -> DataFram
     return hashes.agg(F.sha2(F.array_join(F.sort_array(F.collect_list(column)), ""), 256).alias("composite_hash"))
 
 
+def tree_hash_by(hashes: DataFrame, keys: list[str], column: str) -> DataFrame:
+    """One hash of each group of any size: the hashes that begin with the same three digits are sorted and hashed together, then
+    those results by their first digit, then the 16 of these. What is gathered at once is a 4096th of a group, or 256 results."""
+    part = hashes.where(F.col(column).isNotNull()).groupBy(*keys, F.substring(column, 1, 3).alias("__p")).agg(F.sha2(F.array_join(F.sort_array(F.collect_list(column)), ""), 256).alias("h"))
+    pairs = part.groupBy(*keys, F.substring("__p", 1, 1).alias("__p")).agg(_in_order().alias("h"))
+    return pairs.groupBy(*keys).agg(_in_order().alias("record_hash"))
+
+
+def _in_order():
+    return F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__p", "h"))), lambda x: x["h"]), ""), 256)
+
+
 def composite_hash_by(hashes: DataFrame, keys: list[str], column: str) -> DataFrame:
     """The composite hash of each group; groups are the pages of a source."""
     return hashes.groupBy(*keys).agg(F.sha2(F.array_join(F.sort_array(F.collect_list(column)), ""), 256).alias("composite_hash"))

@@ -220,9 +220,14 @@ def families(catalogue: DataFrame, baseline: DataFrame | None = None, publicatio
     return rows.join(groups, "id", "left")
 
 
+def records_of(catalogue: DataFrame, record_id: str) -> DataFrame:
+    """The rows of an id: the filter reaches the scan."""
+    return catalogue.where(F.col("id") == record_id)
+
+
 def lookup(catalogue: DataFrame, record_id: str) -> dict | None:
     """The first row of an id, or None."""
-    row = catalogue.where(F.col("id") == record_id).orderBy("ord").head(1)
+    row = records_of(catalogue, record_id).orderBy("ord").head(1)
     return row[0].asDict(True) if row else None
 
 

@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..errors import ValidationFailed
 from ..functions.ids import CANON_ANY_RE
@@ -87,13 +88,21 @@ def catalogue_row_rules() -> list[Column]:
     return [bad_id, *[_when(good & F.coalesce(c, F.lit(False)), k, s, rid, m) for k, s, c, m in rules]]
 
 
-def validate_catalogue(catalogue: DataFrame, expected: list[str]) -> DataFrame:
-    ids = catalogue.select(F.col("id").alias("__id")).distinct()
+def validate_catalogue(catalogue: DataFrame, expected: list[str], scope: tuple[str, ...] = ()) -> DataFrame:
+    """``scope`` names columns that tell several catalogues in one table apart: ids are looked for in their own."""
+    ids = catalogue.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f"__{c}") for c in scope], F.col("id").alias("__id")).distinct()
     good = catalogue.where(F.col("id").rlike(CANON_ANY_RE))
-    doubled = duplicates(catalogue, ["id"]).select(F.inline(F.array(_finding("VAL-5", "error", F.col("id"), _text("id occurs ", F.col("rows"), " times")))))
-    orphans = good.where("record_kind = 'enhancement'").join(ids, F.col("parent_id") == F.col("__id"), "left_anti")
+
+    def known(c: str) -> Column:
+        on = F.col(c) == F.col("__id")
+        for s in scope:
+            on = on & (F.coalesce(F.col(s).cast("string"), F.lit("")) == F.col(f"__{s}"))
+        return on
+
+    doubled = duplicates(catalogue, [*scope, "id"]).select(F.inline(F.array(_finding("VAL-5", "error", F.col("id"), _text("id occurs ", F.col("rows"), " times")))))
+    orphans = good.where("record_kind = 'enhancement'").join(ids, known("parent_id"), "left_anti")
     orphans = orphans.select(F.inline(F.array(_finding("VAL-8", "error", F.col("id"), _text("parent ", F.col("parent_id"), " is missing")))))
-    named = good.where("record_kind = 'base'").select("id", F.explode("enhancement_ids").alias("e")).join(ids, F.col("e") == F.col("__id"), "left_anti")
+    named = good.where("record_kind = 'base'").select(*scope, "id", F.explode("enhancement_ids").alias("e")).join(ids, known("e"), "left_anti")
     named = named.select(F.inline(F.array(_finding("VAL-9", "error", F.col("id"), _text("enhancement ", F.col("e"), " is missing")))))
     parts = [row_findings(catalogue, catalogue_row_rules()), doubled, orphans, named, family_gaps(good, expected, "VAL-19", "strict", "catalogue")]
     return reduce(DataFrame.unionByName, parts)
@@ -116,11 +125,24 @@ def validate_schema(df: DataFrame, dataset: str, key: str) -> DataFrame:
     return df.select(F.coalesce(*rules).alias("f")).where("f is not null").select("f.*")
 
 
-def validate_json(lines: DataFrame, ddl: str, dataset: str) -> DataFrame:
-    """Lines (value, line) that are no JSON object of the schema."""
-    parsed = F.from_json("value", f"{ddl}, __bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad"})
-    bad = lines.where(parsed["__bad"].isNotNull() | parsed.isNull())
-    return bad.select(F.inline(F.array(_finding("VAL-21", "error", F.col("line"), F.lit(f"{dataset}: line does not fit the schema")))))
+#: What a JSON value of a column of this kind is called; lists and objects stand for all of theirs.
+_SHAPES = {"string": ("STRING",), "boolean": ("BOOLEAN",), "int": ("BIGINT",), "bigint": ("BIGINT",), "double": ("BIGINT", "DOUBLE", "DECIMAL"), "array": ("ARRAY",), "struct": ("OBJECT",), "map": ("OBJECT",)}
+
+
+def validate_lines(lines: DataFrame, ddl: str, dataset: str, key: str) -> DataFrame:
+    """At most one finding per line (``value``) of a JSON file: no object at all, or the first column, by name, whose value is of another
+    type than the schema's. Missing members and nulls are for ``validate_schema``; a blank line is no line."""
+    v = F.col("v")
+    record = F.try_variant_get(v, f"$['{key}']", "string")
+    kind = lambda x: F.regexp_extract(F.schema_of_variant(x), r"^[A-Z]+", 0)
+    rules = [F.when(v.isNull() | (kind(v) != "OBJECT"), _finding("VAL-21", "error", record, F.lit(f"{dataset}: the line is no JSON object")))]
+    for f in sorted(StructType.fromDDL(ddl), key=lambda f: f.name):
+        shapes = _SHAPES.get(f.dataType.simpleString().split("<")[0])
+        if shapes:
+            got = kind(F.try_variant_get(v, f"$['{f.name}']", "variant"))
+            rules.append(_when(~got.isin("VOID", *shapes), "VAL-21", "error", record, _text(f"{dataset}: {f.name} may not be ", F.lower(got))))
+    rows = lines.where(F.trim("value") != "").select(F.try_parse_json("value").alias("v"))
+    return rows.select(F.coalesce(*rules).alias("f")).where("f is not null").select("f.*")
 
 
 def severity(findings: DataFrame, strict: bool) -> DataFrame:

@@ -46,6 +46,13 @@ class Config:
         return str(Path(self.root, *parts))
 
 
+#: The layers whose lines are checked for types: where they are, their schema, the member that names a record.
+TYPED = {
+    "baseline": ("normalized/nist/records.jsonl", BASELINE, "upstream_id"), "reconciled": ("normalized/reconciliation/catalogue.jsonl", CATALOGUE, "id"),
+    "reconciliation": ("output/reconciliation/records.jsonl", RECONCILIATION, "canadian_id"), "profile": ("output/profiles/{profile}.jsonl", PROFILE, "control_id"),
+}
+
+
 def layer(spark: SparkSession, c: Config, name: str) -> DataFrame:
     path, schema = {
         "baseline": (c.at("normalized/nist/records.jsonl"), BASELINE), "overlay": (c.at("normalized/canada/records.jsonl"), OVERLAY),
@@ -159,6 +166,9 @@ def validate_all(spark: SparkSession, c: Config) -> DataFrame:
         ("profile", "VAL-20", lambda d: validate.validate_profile(d, expected).unionByName(validate.validate_schema(d, "profile", "control_id"))),
     ):
         parts.append(rules(layer(spark, c, name)) if has_layer(c, name) else validate.absent(spark, check, f"{name} layer"))
+        if name in TYPED and has_layer(c, name):
+            path, ddl, key = TYPED[name]
+            parts.append(validate.validate_lines(spark.read.text(c.at(path.format(profile=c.profile_id))), ddl, name, key))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -42,6 +42,12 @@ def _get(member: str, kind: str = "string") -> Column:
     return F.try_variant_get("v", f"$['{member}']", kind)
 
 
+def _listed(member: str) -> Column:
+    """A list member as it is, a single object as a list of it, anything else as an empty list."""
+    items = F.coalesce(_get(member, "array<variant>"), F.when(_get(member, "map<string,variant>").isNotNull(), F.array(_get(member, "variant"))), F.array().cast("array<variant>"))
+    return F.to_variant_object(items).alias(member)
+
+
 def document_metadata(docs: DataFrame) -> DataFrame:
     v = F.try_parse_json("json")
     at = lambda m: F.try_variant_get(v, f"$.catalog.metadata['{m}']", "string")
@@ -128,7 +134,7 @@ def baseline_records(docs: DataFrame, git_commit: str = "", publication: str = "
     out = out.join(meta, "doc_id").select(
         F.col("mid").alias("upstream_id"), F.col("canonical").alias("canonical_candidate_id"), F.upper(F.coalesce("group_id", F.substring("mid", 1, 2))).alias("family_id"), _get("title").alias("title"),
         "parent_upstream_id", F.coalesce("child_control_ids", empty).alias("child_control_ids"), F.coalesce("statement_lines", F.lit("")).alias("statement_text"), "discussion",
-        F.coalesce("odp_count", F.lit(0)).alias("odp_count"), F.coalesce("related", empty).alias("related"), F.coalesce("unmapped_parts", F.lit(0)).alias("unmapped_parts"), F.lit(None).cast("string").alias("oscal_uuid"), *[F.coalesce(_get(m, "variant"), F.parse_json(F.lit("[]"))).alias(m) for m in ("props", "params", "parts", "links")],
+        F.coalesce("odp_count", F.lit(0)).alias("odp_count"), F.coalesce("related", empty).alias("related"), F.coalesce("unmapped_parts", F.lit(0)).alias("unmapped_parts"), F.lit(None).cast("string").alias("oscal_uuid"), *[_listed(m) for m in ("props", "params", "parts", "links")],
         F.when(F.col("unmapped_parts") > 0, F.create_map(F.lit("unmapped_part_count"), F.col("unmapped_parts"))).otherwise(F.create_map().cast("map<string,int>")).alias("unmapped"), source.alias("source"),
         F.row_number().over(post_order).cast("long").alias("ord"),
     )
@@ -143,8 +149,7 @@ def _order_key(path: Column) -> Column:
 def family_rows(docs: DataFrame) -> DataFrame:
     """id, title, oscal_group_id, props, links, control_ids: the groups of the documents with the controls directly in each, in order."""
     nodes = document_nodes(docs)
-    listed = lambda m: F.coalesce(_get(m, "variant"), F.parse_json(F.lit("[]"))).alias(m)
-    groups = nodes.where("node_kind = 'group'").select("doc_id", "node_path", _get("id").alias("oscal_group_id"), _get("title").alias("title"), listed("props"), listed("links"))
+    groups = nodes.where("node_kind = 'group'").select("doc_id", "node_path", _get("id").alias("oscal_group_id"), _get("title").alias("title"), _listed("props"), _listed("links"))
     inside = nodes.where("node_kind = 'control'").select("doc_id", F.col("parent_path").alias("node_path"), F.struct(_order_key(F.col("node_path")).alias("k"), _get("id").alias("id")).alias("c"))
     ids = inside.where("c.id is not null").groupBy("doc_id", "node_path").agg(F.transform(F.array_sort(F.collect_list("c")), lambda c: c["id"]).alias("control_ids"))
     return groups.join(ids, ["doc_id", "node_path"], "left").select(

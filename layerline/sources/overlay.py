@@ -72,6 +72,11 @@ def _statement(path: Column, outline: Column, text: Column) -> Column:
     return F.struct(path.alias("path"), parent.alias("parent_path"), (F.size(outline) - 1).alias("depth"), text.alias("text"))
 
 
+def flat_text(statements: Column) -> Column:
+    """Statement rows as one text: a line ``(path) text`` for each that has a text."""
+    return F.array_join(F.transform(F.filter(statements, lambda s: s["text"] != ""), lambda s: F.concat(F.lit("("), s["path"], F.lit(") "), s["text"])), "\n")
+
+
 def _list_items(nodes: DataFrame, roots: DataFrame) -> DataFrame:
     """The items below each root list (page, rec, sub, root, root_depth, skip): rows with their outline from the root on.
 
@@ -85,10 +90,7 @@ def _gathered(statements: DataFrame, by: list[str]) -> DataFrame:
     """statements, statement_text, odps of each record from (pos, path, outline, text) rows; ``id`` names the record."""
     kept = statements.withColumn("s", _statement(F.col("path"), F.col("outline"), F.col("text")))
     lists = kept.groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "s"))), lambda x: x["s"]).alias("statements"))
-    lists = lists.withColumn(
-        "statement_text",
-        F.array_join(F.transform(F.filter("statements", lambda s: s["text"] != ""), lambda s: F.concat(F.lit("("), s["path"], F.lit(") "), s["text"])), "\n"),
-    )
+    lists = lists.withColumn("statement_text", flat_text(F.col("statements")))
     spans = F.flatten(F.transform("statements", lambda s: F.transform(odp_spans(s["text"]), lambda o: F.struct(s["path"].alias("path"), o.alias("o")))))
     odp = lambda x, i: F.struct(
         F.concat(F.col("id"), F.lit(":odp:"), F.lpad((i + 1).cast("string"), 3, "0")).alias("odp_id"), F.lit(None).cast("string").alias("nist_param_id"), x["o"]["operation"].alias("operation"),
@@ -218,7 +220,7 @@ def check_pages(pages: DataFrame) -> None:
 
 
 def table_rows(pages: DataFrame, caption_prefix: str = "tab4.", source_type: str = "html") -> DataFrame:
-    """cells, table_id, source, ord of every body row of the tables whose caption id has the prefix, ordered by
+    """page, cells, table_id, source, ord of every body row of the tables whose caption id has the prefix, ordered by
     the number that ends the id. ``pages``: retrieved_at, source_sha256, html."""
     pages = pages.withColumn("page", F.col("ord").cast("long") if "ord" in pages.columns else F.lit(0).cast("long"))
     nodes = page_nodes(pages, ["page"])
@@ -236,18 +238,20 @@ def table_rows(pages: DataFrame, caption_prefix: str = "tab4.", source_type: str
     filled = rows.join(cells, ["page", "tr"]).groupBy("page", "table_id", "row").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]).alias("cells"))
     number = F.coalesce(F.element_at(F.split("table_id", r"\."), -1).try_cast("long"), F.lit(0))
     source = F.struct(F.lit(source_type).alias("type"), F.col("table_id").alias("table"), "row", "retrieved_at", "source_sha256")
-    return filled.join(pages.select("page", "retrieved_at", "source_sha256"), "page").select("cells", "table_id", source.alias("source"), F.array(number, F.col("row").cast("long")).alias("ord"))
+    return filled.join(pages.select("page", "retrieved_at", "source_sha256"), "page").select("page", "cells", "table_id", source.alias("source"), F.array(number, F.col("row").cast("long")).alias("ord"))
 
 
 def table_of_contents(pages: DataFrame, marker: str, drop_texts: tuple[str, ...] = (), drop_slugs: tuple[str, ...] = ()) -> DataFrame:
-    """name, slug, ord of the links under ``main`` whose address holds the marker and no fragment, first seen first."""
-    nodes = page_nodes(pages.withColumn("page", F.lit(0).cast("long")), ["page"])
-    mains = nodes.where("tag = 'main'").select(F.col("pos").alias("main"))
-    a = nodes.where("tag = 'a' and href is not null").where(F.contains("href", F.lit(marker)) & ~F.contains("href", F.lit("#")))
-    a = a.join(mains, F.array_contains("ancestors", F.col("main")), "left_semi")
-    named = a.select(F.col("text").alias("name"), F.element_at(F.split(F.regexp_replace("href", "/+$", ""), "/"), -1).alias("slug"), F.col("pos").alias("ord"))
+    """page, name, slug, ord of the links under ``main`` whose address holds the marker and no fragment, first seen first. ``pages``:
+    html, and ord where there are several."""
+    nodes = page_nodes(pages.withColumn("page", F.col("ord").cast("long") if "ord" in pages.columns else F.lit(0).cast("long")), ["page"])
+    links = F.col("tag").eqNullSafe("a") & F.contains("href", F.lit(marker)) & ~F.contains("href", F.lit("#"))
+    # Whether a link lies in ``main`` is decided on the page's own rows: its ancestors are looked up by position.
+    mains = nodes.where("tag = 'main'").select("page", F.col("pos").alias("above"))
+    inside = nodes.where(links).select("page", "pos", "text", "href", F.explode("ancestors").alias("above")).join(mains, ["page", "above"], "left_semi")
+    named = inside.select("page", F.col("text").alias("name"), F.element_at(F.split(F.regexp_replace("href", "/+$", ""), "/"), -1).alias("slug"), F.col("pos").alias("ord"))
     kept = named.where(~F.col("name").isin(*drop_texts) & ~F.col("slug").isin(*drop_slugs))
-    return kept.groupBy("slug").agg(F.min_by("name", "ord").alias("name"), F.min("ord").alias("ord")).orderBy("ord")
+    return kept.groupBy("page", "slug").agg(F.min_by("name", "ord").alias("name"), F.min("ord").alias("ord")).orderBy("page", "ord")
 
 
 def inspect(pages: DataFrame, record_id: str) -> DataFrame:

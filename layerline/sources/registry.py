@@ -31,5 +31,10 @@ def family_rows(spark: SparkSession, registry: dict) -> DataFrame:
     return spark.createDataFrame(rows, FAMILIES)
 
 
+def enabled_rows(sources: DataFrame) -> DataFrame:
+    """The enabled ones of a table of sources; null counts as not enabled."""
+    return sources.where("enabled")
+
+
 def enabled(registry: dict) -> dict:
     return {k: s for k, s in registry.items() if s.get("enabled", True)}

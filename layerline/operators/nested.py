@@ -34,34 +34,14 @@ def _is_object(v: Column) -> Column:
     return F.try_variant_get(v, "$", "map<string,variant>").isNotNull()
 
 
-def _members(node: Column, member: str, kind: str) -> Column:
-    inside = F.try_variant_get(node["v"], f"$.{member}", "variant")
-    listed = F.coalesce(
-        F.try_variant_get(node["v"], f"$.{member}", "array<variant>"),
-        F.when(_is_object(inside), F.array(inside)),
-        F.array().cast("array<variant>"),
-    )
-    rows = F.transform(
-        listed,
-        lambda e, i: F.when(
-            _is_object(e),
-            F.struct(
-                F.lit(kind).alias("node_kind"),
-                F.concat(node["node_path"], F.lit(f"/{member}/"), i.cast("string")).alias("node_path"),
-                node["node_path"].alias("parent_path"),
-                e.alias("v"),
-            ),
-        ),
-    )
-    return F.filter(rows, lambda r: r.isNotNull())
-
-
-def _children(node: Column, followed: dict[str, dict[str, str]]) -> Column:
-    out = F.array().cast(f"array<{_NODE}>")
-    for kind, members in followed.items():
-        if members:
-            out = F.when(node["node_kind"] == kind, F.concat(*[_members(node, m, k) for m, k in members.items()])).otherwise(out)
-    return out
+def _children(level: str, followed: dict[str, dict[str, str]]) -> str:
+    """SQL for the nodes one level below those of the array ``level``: for each node its followed members, for each member its elements (a
+    single object is position 0), each with its parent's path and its own. Elements that are no objects drop out, positions stay."""
+    members = ", ".join(f"struct('{of}' as of, '{m}' as member, '{kind}' as kind)" for of, by in followed.items() for m, kind in by.items())
+    inside = lambda kind: f"try_variant_get(x.v, concat('$.', f.member), '{kind}')"
+    node = "struct(f.kind as node_kind, concat(x.node_path, '/', f.member, '/', i) as node_path, x.node_path as parent_path, e as v)"
+    elements = f"transform(coalesce({inside('array<variant>')}, array({inside('variant')})), (e, i) -> if(try_variant_get(e, '$', 'map<string,variant>') is null, null, {node}))"
+    return f"flatten(transform({level}, x -> array_compact(flatten(transform(filter(array({members}), f -> f.of = x.node_kind), f -> {elements})))))"
 
 
 def nesting_depth(texts: DataFrame, column: str) -> int:
@@ -113,7 +93,7 @@ def explode_tree(docs: DataFrame, key: str, depth: int, followed: dict[str, dict
     while True:
         count = min(depth, LEVELS_PER_PASS)
         for n in range(count):
-            level = level.withColumn(f"level{n + 1}", F.flatten(F.transform(F.col(f"level{n}"), lambda x: _children(x, followed))))
+            level = level.selectExpr("*", f"{_children(f'level{n}', followed)} as level{n + 1}")
         names = [f"level{n}" for n in range(count + 1)]
         if depth <= LEVELS_PER_PASS:
             done.append(emitted(names))

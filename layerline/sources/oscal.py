@@ -16,7 +16,7 @@ from ..functions.ids import any_from_oscal, base_from_oscal, child_from_oscal, f
 from ..operators.keyed import placed
 from ..operators.nested import explode_tree, nesting_depth
 from ..schemas import BASELINE, MAX_OSCAL_VERSION, PART_NAMES
-from ..session import checkpointed
+from ..session import checkpointed, spread
 
 FOLLOWED = {
     "root": {"groups": "group", "controls": "control"},
@@ -34,7 +34,7 @@ def version_tuple(c: Column) -> Column:
 
 def document_nodes(docs: DataFrame) -> DataFrame:
     """doc_id, node_kind, node_path, parent_path, v of every node of the documents (doc_id, json)."""
-    parsed = docs.select("doc_id", F.try_variant_get(F.try_parse_json("json"), "$.catalog", "variant").alias("v"))
+    parsed = spread(docs.select("doc_id", "json"), "doc_id").select("doc_id", F.try_variant_get(F.try_parse_json("json"), "$.catalog", "variant").alias("v"))
     return explode_tree(parsed, "doc_id", nesting_depth(docs, "json"), FOLLOWED, "root")
 
 

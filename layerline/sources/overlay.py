@@ -16,7 +16,7 @@ from ..errors import OverlayParseError
 from ..functions.ids import parse_canonical, render_enhancement
 from ..functions.text import odp_spans, related_ids
 from ..schemas import ENHANCEMENT, ODP, OVERLAY, REFERENCE, STATEMENT
-from ..session import checkpointed
+from ..session import checkpointed, spread
 from .html import page_nodes
 
 # How headings and labels read.
@@ -164,7 +164,7 @@ def overlay_records(pages: DataFrame, publication: str = "ITSP.10.033", detect_w
     ``detect_withdrawn`` leaves out enhancements whose text says that they are withdrawn; by default they stay.
     """
     pages = pages.withColumn("page", F.col("ord").cast("long"))
-    nodes = checkpointed(page_nodes(pages, ["page"]))  # parsed once; read by every step below
+    nodes = checkpointed(page_nodes(spread(pages, "page"), ["page"]))  # parsed once; read by every step below
     blocks = blocks_of(nodes)
     in_statement = F.col("content") & (F.col("key") == F.col("kind"))
     lists = blocks.where(in_statement & F.col("tag").isin("ol", "ul"))

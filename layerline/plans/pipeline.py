@@ -7,10 +7,8 @@ computed twice and no stage overwrites what it reads.
 from __future__ import annotations
 
 import json
-import shutil
 import uuid
 from dataclasses import dataclass, field
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +18,7 @@ from ..errors import BaselineImportError, EngineError, OverlayParseError, Profil
 from ..operators import builds, graph, manifest, profile, reconcile, render, validate
 from ..schemas import BASELINE, CATALOGUE, EDGE, OVERLAY, PROFILE, RECONCILIATION, VIEWS
 from ..sources import jsonl, oscal, overlay, raw, registry, xlsx
+from ..sources.files import Place
 
 
 @dataclass
@@ -43,7 +42,7 @@ class Config:
         return [f["id"].lower() for f in self.registry.get(self.overlay_source, {}).get("families") or ()]
 
     def at(self, *parts: str) -> str:
-        return str(Path(self.root, *parts))
+        return "/".join([self.root.rstrip("/"), *parts])
 
 
 #: The layers whose lines are checked for types: where they are, their schema, the member that names a record.
@@ -64,7 +63,7 @@ def layer(spark: SparkSession, c: Config, name: str) -> DataFrame:
 
 
 def has_layer(c: Config, name: str) -> bool:
-    return Path(c.root, {"baseline": "normalized/nist/records.jsonl", "overlay": "normalized/canada/records.jsonl", "catalogue": "normalized/catalogue/catalogue.jsonl", "reconciled": "normalized/reconciliation/catalogue.jsonl", "profile": f"output/profiles/{c.profile_id}.jsonl", "reconciliation": "output/reconciliation/records.jsonl"}[name]).exists()
+    return (Place(c.root) / {"baseline": "normalized/nist/records.jsonl", "overlay": "normalized/canada/records.jsonl", "catalogue": "normalized/catalogue/catalogue.jsonl", "reconciled": "normalized/reconciliation/catalogue.jsonl", "profile": f"output/profiles/{c.profile_id}.jsonl", "reconciliation": "output/reconciliation/records.jsonl"}[name]).exists()
 
 
 def current_catalogue(spark: SparkSession, c: Config) -> DataFrame:
@@ -120,7 +119,7 @@ def run_reconciliation(spark: SparkSession, c: Config, family: str | None = None
         reconcile.check_strict(classified)
     jsonl.write_jsonl(reconcile.catalogue_of(classified), c.at("normalized/reconciliation/catalogue.jsonl"))
     jsonl.write_jsonl(reconcile.reconciliation_of(classified), c.at("output/reconciliation/records.jsonl"))
-    shutil.rmtree(c.at("normalized/catalogue"), ignore_errors=True)  # memberships of an earlier reconciliation
+    Place(c.at("normalized/catalogue")).remove()  # memberships of an earlier reconciliation
     report = reconcile.report(layer(spark, c, "reconciled"), layer(spark, c, "reconciliation"))
     jsonl.write_text(c.at("output/reconciliation/report.json"), json.dumps(report, indent=2, ensure_ascii=False) + "\n")
     jsonl.write_text(c.at("output/reconciliation/report.md"), reconcile.report_markdown(report))
@@ -178,11 +177,9 @@ def validate_all(spark: SparkSession, c: Config) -> DataFrame:
 def export_all(spark: SparkSession, c: Config) -> None:
     """Upstream copies, catalogue extracts, edges, derived documents."""
     for name in ("families.jsonl", "records.jsonl", "relationships.jsonl", "metadata.json"):
-        source = Path(c.at("normalized/nist", name))
+        source = Place(c.at("normalized/nist", name))
         if source.exists():
-            target = Path(c.at("output/nist", name))
-            target.parent.mkdir(parents=True, exist_ok=True)
-            (shutil.copytree(source, target, dirs_exist_ok=True) if source.is_dir() else shutil.copyfile(source, target))
+            source.copy_to(Place(c.at("output/nist", name)))
     cat, base = current_catalogue(spark, c), layer(spark, c, "baseline")
     jsonl.write_jsonl(cat.where("record_kind = 'base'"), c.at("output/catalogue/controls.jsonl"))
     jsonl.write_jsonl(cat.where("record_kind = 'enhancement'"), c.at("output/catalogue/enhancements.jsonl"))
@@ -223,8 +220,8 @@ def write_manifest(spark: SparkSession, c: Config, findings: DataFrame) -> dict:
 
 
 def read_manifest(root: str) -> dict:
-    path = Path(root, "output/manifests/build.json")
-    return json.loads(path.read_text(encoding="utf-8")) if path.exists() else {}
+    path = Place(root) / "output/manifests/build.json"
+    return json.loads(path.read_text()) if path.exists() else {}
 
 
 def diff_roots(spark: SparkSession, old: str, new: str, profile_id: str = "medium") -> dict:

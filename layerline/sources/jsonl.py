@@ -3,18 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from pathlib import Path
+from itertools import chain
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.keyed import last_wins
+from .files import Place
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str, missing_ok: bool = False) -> DataFrame:
-    """A typed scan; ``ord`` is kept if the file has it. A missing local path is an empty table if ``missing_ok``."""
-    if missing_ok and "://" not in path and not Path(path).exists():
+    """A typed scan; ``ord`` is kept if the file has it. A missing path is an empty table if ``missing_ok``."""
+    if missing_ok and not Place(path).exists():
         return spark.createDataFrame([], StructType.fromDDL(schema))
     return spark.read.schema(StructType.fromDDL(schema)).json(path)
 
@@ -25,7 +26,7 @@ def read_keyed(spark: SparkSession, path: str, schema: str, key: str = "id") ->
 
 
 def count_rows(spark: SparkSession, path: str) -> int:
-    return spark.read.text(path).count() if Path(path).exists() else 0
+    return spark.read.text(path).count() if Place(path).exists() else 0
 
 
 def write_jsonl(df: DataFrame, path: str, order: str | None = "ord", single: bool = False) -> None:
@@ -43,9 +44,7 @@ def write_csv(df: DataFrame, path: str, order: str | None = None, single: bool =
 
 
 def write_text(path: str, text: str) -> None:
-    p = Path(path)
-    p.parent.mkdir(parents=True, exist_ok=True)
-    p.write_text(text, encoding="utf-8")
+    Place(path).write_text(text)
 
 
 def list_pieces(items: Iterable[str]) -> Iterator[str]:
@@ -58,8 +57,4 @@ def list_pieces(items: Iterable[str]) -> Iterator[str]:
 
 def write_pieces(pieces: Iterable[str], path: str) -> None:
     """One file out of pieces that are never in memory together."""
-    p = Path(path)
-    p.parent.mkdir(parents=True, exist_ok=True)
-    with p.open("w", encoding="utf-8") as f:
-        f.writelines(pieces)
-        f.write("\n")
+    Place(path).write(chain(pieces, ["\n"]))

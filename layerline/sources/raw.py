@@ -8,11 +8,12 @@ from __future__ import annotations
 import hashlib
 import json
 from datetime import UTC, datetime
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .files import Place
+
 FETCH = (
     "source_id string, publication string, url string, configured_ref string, resolved_commit string, retrieved_at string, http_status int, content_type string, sha256 string, "
     "family_id string, family_slug string"
@@ -23,44 +24,50 @@ def now_text() -> str:
     return datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
 
 
-def snapshot_folder(root: str, source_id: str, day: str, part: str | None = None) -> Path:
-    base = Path(root) / "raw" / source_id / day
+def snapshot_folder(root: str, source_id: str, day: str, part: str | None = None) -> Place:
+    base = Place(root) / "raw" / source_id / day
     return base / part if part else base
 
 
-def latest_snapshot(root: str, source_id: str) -> Path | None:
+def snapshot_days(root: str, source_id: str) -> list[Place]:
+    """The dated folders of a source, oldest first."""
+    return (Place(root) / "raw" / source_id).folders()
+
+
+def latest_snapshot(root: str, source_id: str) -> Place | None:
     """The greatest dated folder of a source, or None."""
-    base = Path(root) / "raw" / source_id
-    days = [p for p in base.iterdir() if p.is_dir()] if base.is_dir() else []
-    return max(days, key=lambda p: p.name, default=None)
+    days = snapshot_days(root, source_id)
+    return days[-1] if days else None
+
 
+def read_fetch_meta(folder: Place) -> dict:
+    return json.loads((folder / "fetch.json").read_text())
 
-def read_fetch_meta(folder: Path) -> dict:
-    return json.loads((Path(folder) / "fetch.json").read_text(encoding="utf-8"))
 
+# The members of fetch.json that come first, in order.
+FETCH_ORDER = ("source_id", "publication", "url", "configured_ref", "resolved_commit", "retrieved_at", "http_status", "content_type")
 
-def write_snapshot(root: str, source_id: str, content: bytes, filename: str, meta: dict, day: str, part: str | None = None, headers: dict | None = None) -> Path:
+
+def write_snapshot(root: str, source_id: str, content: bytes, filename: str, meta: dict, day: str, part: str | None = None, headers: dict | None = None) -> Place:
     """Content and provenance in one folder; a rerun on the same day replaces it."""
-    folder = snapshot_folder(root, source_id, day, part)
-    folder.mkdir(parents=True, exist_ok=True)
     digest = hashlib.sha256(content).hexdigest()
-    (folder / filename).write_bytes(content)
-    (folder / "sha256.txt").write_text(f"{digest}  {filename}\n", encoding="utf-8")
-    ordered = ("source_id", "publication", "url", "configured_ref", "resolved_commit", "retrieved_at", "http_status", "content_type")
-    doc = {k: meta.get(k) for k in ordered} | {"source_id": source_id, "sha256": digest} | {k: v for k, v in meta.items() if k not in ordered}
-    (folder / "fetch.json").write_text(json.dumps(doc, indent=2, ensure_ascii=False) + "\n", encoding="utf-8")
+    known = {"source_id": source_id} | {k: v for k, v in meta.items() if k != "source_id"}
+    provenance = {k: known.pop(k, None) for k in FETCH_ORDER} | {"sha256": digest} | known
+    files = {filename: content, "sha256.txt": f"{digest}  {filename}\n", "fetch.json": json.dumps(provenance, indent=2, ensure_ascii=False) + "\n"}
     if headers is not None:
-        (folder / "headers.json").write_text(json.dumps(headers, indent=2, sort_keys=True) + "\n", encoding="utf-8")
+        files["headers.json"] = json.dumps(headers, indent=2, sort_keys=True) + "\n"
+    folder = snapshot_folder(root, source_id, day, part)
+    for name, body in files.items():
+        (folder / name).write([body])
     return folder
 
 
 def conditional_headers(root: str, source_id: str, part: str | None = None) -> dict[str, str]:
     """Validators of the latest snapshot that has any, for a conditional request."""
-    base = Path(root) / "raw" / source_id
-    for day in sorted((p for p in base.iterdir() if p.is_dir()), reverse=True) if base.is_dir() else ():
+    for day in reversed(snapshot_days(root, source_id)):
         file = (day / part if part else day) / "headers.json"
         if file.exists():
-            had = {k.lower(): v for k, v in json.loads(file.read_text(encoding="utf-8")).items()}
+            had = {k.lower(): v for k, v in json.loads(file.read_text()).items()}
             pairs = (("If-None-Match", had.get("etag")), ("If-Modified-Since", had.get("last-modified")))
             return {k: v for k, v in pairs if v}
     return {}

@@ -52,7 +52,8 @@ def run(spark, args: argparse.Namespace) -> tuple[int, str]:
         case "reconcile":
             return 0, text(pipeline.run_reconciliation(spark, c, args.family))
         case "parse-profile":
-            return 0, text({"unresolved": pipeline.parse_profile(spark, c)})
+            lost = pipeline.parse_profile(spark, c)
+            return 0, text({"unresolved": [r["control_id"] for r in lost.orderBy("ord").toLocalIterator()]})
         case "validate":
             found = pipeline.validate_all(spark, c)
             total = validate.summary(found).first().asDict()
@@ -66,8 +67,8 @@ def run(spark, args: argparse.Namespace) -> tuple[int, str]:
                 fetch.fetch_all(spark, known, c.root, c.run_at[:10], force=args.force_fetch, ref=args.baseline_ref, strict=args.strict)
             return 0, text(pipeline.build(spark, c, args.allow_newer))
         case "diff":
-            report = pipeline.diff_roots(spark, *args.what)
-            return 0, text(report) if args.json else builds.diff_markdown(report)
+            report, changes = pipeline.diff_roots(spark, *args.what)
+            return 0, "".join((builds.diff_json if args.json else builds.diff_markdown)(report, changes))
         case "show":
             return 0, pipeline.show(spark, c, args.what[0], args.upstream)
         case "render-embeddings":

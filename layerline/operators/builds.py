@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+from itertools import groupby
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,20 +53,41 @@ def diff_sources(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def diff_report(changes: DataFrame, sources: DataFrame | None = None) -> dict:
-    """The kinds of change with their sorted ids, and the changed sources."""
-    out: dict = {"source_changes": {}}
-    if sources is not None:
-        out["source_changes"] = {r["source_id"]: {"old": r["old"] and r["old"].asDict(True), "new": r["new"] and r["new"].asDict(True)} for r in sources.collect()}
-    out |= {k: [] for k in KINDS}
-    for r in changes.orderBy("change", "id").toLocalIterator():
-        out[r["change"]].append(r["id"])
-    return out
-
-
-def diff_markdown(report: dict) -> str:
-    lines = ["# Build differences", "", "## Sources", ""]
-    lines += [f"- {s}: {x['old']} -> {x['new']}" for s, x in sorted(report["source_changes"].items())] or ["None."]
+    """The number of records of each kind of change, and the changed sources (a handful). The records themselves stay a table."""
+    counts = {r["change"]: r["n"] for r in changes.groupBy("change").agg(F.count("*").alias("n")).collect()}
+    changed = sources.collect() if sources is not None else []
+    plain = lambda x: x and x.asDict(True)
+    return {"source_changes": {r["source_id"]: {"old": plain(r["old"]), "new": plain(r["new"])} for r in changed}, "counts": {k: counts.get(k, 0) for k in KINDS}}
+
+
+def _by_kind(changes: DataFrame) -> Iterator[tuple[str, Iterator[str]]]:
+    """(kind, its ids in order) of every kind, streamed in one pass."""
+    place = F.array_position(F.array(*map(F.lit, KINDS)), F.col("change"))
+    rows = groupby(changes.orderBy(place, "id").select("change", "id").toLocalIterator(), lambda r: r["change"])
+    held = next(rows, None)
     for kind in KINDS:
-        lines += ["", f"## {kind.replace('_', ' ').capitalize()} ({len(report[kind])})", ""]
-        lines += [f"- {i}" for i in report[kind]] or ["None."]
-    return "\n".join(lines) + "\n"
+        if held is not None and held[0] == kind:
+            yield kind, (r["id"] for r in held[1])
+            held = next(rows, None)
+        else:
+            yield kind, iter(())
+
+
+def diff_json(report: dict, changes: DataFrame) -> Iterator[str]:
+    """The report with the ids of every kind as the pieces of one JSON document."""
+    yield '{"source_changes": ' + json.dumps(report["source_changes"], ensure_ascii=False, default=str)
+    for kind, ids in _by_kind(changes):
+        yield f',\n"{kind}": ['
+        for n, i in enumerate(ids):
+            yield (", " if n else "") + json.dumps(i, ensure_ascii=False)
+        yield "]"
+    yield "}"
+
+
+def diff_markdown(report: dict, changes: DataFrame) -> Iterator[str]:
+    yield "\n".join(["# Build differences", "", "## Sources", ""] + ([f"- {s}: {x['old']} -> {x['new']}" for s, x in sorted(report["source_changes"].items())] or ["None."])) + "\n"
+    for kind, ids in _by_kind(changes):
+        n = report["counts"][kind]
+        yield f"\n## {kind.replace('_', ' ').capitalize()} ({n})\n\n" + ("" if n else "None.\n")
+        for i in ids:
+            yield f"- {i}\n"

@@ -7,6 +7,9 @@ size allows. Records that are specific to the overlay never match, by a join key
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -170,21 +173,37 @@ def check_strict(classified: DataFrame) -> None:
         raise ReconciliationError(f"baseline id {doubled[0]['nist_oscal_id']} is mapped by several records")
 
 
+def unresolved_ids(catalogue: DataFrame) -> DataFrame:
+    """id, ord of the records that need review."""
+    return catalogue.where("reconciliation_status = 'unresolved'").select("id", "ord")
+
+
 def report(catalogue: DataFrame, reconciliation: DataFrame) -> dict:
-    """counts, total_records, field_change_counts, unresolved_ids: small aggregates, and the ids that need review."""
-    unresolved = catalogue.where("reconciliation_status = 'unresolved'").select("id", "ord").orderBy("ord")
+    """counts, total_records, field_change_counts: small aggregates. The records that need review stay a table (``unresolved_ids``)."""
     counts = {r[0]: r[1] for r in status_counts(catalogue).collect()}
     return {
         "counts": dict(sorted(counts.items())),
         "total_records": sum(counts.values()),
         "field_change_counts": dict(sorted((r[0], r[1]) for r in field_change_counts(reconciliation).collect())),
-        "unresolved_ids": [r["id"] for r in unresolved.toLocalIterator()],
     }
 
 
-def report_markdown(r: dict) -> str:
+def _streamed(unresolved: DataFrame) -> Iterator[str]:
+    return (r["id"] for r in unresolved.orderBy("ord").toLocalIterator())
+
+
+def report_json(r: dict, unresolved: DataFrame) -> Iterator[str]:
+    """The report with the ids that need review, as the pieces of one JSON document."""
+    yield json.dumps(r, indent=2, ensure_ascii=False)[:-2] + ',\n  "unresolved_ids": ['
+    for n, i in enumerate(_streamed(unresolved)):
+        yield (", " if n else "") + json.dumps(i, ensure_ascii=False)
+    yield "]\n}"
+
+
+def report_markdown(r: dict, unresolved: DataFrame) -> Iterator[str]:
     lines = ["# Reconciliation report", "", f"Total records: {r['total_records']}", "", "## Status counts", ""]
     lines += [f"- {k}: {v}" for k, v in sorted(r["counts"].items())]
     lines += ["", "## Changed fields", ""] + [f"- {k}: {v}" for k, v in sorted(r["field_change_counts"].items())]
-    lines += ["", "## Unresolved", ""] + [f"- {i}" for i in r["unresolved_ids"]]
-    return "\n".join(lines) + "\n"
+    yield "\n".join([*lines, "", "## Unresolved", "", ""])
+    for i in _streamed(unresolved):
+        yield f"- {i}\n"

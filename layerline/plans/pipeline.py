@@ -121,13 +121,15 @@ def run_reconciliation(spark: SparkSession, c: Config, family: str | None = None
     jsonl.write_jsonl(reconcile.reconciliation_of(classified), c.at("output/reconciliation/records.jsonl"))
     Place(c.at("normalized/catalogue")).remove()  # memberships of an earlier reconciliation
     report = reconcile.report(layer(spark, c, "reconciled"), layer(spark, c, "reconciliation"))
-    jsonl.write_text(c.at("output/reconciliation/report.json"), json.dumps(report, indent=2, ensure_ascii=False) + "\n")
-    jsonl.write_text(c.at("output/reconciliation/report.md"), reconcile.report_markdown(report))
+    unresolved = reconcile.unresolved_ids(layer(spark, c, "reconciled"))
+    jsonl.write_jsonl(unresolved, c.at("output/reconciliation/unresolved.jsonl"))
+    jsonl.write_pieces(reconcile.report_json(report, unresolved), c.at("output/reconciliation/report.json"))
+    jsonl.write_pieces(reconcile.report_markdown(report, unresolved), c.at("output/reconciliation/report.md"))
     return report
 
 
-def parse_profile(spark: SparkSession, c: Config) -> list[str]:
-    """Writes the profile and a new catalogue layer with memberships; gives the controls without a record."""
+def parse_profile(spark: SparkSession, c: Config) -> DataFrame:
+    """Writes the profile and a new catalogue layer with memberships; gives control_id, ord of the rows without a record."""
     folder = raw.latest_snapshot(c.root, c.profile_source)
     if folder is None:
         raise ProfileJoinError("no profile snapshot")
@@ -145,7 +147,7 @@ def parse_profile(spark: SparkSession, c: Config) -> list[str]:
     items = once.orderBy("ord").select(F.to_json(F.struct(*once.columns), {"ignoreNullFields": "false"}).alias("json")).toLocalIterator()
     jsonl.write_pieces(jsonl.list_pieces(r["json"] for r in items), c.at(f"output/profiles/{c.profile_id}.json"))
     jsonl.write_jsonl(joined, c.at("normalized/catalogue/catalogue.jsonl"))
-    return [r["control_id"] for r in lost.select("control_id", "ord").orderBy("ord").toLocalIterator()]
+    return lost.select("control_id", "ord")
 
 
 def import_workbook(spark: SparkSession, c: Config, path: str) -> tuple[DataFrame, DataFrame]:
@@ -224,13 +226,14 @@ def read_manifest(root: str) -> dict:
     return json.loads(path.read_text()) if path.exists() else {}
 
 
-def diff_roots(spark: SparkSession, old: str, new: str, profile_id: str = "medium") -> dict:
-    """The differences between the builds below two data roots."""
+def diff_roots(spark: SparkSession, old: str, new: str, profile_id: str = "medium") -> tuple[dict, DataFrame]:
+    """The differences between the builds below two data roots: (report of counts and sources, the changed records)."""
     a, b = (current_catalogue(spark, Config(r, profile_id=profile_id)) for r in (old, new))
     kinds = "source_id string, entry struct<snapshot:string,resolved_commit:string,composite_hash:string>"
     entries = [[(k, (v["snapshot"], v["resolved_commit"], v["composite_hash"])) for k, v in read_manifest(r).get("sources", {}).items()] for r in (old, new)]
     sources = builds.diff_sources(*[spark.createDataFrame(e, kinds) for e in entries])
-    return builds.diff_report(builds.diff_builds(a, b, profile_id), sources)
+    changes = builds.diff_builds(a, b, profile_id)
+    return builds.diff_report(changes, sources), changes
 
 
 def build(spark: SparkSession, c: Config, allow_newer: bool = False) -> dict:

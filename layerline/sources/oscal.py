@@ -179,10 +179,10 @@ def import_metadata(docs: DataFrame, baseline: DataFrame) -> dict:
     }
 
 
-def inspect(docs: DataFrame, control_id: str) -> list[str]:
-    """The raw JSON of every control with an id, at any depth."""
+def inspect(docs: DataFrame, control_id: str) -> DataFrame:
+    """doc_id, json: the raw JSON of every control with an id, at any depth."""
     found = document_nodes(docs).where((F.col("node_kind") == "control") & (_get("id") == control_id))
-    return [r[0] for r in found.select(F.to_json("v")).collect()]
+    return found.select("doc_id", F.to_json("v").alias("json"))
 
 
 def parts_named(docs: DataFrame, name: str) -> DataFrame:

@@ -85,6 +85,8 @@ def test_reconciliation(spark, built):
     assert rec["AC-01"]["canada_only_fields"] == ["gc_discussion"] and rec["SA-400"]["canada_only_fields"] == ["title", "statement_text", "discussion", "related"]
     assert rec["AC-12"]["review_required"] and rec["AC-12"]["field_diffs"] == []
     assert {d["field"]: d["detail"] for d in rec["AC-01"]["field_diffs"]}["related"] == "nist_only=[] canada_only=['AC-02(01)']"
+    report = json.loads(Path(c.at("output/reconciliation/report.json")).read_text())
+    assert report["unresolved_ids"] == ["AC-12"] and report["total_records"] == 9 and "- AC-12\n" in Path(c.at("output/reconciliation/report.md")).read_text()
     assert m["record_counts"]["total_records"] == 9 and m["record_counts"]["withdrawn"] == 1 and m["record_counts"]["unresolved"] == 1
     assert m["record_counts"]["edges"] == pipeline.layer(spark, c, "edges").count() and set(m["sources"]) == {"base", "over", "prof"}
 
@@ -105,7 +107,7 @@ def test_profile(spark, built):
     assert prof["AC-25"]["selected_raw"] == "Not allocated to baseline." and prof["SA-08"]["suggested_placeholder_values_raw"] == "10 days"
     cat = by_id(pipeline.current_catalogue(spark, c))
     assert cat["AC-01"]["profile_memberships"] == {"medium": True} and cat["AC-02(01)"]["profile_memberships"] == {"medium": False} and cat["AC-12"]["profile_memberships"] == {}
-    assert pipeline.parse_profile(spark, c) == ["AC-25"]
+    assert [r.control_id for r in pipeline.parse_profile(spark, c).collect()] == ["AC-25"]
 
 
 def test_validation(spark, built):
@@ -171,14 +173,16 @@ def test_views(spark, built):
 
 def test_diff(spark, built, tmp_path):
     c, _ = built
-    same = pipeline.diff_roots(spark, c.root, c.root)
-    assert same["source_changes"] == {} and not any(same[k] for k in builds.KINDS)
+    same, none = pipeline.diff_roots(spark, c.root, c.root)
+    assert same["source_changes"] == {} and not any(same["counts"].values()) and none.count() == 0
     other = make_root(tmp_path, access=lambda b: b.replace(b"Keep accounts.", b"Keep all accounts.").replace(b"3.1-AC-12", b"3.1-AC-19").replace(b"AC-12 Session", b"AC-19 Session"))
     pipeline.build(spark, other)
-    report = pipeline.diff_roots(spark, c.root, other.root)
+    counted, changes = pipeline.diff_roots(spark, c.root, other.root)
+    report = json.loads("".join(builds.diff_json(counted, changes)))
+    assert counted["counts"] == {k: len(report[k]) for k in builds.KINDS}
     assert report["authoritative_text_changed"] == ["AC-02"] and report["added_records"] == ["AC-19"] and report["removed_records"] == ["AC-12"]
-    assert set(report["source_changes"]) == {"over"} and "AC-19" in builds.diff_markdown(report)
-    back = pipeline.diff_roots(spark, other.root, c.root)
+    assert set(report["source_changes"]) == {"over"} and "## Added records (1)\n\n- AC-19\n" in "".join(builds.diff_markdown(counted, changes))
+    back = json.loads("".join(builds.diff_json(*pipeline.diff_roots(spark, other.root, c.root))))
     assert back["added_records"] == report["removed_records"] and back["removed_records"] == report["added_records"]
 
 

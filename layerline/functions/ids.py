@@ -124,5 +124,8 @@ def id_of_key(key: Column) -> Column:
 
 
 def canonical_reference(c: Column) -> Column:
-    """A reference in any spelling -> canonical id; what does not read as an id -> null."""
-    return id_of_key(integer_key(c))
+    """A reference in any spelling -> canonical id; what does not read as an id -> null.
+
+    The key is bound once, in a one-element transform: written out at each of its uses it would outgrow a compiled method.
+    """
+    return F.get(F.transform(F.array(integer_key(c)), id_of_key), F.lit(0))

@@ -13,7 +13,7 @@ def register(spark: SparkSession) -> list[str]:
     related_ids, text_kind and field_kind as temporary SQL functions; gives their names."""
     one = {
         "canon_id": (ids.any_from_oscal, "string"),
-        "canon_reference": (ids.canonical_reference, "string"),
+        "canon_reference": (lambda c: ids.id_of_key(ids.integer_key(c)), "string"),
         "canon_key": (ids.integer_key, "bigint"),
         "synthetic_oscal_id": (ids.synthetic_oscal, "string"),
         "is_specific_id": (ids.is_specific, "boolean"),

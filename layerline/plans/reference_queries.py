@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import diffing, ids, text
+from ..functions import diffing, ids, register, text
 from ..operators import builds, graph, keyed, manifest, profile, reconcile, render, validate
 from ..session import read_table
 from ..schemas import ENHANCEMENT, ODP, OVERLAY
@@ -38,9 +38,8 @@ def classified(spark, base: str) -> DataFrame:
 
 def profile_table(spark, base: str) -> DataFrame:
     rows = keyed.last_wins(read_table(spark, base, "profile_records"), ["profile_key"], "loaded_at")
-    # The key in one projection, the id in the next: one expression of both is too large to compile.
-    keyed_rows = rows.withColumn("control_key", ids.integer_key(F.col("control_id"))).where("control_key is not null")
-    return keyed_rows.withColumn("control_id", ids.id_of_key(F.col("control_key"))).drop("control_key").withColumn("ord", F.col("profile_key"))
+    rows = rows.withColumn("control_id", ids.canonical_reference(F.col("control_id"))).where("control_id is not null")
+    return rows.withColumn("ord", F.col("profile_key"))
 
 
 def overlay_table(spark, base: str) -> DataFrame:
@@ -241,6 +240,38 @@ def validation_findings(spark, base):
     return found.groupBy("check_id", "severity").agg(F.count("*").alias("findings"), F.countDistinct("record_id").alias("ids"))
 
 
+def validation_summary(spark, base):
+    """Errors, warnings and the verdict of the row rules, strict and lenient."""
+    found = validate.row_findings(_with_sources(classified(spark, base)), validate.catalogue_row_rules())
+    one = lambda strict: validate.summary(validate.severity(found, strict)).withColumn("strict", F.lit(strict))
+    return one(True).unionByName(one(False))
+
+
+def unresolved_records(spark, base):
+    return reconcile.unresolved_ids(classified(spark, base))
+
+
+def family_reconciliation(spark, base):
+    """Only one family of the overlay is reconciled."""
+    return reconcile.status_counts(reconcile.reconcile(overlay_table(spark, base), baseline(spark, base), "AG"))
+
+
+def source_changes(spark, base):
+    """Two manifests of sources: all of them, and the enabled ones with some titles changed."""
+    r = read_table(spark, base, "source_registry")
+    one = lambda d, title: d.groupBy(F.col("publication").alias("source_id")).agg(F.struct(F.min(title).alias("title"), F.count("*").alias("n")).alias("entry"))
+    out = builds.diff_sources(one(r, "title"), one(registry.enabled_rows(r), F.when(F.col("source_type") == "lifecycle", F.upper("title")).otherwise(F.col("title"))))
+    return out.select("source_id", "old.title", F.col("new.title").alias("new_title"), F.col("old.n").alias("old_n"), F.col("new.n").alias("new_n"))
+
+
+def sql_functions(spark, base):
+    """The library's functions from SQL."""
+    register.register(spark)
+    read_table(spark, base, "catalogue_records").select("record_key", "id", "name", "statement_text").distinct().createOrReplaceTempView("layerline_records")
+    return spark.sql("""select record_key, id, canon_reference(lower(id)) canonical, synthetic_oscal_id(id) oscal_id, is_specific_id(id) is_specific, sha2(compare_normalize(coalesce(statement_text, '')), 256) norm_hash,
+        collapse_ws(name) name, text_kind(coalesce(name, ''), concat('(a) ', coalesce(name, ''))) kind, field_kind(null, name) one_sided from layerline_records""")
+
+
 def _with_sources(rows):
     return rows.withColumn("sources", F.struct(F.col("n.source").alias("nist"), F.when(F.col("source_url").isNotNull(), F.struct(F.col("source_url").alias("url"), F.col("content_hash").alias("source_sha256"))).alias("canada")))
 
@@ -336,6 +367,13 @@ def _view(view):
     return query
 
 
+def embedding_view_profile(spark, base):
+    """The full view with the notes of profile rows: the last row of an id counts."""
+    notes = profile_table(spark, base).withColumns({"profile_specific_notes": F.nullif("profile_specific_notes", F.lit(""))})
+    rows = render.embeddings(_with_sources(classified(spark, base)), "full", notes)
+    return rows.select("record_id", F.sha2("text", 256).alias("text_hash"), "source_url")
+
+
 def flat_controls(spark, base):
     rows = classified(spark, base)
     flat = render.flat_controls(rows)
@@ -380,13 +418,30 @@ def enabled_sources(spark, base):
     return registry.enabled_rows(read_table(spark, base, "source_registry")).select("publication", "title", "source_type")
 
 
-def baseline_import(spark, base):
-    """Every valid raw control wrapped as a document of one group, through the importer's walk."""
-    raw = read_table(spark, base, "oscal_raw")
-    good = raw.where(F.try_parse_json("raw_json").isNotNull()).groupBy("raw_id").agg(F.max_by("raw_json", "received_at").alias("raw_json"))
+def _documents(spark, base):
+    """Every valid raw control wrapped as a document of one group."""
+    good = read_table(spark, base, "oscal_raw").where(F.try_parse_json("raw_json").isNotNull()).groupBy("raw_id").agg(F.max_by("raw_json", "received_at").alias("raw_json"))
     head, tail = '{"catalog":{"metadata":{"title":"t","version":"1","oscal-version":"1.0.0"},"groups":[{"id":"xx","title":"T","controls":[', "]}]}}"
-    docs = good.select(F.col("raw_id").alias("doc_id"), F.concat(F.lit(head), "raw_json", F.lit(tail)).alias("json"), F.sha2("raw_json", 256).alias("source_sha256"))
-    return oscal.baseline_records(docs).select("upstream_id", "parent_upstream_id", "odp_count", "unmapped_parts", F.size("child_control_ids").cast("long").alias("children"), "source.source_sha256",
+    return good.select(F.col("raw_id").alias("doc_id"), F.concat(F.lit(head), "raw_json", F.lit(tail)).alias("json"), F.sha2("raw_json", 256).alias("source_sha256"))
+
+
+def baseline_families(spark, base):
+    """The groups of the documents with the controls right in them."""
+    return oscal.family_rows(_documents(spark, base)).select("id", "title", "oscal_group_id", _joined("control_ids").alias("control_ids"))
+
+
+def baseline_parts(spark, base):
+    """The guidance right in every control, at any depth."""
+    return oscal.parts_named(_documents(spark, base), "guidance").select("control_id", "part_id", F.sha2(F.coalesce("prose", F.lit("")), 256).alias("prose_hash"))
+
+
+def baseline_metadata(spark, base):
+    return oscal.document_metadata(_documents(spark, base)).groupBy("title", "metadata_version", "oscal_version", "readable").agg(F.count("*").alias("documents"))
+
+
+def baseline_import(spark, base):
+    """The documents through the importer's walk."""
+    return oscal.baseline_records(_documents(spark, base)).select("upstream_id", "parent_upstream_id", "odp_count", "unmapped_parts", F.size("child_control_ids").cast("long").alias("children"), "source.source_sha256", _joined("related").alias("related"),
         F.sha2("statement_text", 256).alias("statement_hash"), F.sha2(F.coalesce("discussion", F.lit("")), 256).alias("discussion_hash"), F.coalesce(F.try_variant_get("params", "$[0].id", "string"), F.lit("")).alias("first_param"))
 
 
@@ -471,7 +526,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         reconcile_status_counts, reconcile_records, catalogue_construction, reconciliation_rows, validation_seeded, validation_across, validation_lines, record_hash, derived_controls, derived_profile, overlay_enhancements,
-        profile_table_rows, page_contents, field_change_counts, normalize_text, canonical_ids, parse_ids, references_resolved, specific_threshold, flatten_base_enhancement, edges_by_lineage,
+        profile_table_rows, page_contents, baseline_families, baseline_parts, baseline_metadata, validation_summary, unresolved_records, family_reconciliation, source_changes, sql_functions, embedding_view_profile, field_change_counts, normalize_text, canonical_ids, parse_ids, references_resolved, specific_threshold, flatten_base_enhancement, edges_by_lineage,
         hierarchy_edges, hierarchy_paths, flatten_statement_text, carry_forward_sections, profile_first_wins, profile_conflicts, profile_kinds, profile_membership_join, profile_unresolved, build_diff_rows,
         build_diff_summary, source_set_difference, full_outer_compare, duplicate_ids, duplicate_mapping, validation_findings, validation_schema, manifest_counts, composite_hash, family_summary, nested_export,
         flat_controls, odp_extraction, related_in_text, bracket_balance, related_set_equality, json_props, latest_snapshot, point_lookup, enabled_sources, baseline_import, overlay_parse, html_links, html_headings,
@@ -539,6 +594,7 @@ _DISC, _GC = f"'Discussion:' || chr(10) || {_NONE('discussion')}", f"'Government
 _REL = "'Related controls and activities:' || chr(10) || " + _NONE("array_to_string(related, ', ')")
 _PART = f"""concat_ws(chr(10), 'Medium-impact profile:', 'Selected: ' || case when profile_memberships['medium'] is null then 'not assessed' when profile_memberships['medium'] then 'yes' else 'no' end,
   'Suggested enhancements: ' || {_NONE("array_to_string(enhancement_ids, ', ')")}, 'Suggested placeholder values: None.', 'Profile-specific notes: None.')"""
+_PART_NOTED = _PART.replace("'Suggested placeholder values: None.'", "'Suggested placeholder values: ' || coalesce(nullif(ph, ''), 'None.')").replace("'Profile-specific notes: None.'", "'Profile-specific notes: ' || coalesce(nullif(nt, ''), 'None.')")
 _VIEWS = {
     "requirement_only": [_HEADER, _REQ, _ODPS],
     "requirement_plus_discussion": [_HEADER, _REQ, _ODPS, _DISC, _GC],
@@ -719,17 +775,36 @@ ORACLE = {
       k as (select raw_id, owner, count(*) filter (node_kind = 'param' and contains(j->>'id', '_odp.')) odps,
         coalesce(min(j->>'id') filter (node_kind = 'param' and node_path = owner || '/params/0'), '') first_param,
         count(*) filter (node_kind = 'part' and coalesce(j->>'name', '') not in ('statement', 'item', 'guidance', 'assessment-objective', 'assessment-method', 'assessment-objects', 'objective', 'overview')) odd from own group by 1, 2),
+      link as (select raw_id, node_path, unnest(case json_type(j->'links') when 'ARRAY' then (j->'links')::json[] when 'OBJECT' then [j->'links'] else [] end) l from nodes where node_kind = 'control'),
+      rel as (select raw_id, node_path owner, string_agg(distinct t, ',' order by t) t from (select raw_id, node_path, {_any("substr(l->>'href', 2)")} t from link where l->>'rel' = 'related' and starts_with(l->>'href', '#')) where t is not null group by 1, 2),
       part as (select *, j->>'name' "name", j->>'prose' prose, coalesce(j->>'id', '') pid, {_PADDED} ordr, node_path not like owner || '/%/parts/%' as direct from own where node_kind = 'part'),
       lines as (select p.raw_id, p.owner, p.ordr, case when p."name" = 'item' and split_part(p.pid, '_smt.', -1) <> '' then '(' || split_part(p.pid, '_smt.', -1) || ') ' || p.prose else p.prose end t from part p
         where coalesce(p.prose, '') <> '' and ((p."name" = 'statement' and p.direct) or (p."name" = 'item' and exists (select 1 from part r where r.raw_id = p.raw_id and r.owner = p.owner and r.direct and r."name" = 'statement' and starts_with(p.node_path, r.node_path || '/'))))),
       smt as (select raw_id, owner, string_agg(t, chr(10) order by ordr) t from lines group by 1, 2),
       dis as (select raw_id, owner, string_agg(prose, chr(10) || chr(10) order by ordr) t from part where direct and "name" = 'guidance' and coalesce(prose, '') <> '' group by 1, 2)
       select c.cid upstream_id, p.cid parent_upstream_id, coalesce(k.odps, 0) odp_count, coalesce(k.odd, 0) unmapped_parts,
-        (select count(*) from c x where x.raw_id = c.raw_id and x.parent_path = c.node_path) children, h.sha source_sha256,
+        (select count(*) from c x where x.raw_id = c.raw_id and x.parent_path = c.node_path) children, h.sha source_sha256, coalesce(rel.t, '') related,
         sha256(coalesce(smt.t, '')) statement_hash, sha256(coalesce(dis.t, '')) discussion_hash, coalesce(k.first_param, '') first_param
       from c left join c p on p.raw_id = c.raw_id and p.node_path = c.parent_path left join k on k.raw_id = c.raw_id and k.owner = c.node_path
+      left join rel on rel.raw_id = c.raw_id and rel.owner = c.node_path
       left join smt on smt.raw_id = c.raw_id and smt.owner = c.node_path left join dis on dis.raw_id = c.raw_id and dis.owner = c.node_path
       join (select raw_id, sha256(arg_max(raw_json, received_at)) sha from oscal_raw where json_valid(raw_json) group by 1) h on h.raw_id = c.raw_id""",
+    "baseline_families": "with recursive d as (select raw_id, arg_max(raw_json, received_at)::json j from oscal_raw where json_valid(raw_json) group by raw_id) select 'XX' id, 'T' title, 'xx' oscal_group_id, coalesce(case when json_type(j) = 'OBJECT' then j->>'id' end, '') control_ids from d",
+    "baseline_parts": NODES + """select c.j->>'id' control_id, n.j->>'id' part_id, sha256(coalesce(n.j->>'prose', '')) prose_hash from nodes n join nodes c on c.raw_id = n.raw_id and c.node_path = n.parent_path
+      where n.node_kind = 'part' and c.node_kind = 'control' and n.j->>'name' = 'guidance'""",
+    "baseline_metadata": "select 't' title, '1' metadata_version, '1.0.0' oscal_version, true readable, count(distinct raw_id) documents from oscal_raw where json_valid(raw_json)",
+    "validation_summary": f"""with v as ({_row_rules("select * from cl")}), s as (select unnest([true, false]) strict)
+      select coalesce(sum(findings) filter (severity = 'error' or (severity = 'strict' and strict)), 0)::bigint errors, coalesce(sum(findings) filter (severity = 'warning' or (severity = 'strict' and not strict)), 0)::bigint warnings,
+        coalesce(sum(findings) filter (severity = 'error' or (severity = 'strict' and strict)), 0) = 0 passed, strict from s left join v on true group by strict""",
+    "unresolved_records": f"with {_CLASSIFIED} select id, record_key ord from cl where new_status = 'unresolved'",
+    "family_reconciliation": f"with {_FLAT_CLASSIFIED} select new_status reconciliation_status, count(*) records from cl where family_id = 'AG' group by 1",
+    "source_changes": """with o as (select publication, min(title) t, count(*) n from source_registry group by 1),
+      e as (select publication, min(case when source_type = 'lifecycle' then upper(title) else title end) t, count(*) n from source_registry where enabled group by 1)
+      select publication source_id, o.t title, e.t new_title, o.n old_n, e.n new_n from o full join e using (publication) where o.t is distinct from e.t or o.n is distinct from e.n""",
+    "sql_functions": f"""select distinct record_key, id, {canon('id')} canonical, regexp_replace(lower(id), '\\((\\d+)\\)', '.\\1') oscal_id, coalesce(nullif(regexp_extract(id, '{_CANON_RE}', 3), ''), regexp_extract(id, '{_CANON_RE}', 2))::int >= 400 is_specific,
+      sha256({normalized('statement_text')}) norm_hash, {_collapse('"name"')} "name", {_kind("coalesce(name, '')", "('(a) ' || coalesce(name, ''))")} kind, case when "name" is null then 'same' else 'canada_only' end one_sided from catalogue_records""",
+    "embedding_view_profile": f"""with {_CLASSIFIED}, {PROF}, note as (select control_id, arg_max(coalesce(suggested_placeholder_values_raw, ''), profile_key) ph, arg_max(coalesce(profile_specific_notes, ''), profile_key) nt from prof group by 1)
+      select id record_id, sha256(concat_ws(chr(10) || chr(10), {', '.join([*_VIEWS["full"][:-1], _PART_NOTED])})) text_hash, source_url from cl left join note on note.control_id = cl.id""",
     "overlay_parse": f"""select control_id id, case when contains(control_id, '(') then control_id || ' ' else '' end || 'Title of it' "name", 'control' requirement_kind, '(a) Keep ' || doc_id || chr(10) || '(a.1) and log' statement_text,
       sha256({_collapse("coalesce(text, '')")}) discussion_hash, 0::bigint related, 2::bigint as "references", '/d/' || doc_id || '/' first_url, 'Work ' || doc_id first_title from (select * replace (coalesce(control_id, 'XX-01') as control_id) from documents)""",
     "html_links": "select doc_id page, '/d/' || doc_id || '/' href, doc_id::varchar slug, 'Work ' || doc_id \"text\" from documents",

@@ -248,7 +248,9 @@ def validation_summary(spark, base):
 
 
 def unresolved_records(spark, base):
-    return reconcile.unresolved_ids(classified(spark, base))
+    """What needs review if the baseline lacks a family."""
+    rows = catalogue(spark, base).drop("origin", "reconciliation_status")
+    return reconcile.unresolved_ids(reconcile.classify(reconcile.match(rows, baseline(spark, base).where("family_id <> 'AG'"))))
 
 
 def family_reconciliation(spark, base):
@@ -796,7 +798,7 @@ ORACLE = {
     "validation_summary": f"""with v as ({_row_rules("select * from cl")}), s as (select unnest([true, false]) strict)
       select coalesce(sum(findings) filter (severity = 'error' or (severity = 'strict' and strict)), 0)::bigint errors, coalesce(sum(findings) filter (severity = 'warning' or (severity = 'strict' and not strict)), 0)::bigint warnings,
         coalesce(sum(findings) filter (severity = 'error' or (severity = 'strict' and strict)), 0) = 0 passed, strict from s left join v on true group by strict""",
-    "unresolved_records": f"with {_CLASSIFIED} select id, record_key ord from cl where new_status = 'unresolved'",
+    "unresolved_records": f"with {_CLASSIFIED.replace('from nist_records', "from nist_records where family_id <> 'AG'", 1)} select id, record_key ord from cl where new_status = 'unresolved'",
     "family_reconciliation": f"with {_FLAT_CLASSIFIED} select new_status reconciliation_status, count(*) records from cl where family_id = 'AG' group by 1",
     "source_changes": """with o as (select publication, min(title) t, count(*) n from source_registry group by 1),
       e as (select publication, min(case when source_type = 'lifecycle' then upper(title) else title end) t, count(*) n from source_registry where enabled group by 1)

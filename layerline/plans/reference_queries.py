@@ -384,7 +384,7 @@ def flat_controls(spark, base):
 
 def odp_extraction(spark, base):
     rows = catalogue(spark, base).where("statement_text is not null").select("record_key", F.inline(text.odp_spans(F.col("statement_text"))))
-    return rows.select("record_key", "ordinal", "operation", "raw", F.size("options").cast("long").alias("options"), (F.col("stop") - F.col("start")).cast("long").alias("length"))
+    return rows.select("record_key", "ordinal", "operation", "raw", F.size("options").cast("long").alias("options"), F.col("start").cast("long").alias("start"), F.col("stop").cast("long").alias("stop"))
 
 
 def related_in_text(spark, base):
@@ -760,10 +760,11 @@ ORACLE = {
       case when is_canadian_specific is null then '' when is_canadian_specific then 'True' else 'False' end is_canadian_specific, case when is_withdrawn is null then '' when is_withdrawn then 'True' else 'False' end is_withdrawn,
       coalesce(nist_oscal_id, '') nist_oscal_id, coalesce(statement_text, '') statement_text, coalesce(discussion, '') discussion, coalesce(gc_discussion, '') gc_discussion, coalesce(to_json(related)::varchar, '') related,
       coalesce(to_json(enhancement_ids)::varchar, '') enhancement_ids, to_json(fields)::varchar canadian_delta_fields from cl where record_kind = 'base'""",
-    "odp_extraction": f"""with {CAT}, x as (select record_key, regexp_extract_all(statement_text, '{_ODP}') a from cat where statement_text is not null),
-      y as (select record_key, unnest(a) raw, unnest(range(1, (len(a) + 1)::bigint)) ordinal from x)
+    "odp_extraction": f"""with {CAT}, x as (select record_key, regexp_extract_all(statement_text, '{_ODP}') a, regexp_split_to_array(statement_text, '{_ODP}') b from cat where statement_text is not null),
+      y as (select record_key, unnest(a) raw, unnest(range(1, (len(a) + 1)::bigint)) ordinal, a, b from x),
+      z as (select *, (list_sum(list_transform(b[1:ordinal], lambda t: length(t))) + coalesce(list_sum(list_transform(a[1:ordinal - 1], lambda t: length(t))), 0))::bigint "start" from y)
       select record_key, ordinal, lower(regexp_extract(raw, '{_ODP}', 1)) operation, raw,
-        case when lower(regexp_extract(raw, '{_ODP}', 1)) = 'selection' then len(list_filter(string_split(regexp_extract(raw, '{_ODP}', 3), ';'), lambda o: {_strip('o')} <> '')) else 0 end::bigint options, length(raw) length from y""",
+        case when lower(regexp_extract(raw, '{_ODP}', 1)) = 'selection' then len(list_filter(string_split(regexp_extract(raw, '{_ODP}', 3), ';'), lambda o: {_strip('o')} <> '')) else 0 end::bigint options, "start", "start" + length(raw) stop from z""",
     "related_in_text": f"select doc_id, case when regexp_matches({_strip('text')}, '(?i)^none\\.?$') then '' else array_to_string(regexp_extract_all(text, '[A-Z]{{2}}-\\d{{2,3}}(?:\\(\\d{{2,3}}\\))?'), ',') end mentioned from documents where text is not null",
     "bracket_balance": f"with {CAT} select family_id, count(*) filter (length(replace(coalesce(statement_text, ''), '[', '')) = length(replace(coalesce(statement_text, ''), ']', ''))) balanced, count(*) records from cat group by 1",
     "related_set_equality": f"with {CAT}, {BASE} select record_key, {_as_set('b.related')} = {_as_set('c.related')} same from cat c join bas b on b.canonical_candidate_id = c.id",

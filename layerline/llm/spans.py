@@ -43,6 +43,7 @@ SPAN = 150
 GRAM = 50
 GROUP = 1024
 _AT_ONCE = 300_000
+_DOCS_AT_ONCE = 500
 _PLACES = "h long, doc_id long, place long"
 
 
@@ -68,6 +69,13 @@ def _blocks(batch: pa.RecordBatch, span: int) -> Iterator[tuple]:
             yield doc, x, pos, before, n, text[pos - before : pos - before + n + span - 1]
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Few documents at once: what is cut out of them is a few times their size."""
+    for b in batches:
+        for s in range(0, b.num_rows, _DOCS_AT_ONCE):
+            yield b.slice(s, _DOCS_AT_ONCE)
+
+
 def _name(block: str) -> bytes:
     return xxhash.xxh3_128_digest(block.encode("utf-8", "surrogatepass"))
 
@@ -89,7 +97,7 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 def _place_rows(span: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches):
             yield _batch([(x["h"], doc, pos, before, block) for doc, x, pos, before, _, block in _blocks(b, span)], _PLACE)
 
     return rows
@@ -97,7 +105,7 @@ def _place_rows(span: int):
 
 def _member_rows(span: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches):
             yield _batch([(_name(block), doc, pos - before) for doc, _, pos, before, _, block in _blocks(b, span)], _MEMBER)
 
     return rows

@@ -188,3 +188,27 @@ def test_jsonl(spark, tmp_path):
     assert lines == ['{"id":"a","t":"é","ord":1}', '{"id":"b","t":null,"ord":2}', '{"id":"b","t":"z","ord":3}']
     assert {(r.id, r.t) for r in jsonl.read_keyed(spark, p, "id string, t string, ord long").collect()} == {("a", "é"), ("b", "z")}
     assert jsonl.read_jsonl(spark, str(tmp_path / "none"), "id string", missing_ok=True).count() == 0 and jsonl.count_rows(spark, str(tmp_path / "none")) == 0
+
+
+def test_types_of_lines(spark):
+    from layerline.operators import validate
+
+    lines = ['{"id": "a", "n": 1, "ok": true, "tags": ["x"], "of": {"k": 1}}', '{"id": "b", "n": "1"}', '{"id": "c", "tags": "x"}', '{"id": "d", "of": []}', '{"id": "e", "n": null}', "[1]", "{broken", "  ", '{"id": 7}', '{"id": "f", "ok": "true", "n": 1.5}']
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    ddl = "id string, n bigint, ok boolean, tags array<string>, of struct<k:int>, m map<string,int>, share double"
+    got = sorted((r.record_id or "", r.message) for r in validate.validate_lines(df, ddl, "t", "id").collect())
+    assert got == sorted([("b", "t: n may not be string"), ("c", "t: tags may not be string"), ("d", "t: of may not be array"), ("", "t: the line is no JSON object"), ("", "t: the line is no JSON object"), ("7", "t: id may not be bigint"), ("f", "t: n may not be decimal")])
+    assert validate.validate_lines(df.limit(0), ddl, "t", "id").count() == 0
+
+
+def test_places(spark, tmp_path):
+    from layerline.sources.files import Place
+
+    p = Place(str(tmp_path)) / "a" / "b.txt"
+    assert not p.exists() and Place(str(tmp_path / "none")).folders() == []
+    p.write(["x" * 10, b"y", "é"] * 200_000)
+    assert p.exists() and p.read_text() == ("x" * 10 + "yé") * 200_000 and p.name == "b.txt" and p.parent.name == "a" and [f.name for f in Place(str(tmp_path)).folders()] == ["a"]
+    p.parent.copy_to(Place(str(tmp_path)) / "c")
+    assert (Place(str(tmp_path)) / "c" / "b.txt").read_bytes() == p.read_bytes()
+    p.parent.remove()
+    assert not p.exists()

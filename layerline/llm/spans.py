@@ -17,7 +17,7 @@ group; an error is less likely than 1e-15 in a corpus of 1e11 stretches.
 
 Scale: texts are shuffled once, by document, after exact copies are reduced to one representative by a hash (a combining
 aggregate, so a text that a third of all rows repeat is one row). Of all anchors only (hash, document, place) is shuffled, once,
-for the count and the choice of those that several documents hold; only their blocks are cut. The blocks of an anchor are
+for the streaming count and the join with the few that several documents hold; only their blocks are cut. The blocks of an anchor are
 compared in one task, sorted and streamed, as far as ``GROUP`` places hold it. Of anchors that more places hold (a phrase in a
 third of all documents) equal blocks are combined before they are shuffled, and the distinct blocks' stretches are spread over tasks
 by their hashes under a combining aggregate; the rule is the same. Pairs are formed in ``p8_found`` only.
@@ -229,10 +229,12 @@ def representatives(docs: DataFrame) -> DataFrame:
 
 def shared_anchors(texts: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
     """h, n, doc_id, place: the anchors that several documents hold; ``n`` is the number of their places."""
-    found = texts.mapInArrow(_anchor_rows(span, gram), _PLACES)
-    of_hash = Window.partitionBy("h")  # one shuffle, and the count and the choice in it
-    counted = found.withColumns({"n": F.count("*").over(of_hash), "lo": F.min("doc_id").over(of_hash), "hi": F.max("doc_id").over(of_hash)})
-    return counted.where("lo <> hi").select("h", "n", "doc_id", "place")
+    found = texts.mapInArrow(_anchor_rows(span, gram), _PLACES).repartition("h")
+    # Both uses read this one shuffle: the aggregate reads every column, so that its copy of the shuffle is the same. It streams, and holds
+    # no group; what several documents hold is little, so the join can be broadcast or split where a hash is hot.
+    several = found.groupBy("h").agg(F.count("*").alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.max("place").alias("top")).where("lo <> hi and top >= 0")
+    several = several.select(F.col("h").alias("__h"), "n").repartition("__h")
+    return found.join(several, found["h"] == several["__h"]).select("h", "n", "doc_id", "place")
 
 
 def _pieces(texts: DataFrame, span: int, gram: int, group: int) -> DataFrame:

@@ -229,9 +229,9 @@ def representatives(docs: DataFrame) -> DataFrame:
 
 def shared_anchors(texts: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
     """h, n, doc_id, place: the anchors that several documents hold; ``n`` is the number of their places."""
-    found = texts.mapInArrow(_anchor_rows(span, gram), _PLACES).repartition("h")
-    # Both uses read this one shuffle: the aggregate reads every column, so that its copy of the shuffle is the same. It streams, and holds
-    # no group; what several documents hold is little, so the join can be broadcast or split where a hash is hot.
+    found = texts.mapInArrow(_anchor_rows(span, gram), _PLACES).where("h is not null").repartition("h")
+    # Both uses read this one shuffle: the aggregate reads every column, and the join finds its filter there already, so that both copies of
+    # the shuffle are the same. The aggregate streams, and holds no group; what several documents hold is little, so the join can be broadcast or split where a hash is hot.
     several = found.groupBy("h").agg(F.count("*").alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.max("place").alias("top")).where("lo <> hi and top >= 0")
     several = several.select(F.col("h").alias("__h"), "n").repartition("__h")
     return found.join(several, found["h"] == several["__h"]).select("h", "n", "doc_id", "place")

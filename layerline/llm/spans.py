@@ -17,7 +17,7 @@ group; an error is less likely than 1e-15 in a corpus of 1e11 stretches.
 
 Scale: texts are shuffled once, by document, after exact copies are reduced to one representative by a hash (a combining
 aggregate, so a text that a third of all rows repeat is one row). Of all anchors only (hash, document, place) is shuffled, once,
-for the streaming count and the join with the few that several documents hold; only their blocks are cut. The blocks of an anchor are
+and streamed in its order to choose those that several documents hold (at most ``GROUP`` places are ever held in memory); only their blocks are cut. The blocks of an anchor are
 compared in one task, sorted and streamed, as far as ``GROUP`` places hold it. Of anchors that more places hold (a phrase in a
 third of all documents) equal blocks are combined before they are shuffled, and the distinct blocks' stretches are spread over tasks
 by their hashes under a combining aggregate; the rule is the same. Pairs are formed in ``p8_found`` only.
@@ -69,6 +69,47 @@ def _blocks(batch: pa.RecordBatch, span: int) -> Iterator[tuple]:
             yield doc, x, pos, before, n, text[pos - before : pos - before + n + span - 1]
 
 
+def _shared_rows(group: int):
+    """The places, sorted by hash, of the hashes that several documents hold. A hash with more places is passed on as it streams by."""
+
+    def chosen(h, doc, place, many) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.full(len(h), many)), pa.array(doc), pa.array(place)], ["h", "many", "doc_id", "place"])
+
+    def whole(h, doc, place) -> Iterator[pa.RecordBatch]:
+        """Groups that end here."""
+        if len(h):
+            first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+            n = np.diff(np.concatenate((first, [len(h)])))
+            several = np.minimum.reduceat(doc, first) < np.maximum.reduceat(doc, first)
+            for many in (False, True):
+                keep = np.repeat(several & ((n > group) == many), n)
+                if keep.any():
+                    yield chosen(h[keep], doc[keep], place[keep], many)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.empty(0, np.int64)] * 3
+        passing = None  # the hash that is passed on
+        for b in batches:
+            h, doc, place = (np.concatenate((x, b.column(k).to_numpy())) for k, x in enumerate(held))
+            if not len(h):
+                continue
+            a = int(np.searchsorted(h, passing, side="right")) if passing is not None else 0
+            if a:
+                yield chosen(h[:a], doc[:a], place[:a], True)
+            last = int(np.searchsorted(h, h[-1]))
+            if last < a:  # nothing but the hash that is passed on
+                held = [x[:0] for x in held]
+                continue
+            yield from whole(h[a:last], doc[a:last], place[a:last])
+            passing = int(h[-1]) if len(h) - last > group else None
+            if passing is not None:
+                yield chosen(h[last:], doc[last:], place[last:], True)
+            held = [x[last:] if passing is None else x[:0] for x in (h, doc, place)]
+        yield from whole(*held)
+
+    return rows
+
+
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Few documents at once: what is cut out of them is a few times their size."""
     for b in batches:
@@ -227,29 +268,26 @@ def representatives(docs: DataFrame) -> DataFrame:
     return docs.repartition("doc_id").join(reps, "doc_id", "left_semi")
 
 
-def shared_anchors(texts: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
-    """h, n, doc_id, place: the anchors that several documents hold; ``n`` is the number of their places."""
-    found = texts.mapInArrow(_anchor_rows(span, gram), _PLACES).where("h is not null").repartition("h")
-    # Both uses read this one shuffle: the aggregate reads every column, and the join finds its filter there already, so that both copies of
-    # the shuffle are the same. The aggregate streams, and holds no group; what several documents hold is little, so the join can be broadcast or split where a hash is hot.
-    several = found.groupBy("h").agg(F.count("*").alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.max("place").alias("top")).where("lo <> hi and top >= 0")
-    several = several.select(F.col("h").alias("__h"), "n").repartition("__h")
-    return found.join(several, found["h"] == several["__h"]).select("h", "n", "doc_id", "place")
+def shared_anchors(texts: DataFrame, span: int = SPAN, gram: int = GRAM, group: int = GROUP) -> DataFrame:
+    """h, many, doc_id, place: the anchors that several documents hold; ``many`` if they have more than ``group`` places. (Of those, ones
+    that a single document holds may stay; they share nothing in the end.)"""
+    found = texts.mapInArrow(_anchor_rows(span, gram), _PLACES)
+    return found.repartition("h").sortWithinPartitions("h").mapInArrow(_shared_rows(group), "h long, many boolean, doc_id long, place long")
 
 
 def _pieces(texts: DataFrame, span: int, gram: int, group: int) -> DataFrame:
     """doc_id, start, n, ref_doc, ref_pos, ref_start: the parse of the representatives, still cut at the blocks' edges. A piece is
     ``n`` stretches from ``start`` on, equal to those of the reference document from ``ref_start`` on in its block at ``ref_pos``."""
-    found = shared_anchors(texts, span, gram)
+    found = shared_anchors(texts, span, gram, group)
 
     def cut(which: str) -> DataFrame:
         of_doc = found.where(which).groupBy("doc_id").agg(F.collect_list(F.struct("h", "place")).alias("found"))
         return texts.join(of_doc, "doc_id").select("doc_id", "text", "found")
 
-    few = cut(f"n <= {group}").mapInArrow(_place_rows(span), _ddl(_PLACE))
+    few = cut("not many").mapInArrow(_place_rows(span), _ddl(_PLACE))
     few = few.repartition("h").sortWithinPartitions("h").mapInArrow(_piece_rows(span), _ddl(_PIECE))
 
-    hot = cut(f"n > {group}")
+    hot = cut("many")
     members = hot.mapInArrow(_member_rows(span), _ddl(_MEMBER))
     least = F.min(F.struct("ref_doc", "ref_pos")).alias("ref")
     blocks = hot.mapInArrow(_block_rows(span), _ddl(_BLOCK)).groupBy("block", "block_id", "before").agg(least, F.max("other_doc").alias("other_doc"))

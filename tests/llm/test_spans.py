@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from layerline.llm import spans as S
@@ -172,3 +173,17 @@ def test_texts_are_shuffled_once(spark):
     docs = frame(spark, corpus(1))
     plan = S.representative_pairs(S.usable(docs, 30), 30, 10)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+@pytest.mark.parametrize("size", [1, 3, 7, 1000])
+def test_places_are_chosen_as_they_stream(size):
+    rng = np.random.default_rng(size)
+    h = np.sort(rng.integers(-5, 30, 400))
+    doc, place = rng.integers(0, 3, 400), np.arange(400)
+    doc[h == 4] = 1
+    batches = [pa.RecordBatch.from_arrays([pa.array(x[i : i + size]) for x in (h, doc, place)], ["h", "doc_id", "place"]) for i in range(0, 400, size)]
+    got = [(r["h"], r["many"], r["doc_id"], r["place"]) for b in S._shared_rows(10)(iter(batches)) for r in b.to_pylist()]
+    n = {x: int((h == x).sum()) for x in set(h.tolist())}
+    several = {x for x in n if len(set(doc[h == x].tolist())) > 1}
+    assert sorted(g for g in got if g[0] in several) == sorted((int(x), n[int(x)] > 10, int(d), int(p)) for x, d, p in zip(h, doc, place) if int(x) in several)
+    assert all(g[0] in several or g[1] for g in got) and list(S._shared_rows(10)(iter([]))) == []

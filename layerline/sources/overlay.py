@@ -4,6 +4,9 @@ A record begins at a heading whose id ends in a canonical id and holds the headi
 to the next heading. Its blocks fall into sections by a carried-forward key; lists become statement rows
 with outline paths; enhancements are the items of the enhancements list. Every window and every group is
 one page or one record, so its size is that of a page.
+
+Spark takes the elements of pages to be as few bytes as the table that the pages come from, which can be a hundredth of
+them. So joins of elements are merges by ``MERGE``; else all elements are sent to the driver as a table to broadcast.
 """
 
 from __future__ import annotations
@@ -28,6 +31,7 @@ REFERENCES_RE = r"(?i)^references:?\s*$"
 NO_ENHANCEMENTS_RE = r"(?i)^enhancements:\s*none\.?$"
 KINDS = ("control", "activity", "activity/control", "control/activity")
 SUBLABELS = {"discussion": "discussion", "gc discussion": "gc_discussion", "related controls and activities": "related"}
+MERGE = "shuffle_merge"
 PAGE = ["family_id", "family_name", "url", "retrieved_at", "source_sha256", "page"]
 
 
@@ -83,7 +87,7 @@ def _list_items(nodes: DataFrame, roots: DataFrame) -> DataFrame:
     An item counts only if every list on the way lies right in an item.
     """
     items = nodes.where("tag = 'li'").select("page", "pos", "depth", "outline", "own", F.explode("ancestors").alias("root"))
-    return items.join(roots, ["page", "root"]).where(F.expr("depth = root_depth + 2 * (size(outline) - skip) - 1 and size(outline) > skip")).withColumn("outline", F.expr("slice(outline, skip + 1, size(outline))"))
+    return items.join(roots.hint(MERGE), ["page", "root"]).where(F.expr("depth = root_depth + 2 * (size(outline) - skip) - 1 and size(outline) > skip")).withColumn("outline", F.expr("slice(outline, skip + 1, size(outline))"))
 
 
 def _gathered(statements: DataFrame, by: list[str]) -> DataFrame:
@@ -113,18 +117,18 @@ def enhancements_of(nodes: DataFrame, blocks: DataFrame, detect_withdrawn: bool
     """page, rec, enhancements: the nested enhancement records of each base record."""
     holders = blocks.where("key = 'enhancements' and tag = 'ul' and content").select("page", "rec", "rec_id", F.col("pos").alias("holder"))
     li = nodes.where("tag = 'li'")
-    heads = li.join(holders, (li["page"] == holders["page"]) & (li["parent"] == holders["holder"])).select(
+    heads = li.join(holders.hint(MERGE), (li["page"] == holders["page"]) & (li["parent"] == holders["holder"])).select(
         li["page"], "rec", "rec_id", li["pos"].alias("head"), F.coalesce("strong", "text").alias("title")
     )
     heads = heads.where(F.col("title").rlike(ENHANCEMENT_RE)).select(
         "page", "rec", "rec_id", "head", F.regexp_extract("title", ENHANCEMENT_RE, 1).alias("number"), F.regexp_extract("title", ENHANCEMENT_RE, 2).alias("name")
     ).withColumn("id", render_enhancement(F.col("rec_id"), F.col("number")))
     first_list = nodes.where("tag = 'ul'").groupBy("page", F.col("parent").alias("head")).agg(F.min("pos").alias("list"))
-    known = heads.join(first_list, ["page", "head"], "left")
+    known = heads.join(first_list.hint(MERGE), ["page", "head"], "left")
     label = F.create_map(*[F.lit(x) for kv in SUBLABELS.items() for x in kv])[_label(F.col("strong"))]
     order = Window.partitionBy("page", "head").orderBy("pos")
     subs = (
-        li.withColumnRenamed("parent", "list").join(known.select("page", "rec", "id", "head", "list"), ["page", "list"])
+        li.withColumnRenamed("parent", "list").join(known.select("page", "rec", "id", "head", "list").hint(MERGE), ["page", "list"])
         .withColumn("own_label", label)
         .withColumn("label", F.coalesce(F.last("own_label", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)), F.lit("statement")))
         .withColumn("body", F.when(F.col("own_label").isNotNull(), F.col("rest")).otherwise(F.col("own")))
@@ -139,10 +143,10 @@ def enhancements_of(nodes: DataFrame, blocks: DataFrame, detect_withdrawn: bool
     top = own.select("page", "head", "id", "pos", F.array(F.col("nth")).alias("outline"), F.col("own").alias("text"))
     inside = nodes.where("tag = 'li'").select("page", "pos", "depth", "outline", "own", F.explode("ancestors").alias("root"))
     roots = own.select("page", F.col("pos").alias("root"), F.col("depth").alias("root_depth"), F.size("outline").alias("skip"), "head", "id", "nth")
-    deep = inside.join(roots, ["page", "root"]).where("depth = root_depth + 2 * (size(outline) - skip) and size(outline) > skip")
+    deep = inside.join(roots.hint(MERGE), ["page", "root"]).where("depth = root_depth + 2 * (size(outline) - skip) and size(outline) > skip")
     deep = deep.select("page", "head", "id", "pos", F.concat(F.array("nth"), F.expr("slice(outline, skip + 1, size(outline))")).alias("outline"), F.col("own").alias("text"))
     statements = _gathered(top.unionByName(deep).withColumn("path", outline_path(F.col("outline"))), ["page", "head", "id"]).drop("id")
-    full = known.join(texts, ["page", "head"], "left").join(statements, ["page", "head"], "left")
+    full = known.join(texts.hint(MERGE), ["page", "head"], "left").join(statements.hint(MERGE), ["page", "head"], "left")
     parent_specific = F.coalesce(parse_canonical(F.col("rec_id"))["is_specific"], F.lit(False))
     item = F.struct(
         "id", F.col("rec_id").alias("parent_id"), F.col("number").alias("enhancement_number"), "name", _list_or_empty("statements", STATEMENT),
@@ -184,18 +188,18 @@ def overlay_records(pages: DataFrame, publication: str = "ITSP.10.033", detect_w
         _joined(_when_text(section("related controls and activities"), body), "\n\n").alias("related_text"),
     )
     holders = blocks.where(section("references") & (F.col("tag") == "ul")).select("page", "rec", F.col("pos").alias("parent"))
-    cited = nodes.where("tag = 'li' and text <> ''").join(holders, ["page", "parent"]).select("page", "rec", "pos", "text")
+    cited = nodes.where("tag = 'li' and text <> ''").join(holders.hint(MERGE), ["page", "parent"]).select("page", "rec", "pos", "text")
     links = nodes.where("tag = 'a' and href is not null").select("page", F.col("pos").alias("apos"), "href", F.explode("ancestors").alias("pos"))
     links = links.groupBy("page", "pos").agg(F.min_by("href", "apos").alias("href"))
     reference = F.struct(F.col("text").alias("title"), F.col("href").alias("url"), F.lit(None).cast("string").alias("publisher"), F.lit(True).alias("external"), F.lit("Canada").alias("source_authority"))
-    references = cited.join(links, ["page", "pos"], "left").groupBy("page", "rec").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", reference.alias("r")))), lambda x: x["r"]).alias("references"))
+    references = cited.join(links.hint(MERGE), ["page", "pos"], "left").groupBy("page", "rec").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", reference.alias("r")))), lambda x: x["r"]).alias("references"))
 
     p = parse_canonical(F.col("rec_id"))
     name = F.when(F.col("rec_text").rlike(HEADING_TEXT_RE), F.regexp_extract("rec_text", HEADING_TEXT_RE, 1)).otherwise(F.col("rec_text"))
     kind = F.when(F.col("kind").isin("control", "activity"), F.col("kind")).otherwise("unknown")
     out = (
-        info.join(statements, ["page", "rec"], "left").join(references, ["page", "rec"], "left").join(enhancements_of(nodes, blocks, detect_withdrawn), ["page", "rec"], "left")
-        .join(pages.select("page", *PAGE[:5]), "page")
+        info.join(statements.hint(MERGE), ["page", "rec"], "left").join(references.hint(MERGE), ["page", "rec"], "left")
+        .join(enhancements_of(nodes, blocks, detect_withdrawn).hint(MERGE), ["page", "rec"], "left").join(pages.select("page", *PAGE[:5]).hint(MERGE), "page")
         .select(
             F.col("rec_id").alias("id"), "family_id", "family_name", p["base"].alias("number"), name.alias("name"), kind.alias("requirement_kind"), p["is_specific"].alias("is_canadian_specific"),
             "is_withdrawn", F.when(F.col("is_withdrawn"), F.col("note")).alias("withdrawal_note"), _list_or_empty("statements", STATEMENT), F.coalesce("statement_text", F.lit("")).alias("statement_text"),

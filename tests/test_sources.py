@@ -212,3 +212,15 @@ def test_places(spark, tmp_path):
     assert (Place(str(tmp_path)) / "c" / "b.txt").read_bytes() == p.read_bytes()
     p.parent.remove()
     assert not p.exists()
+
+
+def test_elements_are_not_broadcast(spark):
+    """What the pages' source takes says nothing of the elements: no side of a join is sent to the driver, and no element is lost between batches."""
+    items = F.repeat(F.lit("<li>x"), F.when(F.col("ord") == 3, 5000).otherwise(1500))
+    page = F.when(F.col("ord") != 7, F.concat(F.lit("<main><h2 id='1.1-AC-02'>AC-02 T</h2><ul>"), items, F.lit("</ul></main>")))
+    blank = [F.lit("").alias(c) for c in ("family_id", "family_name", "url", "retrieved_at", "source_sha256")]
+    pages = spark.range(9).coalesce(1).select(*blank, F.col("id").alias("ord")).withColumn("html", page)
+    found = overlay.overlay_records(pages)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString() and found.count() == 8
+    nodes = html.page_nodes(pages, ["ord"]).groupBy("ord").agg(F.count("*").alias("n"), F.countDistinct("pos").alias("d")).collect()
+    assert sorted((r.ord, r.n, r.d) for r in nodes) == [(i, n, n) for i in range(9) if i != 7 for n in [5003 if i == 3 else 1503]]

@@ -9,8 +9,9 @@ Row and column hashes are 128 bits (two 64-bit hashes over different inputs), so
 for any table that fits on earth with a chance of error under 1e-15.
 
 Skew: rows are shuffled by (date, build, id) only. The successor of each delivery comes from the distinct (build,
-date) pairs: they are counted, and up to ``MOST_BROADCAST`` of them are broadcast; more are joined by (build, date, salt), each
-pair once for every salt and the rows salted by their id, so that a build of a third of all rows is spread.
+date) pairs: they are counted, and up to ``MOST_BROADCAST`` of them are broadcast; more are joined by (build, date, salt) in a merge.
+Only deliveries of more than ``HEAVY`` rows have several salts, one for every ``HEAVY`` rows, and only those are broadcast then, so that
+a build of a third of all rows is spread, while the driver holds a pair for every ``HEAVY`` rows at most.
 
 Defined results: the first delivery of a build yields nothing; a delivery that skips a date is compared
 with the last one before it; of rows delivered at the same time the greatest counts; nulls in the key
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 from ..functions.text import compare_normalize
 from ..session import read_table
 
-MOST_BROADCAST = 200_000
-SALTS = 64
+MOST_BROADCAST = 20_000
+HEAVY = 1_000_000
 TEXTS = ("name", "statement_text", "discussion", "gc_discussion")
 COMPARED = (*TEXTS, "related", "reconciliation_status", "is_withdrawn", "profile_medium")
 
@@ -57,23 +58,27 @@ def hashed_rows(snapshots: DataFrame) -> DataFrame:
 
 
 def deliveries(snapshots: DataFrame) -> DataFrame:
-    """build_id, snapshot_date, is_first, next_date: the consecutive deliveries of each build."""
-    days = snapshots.where("snapshot_date is not null").select("build_id", "snapshot_date").distinct()
+    """build_id, snapshot_date, is_first, next_date, delivered: the consecutive deliveries of each build and how many rows each has."""
+    days = snapshots.where("snapshot_date is not null").groupBy("build_id", "snapshot_date").agg(F.count("*").alias("delivered"))
     in_order = Window.partitionBy("build_id").orderBy("snapshot_date")
     return days.select(
         F.col("build_id").alias("__build"), F.col("snapshot_date").alias("__date"),
-        F.lag("snapshot_date").over(in_order).isNull().alias("is_first"), F.lead("snapshot_date").over(in_order).alias("next_date"),
+        F.lag("snapshot_date").over(in_order).isNull().alias("is_first"), F.lead("snapshot_date").over(in_order).alias("next_date"), "delivered",
     )
 
 
-def placed_rows(rows: DataFrame, steps: DataFrame, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
+def placed_rows(rows: DataFrame, steps: DataFrame, most_broadcast: int = MOST_BROADCAST, heavy: int = HEAVY) -> DataFrame:
     """The rows with is_first and next_date of their delivery."""
+    known = ["__build", "__date", "is_first", "next_date"]
     same = F.col("build_id").eqNullSafe(F.col("__build")) & (F.col("snapshot_date") == F.col("__date"))
     if steps.limit(most_broadcast + 1).count() <= most_broadcast:
-        return rows.join(F.broadcast(steps), same)
-    salt = F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")
-    salted = steps.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt"))
-    return rows.join(salted, same & (salt == F.col("__salt")))
+        return rows.join(F.broadcast(steps.select(*known)), same)
+    salts = F.ceil(F.col("delivered") / heavy)
+    large = steps.where(F.col("delivered") > heavy).select("__build", "__date", salts.alias("__salts"))
+    salt = F.coalesce(F.pmod(F.xxhash64("id"), F.col("__salts")), F.lit(0)).alias("__own_salt")
+    rows = rows.join(F.broadcast(large), same, "left").select(*rows.columns, salt)
+    salted = steps.select(*known, F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("__salt"))
+    return rows.join(salted.hint("shuffle_merge"), same & (F.col("__own_salt") == F.col("__salt")))
 
 
 def snapshot_changes(snapshots: DataFrame, most_broadcast: int = MOST_BROADCAST) -> DataFrame:

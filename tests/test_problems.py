@@ -184,6 +184,17 @@ def test_many_deliveries_are_salted(spark):
     assert want and changed(spark, data, most=0) == want
 
 
+def test_few_deliveries_are_broadcast_or_multiplied(spark):
+    """The driver gets no table of deliveries that grows with them; beyond the bound only heavy deliveries are salted, and every row is placed once."""
+    data = [snap(m, f"k{i}", build=b) for m in (1, 2, 4) for b, most in (("b", 50), (None, 45), ("c", 3)) for i in range(most)]
+    df = spark.createDataFrame(data, SNAP)
+    steps, rows = snapshots.deliveries(df), snapshots.hashed_rows(df)
+    placed = snapshots.placed_rows(rows, steps, 0, 20)
+    at = lambda d: sorted((r.snapshot_date, r.build_id or "", r.id, r.is_first, str(r.next_date)) for r in d.collect())
+    assert at(placed) == at(snapshots.placed_rows(rows, steps)) and len(at(placed)) == len(data)
+    assert snapshots.MOST_BROADCAST * 250 <= 5_000_000 and {r.m for r in placed.groupBy("build_id").agg(F.max("__salt").alias("m")).collect()} == {2, 0}
+
+
 def test_snapshots(spark):
     data = [
         snap(1, "a"), snap(1, "a"), snap(1, "b"), snap(1, "c", name="(a) N"), snap(1, None), snap(1, "a", build="once"), snap(1, "z", build=None),
